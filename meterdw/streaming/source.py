@@ -19,8 +19,12 @@ def file_stream(spark: SparkSession, path: str, schema, max_files: int | None =
 
 
 def reading_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """Meter readings from the event files of a data folder, without watermark."""
-    return readings_from(file_stream(spark, f"{folder.rstrip('/')}/events.parquet", EVENTS, max_files))
+    """Meter readings from the event table of a data folder, without watermark.
+
+    The path is written as a pattern because a stream takes a plain path for a folder;
+    this way the table may be one file or a folder of files.
+    """
+    return readings_from(file_stream(spark, f"{folder.rstrip('/')}/event[s].parquet", EVENTS, max_files))
 
 
 def with_event_time(readings: DataFrame, delay: str = WATERMARK, column: str = "reading_time") -> DataFrame:
