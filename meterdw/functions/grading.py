@@ -1,6 +1,6 @@
 """Grading rules as column expressions: health scores, band statuses, reading statuses.
 
-A rule set is plain data (`Profile`); the functions turn it into `when` chains, so that
+A rule set is plain data (`Profile`); the functions turn it into CASE expressions, so that
 every grade stays inside whole-stage codegen. A NULL measure matches no tier and no
 band and falls through to the last value, unless the rule set names a score for
 missing values.
@@ -9,7 +9,6 @@ missing values.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,44 +74,33 @@ STORED_STREAM = Profile(power=power_bands("3500", "2500"))
 BATCH = Profile(health=G5)
 
 
-def _number(text: str) -> Column:
-    return F.lit(Decimal(text))
+def _case(steps, otherwise: str) -> str:
+    """CASE text over (condition, result) pairs; results are SQL literals."""
+    arms = " ".join(f"WHEN {condition} THEN {result}" for condition, result in steps)
+    return f"CASE {arms} ELSE {otherwise} END"
 
 
-def _tier_holds(tier: Tier, voltage, temperature, power_factor, frequency) -> Column:
-    holds = voltage.between(_number(tier.voltage[0]), _number(tier.voltage[1]))
-    holds = holds & (temperature < _number(tier.temperature))
+def _tier_holds(tier: Tier) -> str:
+    holds = [f"voltage BETWEEN {tier.voltage[0]} AND {tier.voltage[1]}", f"temperature < {tier.temperature}"]
     if tier.power_factor is not None:
-        holds = holds & (power_factor > _number(tier.power_factor))
+        holds.append(f"power_factor > {tier.power_factor}")
     if tier.frequency is not None:
-        holds = holds & frequency.between(_number(tier.frequency[0]), _number(tier.frequency[1]))
-    return holds
+        holds.append(f"frequency BETWEEN {tier.frequency[0]} AND {tier.frequency[1]}")
+    return " AND ".join(holds)
 
 
-def health(rule: Health, voltage="voltage", temperature="temperature",
-           power_factor="power_factor", frequency="frequency") -> Column:
-    v, t, pf, f = (F.col(c) if isinstance(c, str) else c for c in (voltage, temperature, power_factor, frequency))
-    steps = []
+def health(rule: Health) -> Column:
+    """Health score of a reading; the measure columns carry their canonical names."""
+    steps = [(_tier_holds(tier), tier.score) for tier in rule.tiers]
     if rule.missing is not None:
-        absent = [F.coalesce(c, _number("0")) == _number("0") for c in (v, t, pf)]
-        steps.append((absent[0] | absent[1] | absent[2], rule.missing))
-    steps += [(_tier_holds(tier, v, t, pf, f), tier.score) for tier in rule.tiers]
-    return _chain(steps, rule.otherwise, lambda s: _number(s).cast(SCORE_TYPE))
+        absent = " OR ".join(f"coalesce({c}, 0) = 0" for c in ("voltage", "temperature", "power_factor"))
+        steps.insert(0, (absent, rule.missing))
+    return F.expr(f"CAST({_case(steps, rule.otherwise)} AS {SCORE_TYPE})")
 
 
-def _chain(steps, otherwise, literal) -> Column:
-    (first, value), *rest = steps
-    chain = F.when(first, literal(value))
-    for condition, value in rest:
-        chain = chain.when(condition, literal(value))
-    return chain.otherwise(literal(otherwise))
-
-
-def band(bands, measure) -> Column:
+def band(bands, measure: str) -> Column:
     """HIGH/LOW/... by the first band that matches, else NORMAL."""
-    m = F.col(measure) if isinstance(measure, str) else measure
-    steps = [((m > _number(limit)) if side == ">" else (m < _number(limit)), label) for side, limit, label in bands]
-    return _chain(steps, "NORMAL", F.lit)
+    return F.expr(_case([(f"{measure} {side} {limit}", f"'{label}'") for side, limit, label in bands], "'NORMAL'"))
 
 
 def grade(readings: DataFrame, profile: Profile = MAIN) -> DataFrame:
@@ -127,8 +115,15 @@ def grade(readings: DataFrame, profile: Profile = MAIN) -> DataFrame:
 
 # --- statuses --------------------------------------------------------------------------
 
-def _warn_if(condition: Column) -> Column:
-    return F.when(condition, F.lit("WARNING")).otherwise(F.lit("NORMAL"))
+VOLTAGE_OFF = "voltage_status <> 'NORMAL'"
+OVERHEATED = "temperature_status IN ('HIGH', 'CRITICAL_HIGH')"
+POWER_OFF = "power_status <> 'NORMAL'"
+# never NULL: band statuses always carry a label
+ABNORMAL = f"({VOLTAGE_OFF} OR {OVERHEATED})"
+
+
+def _warn_if(condition: str) -> Column:
+    return F.expr(_case([(condition, "'WARNING'")], "'NORMAL'"))
 
 
 def reading_status(low_voltage: bool = True, zero_is_missing: bool = False) -> Column:
@@ -137,49 +132,29 @@ def reading_status(low_voltage: bool = True, zero_is_missing: bool = False) -> C
     `low_voltage=False` leaves the lower bound out; with `zero_is_missing` a voltage
     of 0 counts as not measured.
     """
-    v, t = F.col("voltage"), F.col("temperature")
-    bad = (v > _number("240")) | (t > _number("80"))
+    bad = ["voltage > 240", "temperature > 80"]
     if low_voltage:
-        low = v < _number("200")
-        if zero_is_missing:
-            low = low & (v != _number("0"))
-        bad = bad | low
-    return _warn_if(bad)
-
-
-def voltage_off() -> Column:
-    return F.col("voltage_status") != "NORMAL"
-
-
-def overheated() -> Column:
-    return F.col("temperature_status").isin("HIGH", "CRITICAL_HIGH")
-
-
-def abnormal() -> Column:
-    """Never NULL: band statuses always carry a label."""
-    return voltage_off() | overheated()
+        bad.append("(voltage < 200 AND voltage <> 0)" if zero_is_missing else "voltage < 200")
+    return _warn_if(" OR ".join(bad))
 
 
 def graded_status() -> Column:
     """WARNING when the voltage or temperature grade is off."""
-    return _warn_if(abnormal())
+    return _warn_if(ABNORMAL)
 
 
 def four_level_status() -> Column:
     """CRITICAL, WARNING, ATTENTION (health below 80) or NORMAL."""
-    critical = (F.col("voltage_status").isin("CRITICAL_HIGH", "CRITICAL_LOW")
-                | (F.col("temperature_status") == "CRITICAL_HIGH"))
-    return _chain([(critical, "CRITICAL"),
-                   (abnormal(), "WARNING"),
-                   (F.col("health_score") < _number("80"), "ATTENTION")], "NORMAL", F.lit)
+    critical = "voltage_status IN ('CRITICAL_HIGH', 'CRITICAL_LOW') OR temperature_status = 'CRITICAL_HIGH'"
+    return F.expr(_case([(critical, "'CRITICAL'"), (ABNORMAL, "'WARNING'"), ("health_score < 80", "'ATTENTION'")],
+                        "'NORMAL'"))
 
 
 def window_status(*counters: str) -> Column:
     """WARNING when any abnormal counter is positive, else FAULT below an average health of 70."""
-    positive = F.greatest(*[F.col(c) for c in counters], F.lit(0)) > 0
-    return _chain([(positive, "WARNING"),
-                   (F.col("avg_health_score") < _number("70"), "FAULT")], "NORMAL", F.lit)
+    positive = " OR ".join(f"{c} > 0" for c in counters)
+    return F.expr(_case([(positive, "'WARNING'"), ("avg_health_score < 70", "'FAULT'")], "'NORMAL'"))
 
 
 def window_console_status() -> Column:
-    return _warn_if(F.col("abnormal_count") > 0)
+    return _warn_if("abnormal_count > 0")

@@ -6,13 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_avg(total: Column, count: Column, to_type: str) -> Column:
-    """total / count, rounded half-up once, to the declared scale; NULL when count is 0.
+def exact_avg(total: str, count: str, to_type: str) -> Column:
+    """total / count (SQL expressions), rounded half-up once to the declared scale; NULL when count is 0.
 
     AVG on a decimal rounds to six digits first; dividing the exact sum keeps enough
     digits that only the final cast decides.
     """
-    return (total.cast("decimal(22,3)") / F.nullif(count, F.lit(0)).cast("decimal(19,0)")).cast(to_type)
+    return F.expr(f"CAST(CAST({total} AS DECIMAL(22,3)) / CAST(NULLIF({count}, 0) AS DECIMAL(19,0)) AS {to_type})")
+
+
+def column_avg(column: str, to_type: str) -> Column:
+    """exact_avg of a column inside an aggregation."""
+    return exact_avg(f"SUM({column})", f"COUNT({column})", to_type)
 
 
 def stat_date(ts: str) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterdw.functions.measures import ago, as_column, exact_avg
+from meterdw.functions.measures import ago, as_column, column_avg, exact_avg
 from meterdw.operators.serving import top_n
 from meterdw.schemas import MEASURE_TYPES
 
@@ -13,8 +13,7 @@ from meterdw.schemas import MEASURE_TYPES
 def status_summary(monitor: DataFrame) -> DataFrame:
     """Devices per status and their share in percent; the window runs over the handful of status rows."""
     counts = monitor.groupBy("status").agg(F.count("*").alias("device_count"))
-    everything = F.sum("device_count").over(Window.partitionBy(F.lit(1)))
-    share = exact_avg(F.col("device_count") * 100, everything, "decimal(5,1)")
+    share = exact_avg("device_count * 100", "SUM(device_count) OVER (PARTITION BY 1)", "decimal(5,1)")
     return counts.withColumn("percentage", share)
 
 
@@ -33,14 +32,11 @@ def recent_substations(windows: DataFrame, as_of, age: str = "5 MINUTES", n: int
 
 def window_stats(windows: DataFrame, as_of, age: str = "10 MINUTES") -> DataFrame:
     """One row of totals over the device windows younger than `age`."""
-    def mean(column, to_type):
-        return exact_avg(F.sum(column), F.count(column), to_type)
-
     return windows.where(F.col("window_start") >= ago(as_of, age)).agg(
         F.count("*").alias("total_windows"),
-        mean("reading_count", "decimal(12,2)").alias("avg_readings_per_window"),
-        mean("avg_voltage", MEASURE_TYPES["voltage"]).alias("overall_avg_voltage"),
-        mean("avg_power", MEASURE_TYPES["power"]).alias("overall_avg_power"),
+        column_avg("reading_count", "decimal(12,2)").alias("avg_readings_per_window"),
+        column_avg("avg_voltage", MEASURE_TYPES["voltage"]).alias("overall_avg_voltage"),
+        column_avg("avg_power", MEASURE_TYPES["power"]).alias("overall_avg_power"),
         F.coalesce(F.sum("abnormal_count"), F.lit(0)).alias("total_abnormal"))
 
 
@@ -113,5 +109,5 @@ def abnormal_hours(hours: DataFrame) -> DataFrame:
     rows = hours.where((F.col("avg_voltage") < 200) | (F.col("avg_voltage") > 250))
     return rows.agg(
         F.count("*").alias("abnormal_voltage_count"),
-        exact_avg(F.sum("avg_voltage"), F.count("avg_voltage"), MEASURE_TYPES["voltage"]).alias("overall_avg_voltage"),
+        column_avg("avg_voltage", MEASURE_TYPES["voltage"]).alias("overall_avg_voltage"),
         F.max("max_voltage").alias("max_voltage_recorded"), F.min("min_voltage").alias("min_voltage_recorded"))

@@ -56,6 +56,11 @@ def split_join(facts: DataFrame, dim: DataFrame, key: str, how: str, spread_by:
     return left.join(right, [key, "_piece"], how).drop("_piece")
 
 
+def sized(dim: DataFrame, limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
+    """The dimension marked for broadcast if it measures small, else as it is (shuffle join, adaptive)."""
+    return F.broadcast(dim) if measured_bytes(dim) <= limit_bytes else dim
+
+
 def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", spread_by: list[str] | None = None,
                 limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
     """Join facts to a dimension on `key`: broadcast if the dimension measures small, else a split shuffle join."""

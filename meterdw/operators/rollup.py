@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from meterdw.functions import grading, identity, tariff
 from meterdw.functions.measures import exact_avg
-from meterdw.operators.detail import device_dim, owner_dim
+from meterdw.operators.detail import device_dim
+from meterdw.operators.joins import BROADCAST_LIMIT, measured_bytes, sized, split_join
 from meterdw.schemas import COST_TYPE, MEASURE_TYPES, SUM_TYPE
 
 ADDITIVE = ["n", "voltage_off", "overheated", "power_off", "abnormal", "abnormal_any"]
@@ -27,11 +28,8 @@ WINDOW = ["window_start", "window_end"]
 # --- the partial aggregate --------------------------------------------------------------------
 
 def _measure_partials() -> list[Column]:
-    out = []
-    for m in MEASURE_TYPES:
-        out += [F.sum(m).alias(f"{m}_sum"), F.count(m).alias(f"{m}_cnt"),
-                F.max(m).alias(f"{m}_max"), F.min(m).alias(f"{m}_min")]
-    return out
+    kinds = {"sum": "SUM", "cnt": "COUNT", "max": "MAX", "min": "MIN"}
+    return [F.expr(f"{fn}({m}) AS {m}_{kind}") for m in MEASURE_TYPES for kind, fn in kinds.items()]
 
 
 def partials(graded: DataFrame, width: str, keys=("device_id",)) -> DataFrame:
@@ -40,77 +38,91 @@ def partials(graded: DataFrame, width: str, keys=("device_id",)) -> DataFrame:
     `graded` may be plain graded readings, a stored detail table with more keys, or a
     stream with a watermark on reading_time.
     """
-    power_off = F.col("power_status") != "NORMAL"
-    flags = {"voltage_off": grading.voltage_off(), "overheated": grading.overheated(), "power_off": power_off,
-             "abnormal": grading.abnormal(), "abnormal_any": grading.abnormal() | power_off}
-    counters = [F.count_if(cond).alias(name) for name, cond in flags.items()]
-    grouped = graded.groupBy(*keys, F.window("reading_time", width).alias("w"))
-    rows = grouped.agg(F.count("*").alias("n"), *counters, *_measure_partials())
-    return rows.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                       *[c for c in rows.columns if c not in (*keys, "w")])
+    flags = {"voltage_off": grading.VOLTAGE_OFF, "overheated": grading.OVERHEATED, "power_off": grading.POWER_OFF,
+             "abnormal": grading.ABNORMAL, "abnormal_any": f"{grading.ABNORMAL} OR {grading.POWER_OFF}"}
+    counters = [F.expr(f"count_if({condition}) AS {name}") for name, condition in flags.items()]
+    rows = graded.groupBy(*keys, F.window("reading_time", width).alias("w")).agg(
+        F.expr("COUNT(*) AS n"), *counters, *_measure_partials())
+    return rows.selectExpr(*keys, "w.start AS window_start", "w.end AS window_end",
+                           *[c for c in rows.columns if c not in (*keys, "w")])
+
+
+def _is_additive(column: str) -> bool:
+    return column in ADDITIVE or column.endswith(("_sum", "_cnt"))
 
 
 def weighted(parts: DataFrame, weight: str) -> DataFrame:
     """Counts every reading `weight` times: additive partials grow, extremes stay."""
-    grow = [c for c in parts.columns if c in ADDITIVE or c.endswith(("_sum", "_cnt"))]
-    return parts.withColumns({c: F.col(c) * F.col(weight) for c in grow}).drop(weight)
+    return parts.selectExpr(*[f"{c} * {weight} AS {c}" if _is_additive(c) else c
+                              for c in parts.columns if c != weight])
 
 
 def merged(parts: DataFrame, keys) -> DataFrame:
     """Partials of a coarser key, plus distinct device counts (one partial row per device, window and key)."""
     aggs = []
     for c in parts.columns:
-        if c in ADDITIVE or c.endswith(("_sum", "_cnt")):
-            aggs.append(F.sum(c).alias(c))
-        elif c.endswith("_max"):
-            aggs.append(F.max(c).alias(c))
-        elif c.endswith("_min"):
-            aggs.append(F.min(c).alias(c))
+        if _is_additive(c):
+            aggs.append(f"SUM({c}) AS {c}")
+        elif c.endswith(("_max", "_min")):
+            aggs.append(f"{c[-3:]}({c}) AS {c}")
     return parts.groupBy(*keys).agg(
-        F.count("*").cast("int").alias("total_devices"),
-        F.count_if(F.col("n") > F.col("abnormal")).cast("int").alias("active_devices"),
-        F.count_if(F.col("abnormal") > 0).cast("int").alias("warning_devices"), *aggs)
+        F.expr("CAST(COUNT(*) AS INT) AS total_devices"),
+        F.expr("CAST(count_if(n > abnormal) AS INT) AS active_devices"),
+        F.expr("CAST(count_if(abnormal > 0) AS INT) AS warning_devices"), *map(F.expr, aggs))
 
 
 # --- dimensions of partial rows ---------------------------------------------------------------
 
 @dataclass
 class Dimensions:
-    """Dimension tables in the shape the summaries need; built once, joined to partial rows only."""
+    """Dimension tables in the shape the summaries need; joined to partial rows only."""
 
     devices: DataFrame        # device_dim
-    owners: DataFrame         # owner_dim
+    relations: DataFrame      # customer_device
+    customers: DataFrame
 
     @classmethod
     def of(cls, devices, substations, customer_devices, customers) -> "Dimensions":
-        return cls(device_dim(devices, substations), owner_dim(customer_devices, customers))
+        return cls(device_dim(devices, substations), customer_devices, customers)
 
     def per_device(self) -> DataFrame:
         """Device dimension with `copies`, the number of detail rows one reading yields."""
-        links = self.owners.groupBy("device_id").agg(F.count("*").alias("links"))
+        links = self.relations.groupBy("device_id").agg(F.expr("COUNT(*) AS links"))
         return (self.devices.join(links, "device_id", "left")
-                .withColumn("copies", F.coalesce("links", F.lit(1)).cast("int")).drop("links"))
+                .selectExpr(*self.devices.columns, "CAST(coalesce(links, 1) AS INT) AS copies"))
 
     def per_owner(self) -> DataFrame:
         """(device, known customer) with `copies`, the number of relations between the two."""
-        known = self.owners.where(F.col("customer_id") > 0)
-        links = known.groupBy("device_id", "customer_id", "customer_name").agg(F.count("*").cast("int").alias("copies"))
-        return links.join(self.devices.select("device_id"), "device_id", "left_semi")
+        links = self.relations.groupBy("device_id", "customer_id").agg(F.expr("CAST(COUNT(*) AS INT) AS copies"))
+        names = self.customers.selectExpr("id AS customer_id", "customer_name")
+        return (links.join(names.where("customer_id > 0"), "customer_id")
+                .join(self.devices.select("device_id"), "device_id", "left_semi"))
 
 
 def with_devices(parts: DataFrame, dims: Dimensions) -> DataFrame:
-    return weighted(parts.join(dims.per_device(), "device_id"), "copies")
+    """Partial rows with their device columns. A device has one partial row per window, so no key is hot here."""
+    return weighted(parts.join(sized(dims.per_device()), "device_id"), "copies")
 
 
 def with_owners(parts: DataFrame, dims: Dimensions) -> DataFrame:
-    return weighted(parts.join(dims.per_owner(), "device_id"), "copies")
+    """Partial rows once per known owner.
+
+    The owners are the side that may be hot (a device with very many customers): beyond
+    broadcast size they are the ones cut into pieces, and the device's few partial rows
+    are repeated per piece.
+    """
+    owners = dims.per_owner()
+    if measured_bytes(owners) <= BROADCAST_LIMIT:
+        joined = parts.join(F.broadcast(owners), "device_id")
+    else:
+        joined = split_join(owners, parts, "device_id", "inner", spread_by=["customer_id"])
+    return weighted(joined, "copies")
 
 
 # --- measures of a summary ----------------------------------------------------------------------
 
 def avg(measure: str, alias: str | None = None) -> Column:
-    return exact_avg(F.col(f"{measure}_sum"), F.col(f"{measure}_cnt"), MEASURE_TYPES[measure]).alias(
-        alias or f"avg_{measure}")
+    return exact_avg(f"{measure}_sum", f"{measure}_cnt", MEASURE_TYPES[measure]).alias(alias or f"avg_{measure}")
 
 
 def extreme(kind: str, measure: str, alias: str) -> Column:

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterdw.functions import grading
-from meterdw.functions.measures import exact_avg, stat_date, stat_hour
+from meterdw.functions.measures import column_avg, exact_avg, stat_date, stat_hour
 from meterdw.operators import rollup
 from meterdw.operators.detail import DEVICE, MEASURES, monitor_columns
+from meterdw.operators.joins import sized
 from meterdw.schemas import MEASURE_TYPES, SUM_TYPE
 
 
@@ -51,7 +52,7 @@ def latest_readings(readings: DataFrame) -> DataFrame:
 
 def device_monitor(readings: DataFrame, dim: DataFrame, profile=grading.MAIN) -> DataFrame:
     """Latest graded state per device. Ranks the bare readings first; only the winners are joined and graded."""
-    rows = grading.grade(latest_readings(readings).join(dim, "device_id"), profile)
+    rows = grading.grade(latest_readings(readings).join(sized(dim), "device_id"), profile)
     return rows.select(*monitor_columns(grading.graded_status()))
 
 
@@ -63,29 +64,23 @@ def generated_monitor(detail_rows: DataFrame) -> DataFrame:
 
 def batch_device_states(readings: DataFrame, dim: DataFrame) -> DataFrame:
     """Latest state per device under the batch rules: 0 and NULL count as not measured."""
-    rows = latest_readings(readings).join(dim, "device_id")
+    rows = latest_readings(readings).join(sized(dim), "device_id")
     return (grading.grade(rows, grading.BATCH)
             .withColumn("status", grading.reading_status(zero_is_missing=True))
             .select(*DEVICE, "substation_id", "substation_name", "reading_time", *MEASURES, "health_score", "status"))
 
 
-def _measured(column: str) -> Column:
-    return F.nullif(F.col(column), F.lit(0))
-
-
 def substation_rollup(states: DataFrame) -> DataFrame:
     """Substation overview from one state row per device; averages skip missing values and default to 0."""
     def mean(column):
-        value = _measured(column)
-        return F.coalesce(exact_avg(F.sum(value), F.count(value), MEASURE_TYPES[column]),
-                          F.lit(0).cast(MEASURE_TYPES[column]))
+        value = f"NULLIF({column}, 0)"
+        return F.coalesce(column_avg(value, MEASURE_TYPES[column]), F.lit(0).cast(MEASURE_TYPES[column]))
 
-    normal = F.col("status") == "NORMAL"
     return states.groupBy("substation_id", "substation_name").agg(
-        F.count("*").cast("int").alias("total_devices"),
-        F.count_if(normal).cast("int").alias("normal_devices"),
-        F.count_if(~normal).cast("int").alias("warning_devices"),
-        F.coalesce(F.sum("power"), F.lit(0)).cast(SUM_TYPE).alias("total_power"),
+        F.expr("CAST(COUNT(*) AS INT) AS total_devices"),
+        F.expr("CAST(count_if(status = 'NORMAL') AS INT) AS normal_devices"),
+        F.expr("CAST(count_if(status <> 'NORMAL') AS INT) AS warning_devices"),
+        F.expr(f"CAST(coalesce(SUM(power), 0) AS {SUM_TYPE}) AS total_power"),
         mean("voltage").alias("avg_voltage"), mean("temperature").alias("avg_temperature"))
 
 
@@ -115,9 +110,9 @@ def alarm_statistics(alarms: DataFrame, devices: DataFrame) -> DataFrame:
                   .agg(F.count("*").alias("n"), F.count_if(resolved).alias("done"),
                        F.sum(seconds).alias("secs"), F.count(seconds).alias("timed")))
     keys = ["alarm_date", "alarm_hour", "substation_id", "substation_name", "device_type", "alarm_type", "alarm_level"]
-    return (per_device.join(devices, "device_id").groupBy(*keys)
+    return (per_device.join(sized(devices), "device_id").groupBy(*keys)
             .agg(F.sum("n").cast("int").alias("alarm_count"), F.sum("done").cast("int").alias("resolved_count"),
-                 exact_avg(F.sum("secs"), F.sum("timed") * 60, "decimal(10,2)").alias("avg_resolution_time")))
+                 exact_avg("SUM(secs)", "SUM(timed) * 60", "decimal(10,2)").alias("avg_resolution_time")))
 
 
 def substation_hour_with_alarms(hours: DataFrame, alarms: DataFrame, devices: DataFrame) -> DataFrame:
@@ -131,7 +126,7 @@ def substation_hour_with_alarms(hours: DataFrame, alarms: DataFrame, devices: Da
                   .groupBy("device_id", "stat_date", "stat_hour")
                   .agg(F.count("*").alias("n"), F.count_if(faulty).alias("faults")))
     keys = ["substation_id", "stat_date", "stat_hour"]
-    per_station = (per_device.join(devices.select("device_id", "substation_id"), "device_id").groupBy(*keys)
+    per_station = (per_device.join(sized(devices.select("device_id", "substation_id")), "device_id").groupBy(*keys)
                    .agg(F.sum("n").alias("alarms"), F.count_if(F.col("faults") > 0).alias("faulty")))
     rows = hours.drop("alarm_count", "fault_devices").join(per_station, keys, "left")
     return rows.withColumns({
@@ -149,7 +144,7 @@ def device_stats(readings: DataFrame, device_id: int | None = None) -> DataFrame
     """Reading count, mean voltage and top temperature, of one device or of each."""
     return _of_device(readings, device_id).groupBy("device_id").agg(
         F.count("*").alias("total_readings"),
-        exact_avg(F.sum("voltage"), F.count("voltage"), MEASURE_TYPES["voltage"]).alias("avg_voltage"),
+        column_avg("voltage", MEASURE_TYPES["voltage"]).alias("avg_voltage"),
         F.max("temperature").alias("max_temp"))
 
 
@@ -159,7 +154,7 @@ def raw_hours(readings: DataFrame, device_id: int | None = None, since=None) ->
     if since is not None:
         rows = rows.where(F.col("reading_time") >= since)
     hour = F.date_trunc("hour", "reading_time").cast("timestamp_ntz").alias("hour_time")
-    means = [exact_avg(F.sum(m), F.count(m), MEASURE_TYPES[m]).alias(alias) for m, alias in (
+    means = [column_avg(m, MEASURE_TYPES[m]).alias(alias) for m, alias in (
         ("voltage", "avg_voltage"), ("current_val", "avg_current"), ("power", "avg_power"),
         ("temperature", "avg_temperature"))]
     return rows.groupBy("device_id", hour).agg(F.count("*").alias("reading_count"), *means)

@@ -449,7 +449,9 @@ UNION ALL SELECT 'monitor_records', COUNT(DISTINCT device_id) FROM meter_reading
     "retention_readings": f"SELECT * FROM meter_reading WHERE NOT (reading_time < {LATE} - INTERVAL 7 DAY)",
     "retention_alarms": "SELECT * FROM alarm_info WHERE NOT coalesce(status = 'RESOLVED' AND "
                         f"resolved_time < {LATE} + INTERVAL 10 DAY - INTERVAL 30 DAY, false)",
-    "duplicate_keys": "SELECT device_code, COUNT(*) AS occurrences FROM device_info GROUP BY device_code "
+    "duplicate_keys": "SELECT 'device_info' AS table_name, device_code AS code, COUNT(*) AS occurrences "
+                      "FROM device_info GROUP BY device_code HAVING COUNT(*) > 1 UNION ALL "
+                      "SELECT 'grid_customer', customer_code, COUNT(*) FROM grid_customer GROUP BY customer_code "
                       "HAVING COUNT(*) > 1",
     "orphan_readings": "SELECT id, device_id, reading_time FROM meter_reading m WHERE NOT EXISTS "
                        "(SELECT 1 FROM device_info d WHERE d.id = m.device_id)",

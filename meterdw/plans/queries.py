@@ -450,7 +450,11 @@ def retention_alarms(wh):
 
 @query
 def duplicate_keys(wh):
-    return quality.duplicates(wh.device_info(), ["device_code"])
+    found = [quality.duplicates(table, [code]).select(F.lit(name).alias("table_name"), F.col(code).alias("code"),
+                                                      "occurrences")
+             for name, table, code in (("device_info", wh.device_info(), "device_code"),
+                                       ("grid_customer", wh.grid_customer(), "customer_code"))]
+    return found[0].unionByName(found[1])
 
 
 @query

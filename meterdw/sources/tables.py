@@ -7,9 +7,7 @@ grading boundary; the grid constants are fixed values shared with the SQL checks
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterdw import schemas
@@ -26,33 +24,31 @@ def scan(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def conform(df: DataFrame, schema: dict[str, str]) -> DataFrame:
-    """Exactly the declared columns, in order, cast to the declared types."""
-    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in schema.items()])
+def conform(df: DataFrame, schema: dict[str, str], **values: str) -> DataFrame:
+    """Exactly the declared columns, in order and type; `values` holds the SQL expression of each."""
+    return df.selectExpr(*[f"CAST({values.get(name, name)} AS {kind}) AS {name}" for name, kind in schema.items()])
 
 
-def _grid(key: Column, factor: int, buckets: int, base: int, step: int, scale: int) -> Column:
-    # reduce before multiplying: same remainder, and no overflow for huge ids
-    bucket = ((key % buckets) * (factor % buckets)) % buckets
-    return ((bucket * step + base) * F.lit(Decimal(1).scaleb(-scale)))
+def _grid(key: str, factor: int, buckets: int, base: int, step: int, unit: str) -> str:
+    # reduce before multiplying: same remainder, and no overflow for huge ids;
+    # the int cast keeps the decimal product small enough for long arithmetic
+    bucket = f"({key} % {buckets}) * {factor % buckets} % {buckets}"
+    return f"CAST({bucket} * {step} + {base} AS INT) * {unit}"
 
 
 def readings_from(events: DataFrame) -> DataFrame:
     """meter_reading rows from event rows; works on a batch or a streaming frame."""
-    key = F.col("event_id")
-    degrees = F.get_json_object("props", "$.k").cast("int") + 20
-    return conform(events.select(
-        key.alias("id"),
-        (F.col("user_id") + 1).alias("device_id"),
-        F.col("ts").alias("reading_time"),
-        F.when(key % 97 != 0, _grid(key, 7919, 201, 17000, 50, 2)).alias("voltage"),
-        _grid(key, 104729, 421, 800, 10, 2).alias("current_val"),
-        _grid(key, 15485863, 61, 50000, 10000, 2).alias("power"),
-        F.col("value").alias("energy"),
-        _grid(key, 31, 61, 700, 5, 3).alias("power_factor"),
-        _grid(key, 17, 21, 4900, 10, 2).alias("frequency"),
-        F.when(key % 101 != 0, degrees).alias("temperature"),
-    ), schemas.METER_READING)
+    key = "event_id"
+    return conform(
+        events, schemas.METER_READING,
+        id=key, device_id="user_id + 1", reading_time="ts",
+        voltage=f"IF({key} % 97 = 0, NULL, {_grid(key, 7919, 201, 17000, 50, '0.01')})",
+        current_val=_grid(key, 104729, 421, 800, 10, "0.01"),
+        power=_grid(key, 15485863, 61, 50000, 10000, "0.01"),
+        energy="value",
+        power_factor=_grid(key, 31, 61, 700, 5, "0.001"),
+        frequency=_grid(key, 17, 21, 4900, 10, "0.01"),
+        temperature=f"IF({key} % 101 = 0, NULL, CAST(get_json_object(props, '$.k') AS INT) + 20)")
 
 
 class Warehouse:
@@ -72,85 +68,60 @@ class Warehouse:
         return readings_from(self.events())
 
     def device_info(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        device = (key + 1).cast("int")
-        return conform(self._file("supplier", SUPPLIER).select(
-            device.alias("id"),
-            F.concat(F.lit("DEV"), F.lpad(device.cast("string"), 3, "0")).alias("device_code"),
-            F.col("s_name").alias("device_name"),
-            F.when(key % 3 == 0, "TRANSFORMER").when(key % 3 == 1, "BREAKER").otherwise("METER").alias("device_type"),
-            (F.col("s_nationkey") + 1).alias("substation_id"),
-            F.when(key % 11 == 0, "MAINTENANCE").when(key % 13 == 0, "DELETED").otherwise("NORMAL").alias("status"),
-        ), schemas.DEVICE_INFO)
+        return conform(
+            self._file("supplier", SUPPLIER), schemas.DEVICE_INFO,
+            id="s_suppkey + 1", device_code="'DEV' || lpad(CAST(s_suppkey + 1 AS STRING), 3, '0')",
+            device_name="s_name",
+            device_type="CASE s_suppkey % 3 WHEN 0 THEN 'TRANSFORMER' WHEN 1 THEN 'BREAKER' ELSE 'METER' END",
+            substation_id="s_nationkey + 1",
+            status="CASE WHEN s_suppkey % 11 = 0 THEN 'MAINTENANCE' WHEN s_suppkey % 13 = 0 THEN 'DELETED' "
+                   "ELSE 'NORMAL' END")
 
     def substation(self) -> DataFrame:
         # one nation stays out on purpose: its devices point to an unknown substation
-        nation = self._file("nation", NATION).where(F.col("n_nationkey") != 24)
+        nation = self._file("nation", NATION).where("n_nationkey <> 24")
         region = self._file("region", REGION)
-        level = F.col("n_regionkey") % 3
-        return conform(nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-            (F.col("n_nationkey") + 1).alias("id"),
-            F.col("n_name").alias("name"),
-            F.col("r_name").alias("location"),
-            F.when(level == 0, 110).when(level == 1, 220).otherwise(500).alias("voltage_level"),
-            ((F.col("n_nationkey") + 1) * 100).alias("capacity"),
-            F.lit("ACTIVE").alias("status"),
-        ), schemas.SUBSTATION)
+        return conform(
+            nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")), schemas.SUBSTATION,
+            id="n_nationkey + 1", name="n_name", location="r_name",
+            voltage_level="CASE n_regionkey % 3 WHEN 0 THEN 110 WHEN 1 THEN 220 ELSE 500 END",
+            capacity="(n_nationkey + 1) * 100", status="'ACTIVE'")
 
     def _customers(self) -> DataFrame:
         return self._file("customer", CUSTOMER)
 
     def grid_customer(self) -> DataFrame:
-        customer = (F.col("c_custkey") + 1).cast("int")
-        return conform(self._customers().select(
-            customer.alias("id"),
-            F.concat(F.lit("CUST"), F.lpad(customer.cast("string"), 3, "0")).alias("customer_code"),
-            F.col("c_name").alias("customer_name"),
-            F.col("c_mktsegment").alias("customer_type"),
-        ), schemas.CUSTOMER)
+        return conform(
+            self._customers(), schemas.CUSTOMER,
+            id="c_custkey + 1", customer_code="'CUST' || lpad(CAST(c_custkey + 1 AS STRING), 3, '0')",
+            customer_name="c_name", customer_type="c_mktsegment")
 
     def customer_device(self) -> DataFrame:
         """Owners of devices: 0, 1 or 2 per device. Ids come from the customer key, not from a global numbering."""
-        key = F.col("c_custkey")
-        own = F.when(key % 20 == 0, F.floor(key / 20) + 1)
-        shared = F.when(key % 30 == 1, F.floor(key / 30) + 1)
-        links = self._customers().select(
-            (key + 1).alias("customer_id"),
-            F.explode(F.array(
-                F.struct((key * 2 + 1).alias("id"), own.alias("device_id")),
-                F.struct((key * 2 + 2).alias("id"), shared.alias("device_id")))).alias("link"))
-        return conform(links.where(F.col("link.device_id").isNotNull()).select(
-            F.col("link.id").alias("id"), "customer_id", F.col("link.device_id").alias("device_id"),
-            F.lit("OWNER").alias("relationship_type")), schemas.CUSTOMER_DEVICE)
+        links = self._customers().selectExpr(
+            "c_custkey",
+            "stack(2, c_custkey * 2 + 1, IF(c_custkey % 20 = 0, c_custkey div 20 + 1, NULL), "
+            "c_custkey * 2 + 2, IF(c_custkey % 30 = 1, c_custkey div 30 + 1, NULL)) AS (id, device_id)")
+        return conform(links.where("device_id IS NOT NULL"), schemas.CUSTOMER_DEVICE,
+                       customer_id="c_custkey + 1", relationship_type="'OWNER'")
 
     def alarm_info(self) -> DataFrame:
         # fixed values: alarm types and levels by remainder of the event key
         types = ("OVERVOLTAGE", "UNDERVOLTAGE", "OVERCURRENT", "OVERTEMPERATURE", "POWER_FAILURE",
                  "COMMUNICATION_FAULT")
         levels = ("INFO", "WARNING", "ERROR", "CRITICAL")
-        key = F.col("event_id")
-        resolved = key % 3 == 0
-        minutes = (key % 120 + 1).cast("int")
 
         def pick(labels):
-            return F.element_at(F.array(*[F.lit(x) for x in labels]), (key % len(labels) + 1).cast("int"))
-
-        return conform(self.events().where(F.col("event_type") == "error").select(
-            key.alias("id"),
-            (F.col("user_id") + 1).alias("device_id"),
-            pick(types).alias("alarm_type"),
-            pick(levels).alias("alarm_level"),
-            F.col("ts").alias("alarm_time"),
-            F.when(resolved, "RESOLVED").otherwise("ACTIVE").alias("status"),
-            F.when(resolved, F.col("ts") + F.make_dt_interval(mins=minutes)).alias("resolved_time"),
-        ), schemas.ALARM_INFO)
+            return f"elt(CAST(event_id % {len(labels)} AS INT) + 1, {', '.join(map(repr, labels))})"
+
+        return conform(
+            self.events().where("event_type = 'error'"), schemas.ALARM_INFO,
+            id="event_id", device_id="user_id + 1", alarm_type=pick(types), alarm_level=pick(levels), alarm_time="ts",
+            status="IF(event_id % 3 = 0, 'RESOLVED', 'ACTIVE')",
+            resolved_time="IF(event_id % 3 = 0, ts + make_dt_interval(0, 0, CAST(event_id % 120 AS INT) + 1), NULL)")
 
     def changelog(self) -> DataFrame:
         """Change rows (op, seq, key, after image): signup creates, error deletes, the rest updates."""
-        kind = F.col("event_type")
-        return self.events().select(
-            F.when(kind == "signup", "c").when(kind == "error", "d").otherwise("u").alias("op"),
-            F.col("event_id").alias("seq"),
-            F.col("user_id").alias("account_id"),
-            F.col("value").cast("decimal(12,2)").alias("balance"),
-            F.col("ts").alias("changed_at"))
+        return self.events().selectExpr(
+            "CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op",
+            "event_id AS seq", "user_id AS account_id", "CAST(value AS DECIMAL(12,2)) AS balance", "ts AS changed_at")
