@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,9 +31,19 @@ def stat_hour(ts: str) -> Column:
 
 
 def as_column(value) -> Column:
-    """An `as_of` argument: a column (e.g. a scalar subquery) or a Python timestamp literal."""
+    """A time argument: a column (e.g. a scalar subquery) or a Python timestamp literal."""
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp_ntz")
 
 
-def ago(as_of, interval: str) -> Column:
-    return as_column(as_of) - F.expr(f"INTERVAL {interval}")
+def before(as_of: dt.datetime, age: str) -> Column:
+    """The moment `age` (e.g. '1 HOUR') before a literal time."""
+    return as_column(as_of) - F.expr(f"INTERVAL {age}")
+
+
+def newest(df: DataFrame, ts: str, shift: str = "") -> Column:
+    """Scalar subquery: the newest time of a table, shifted (e.g. '- INTERVAL 1 HOUR').
+
+    The shift is part of the subquery, so a comparison with the result stays a plain
+    column-to-value filter, the form file and partition pruning understand.
+    """
+    return df.agg(F.expr(f"MAX({ts}) {shift} AS newest")).scalar()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterdw.functions.measures import ago, as_column
+from meterdw.functions.measures import as_column
 from meterdw.operators.serving import latest
 
 DELETE = "d"
@@ -83,10 +83,10 @@ def not_deleted(df: DataFrame) -> DataFrame:
     return df.where(F.col("status") != "DELETED")
 
 
-def retain(df: DataFrame, ts: str, age: str, as_of, only: Column | None = None) -> DataFrame:
-    """Drops rows (of those matching `only`) older than `age`; rows without a time stay."""
-    old = F.col(ts) < ago(as_of, age)
-    return delete_where(df, old if only is None else old & only)
+def retain(df: DataFrame, ts: str, since, only: Column | None = None) -> DataFrame:
+    """Drops rows (of those matching `only`) older than `since`; rows without a time stay."""
+    kept = (F.col(ts) >= as_column(since)) | F.col(ts).isNull()
+    return df.where(kept if only is None else kept | ~F.coalesce(only, F.lit(False)))
 
 
 def deletable(parents: DataFrame, pk: str, children: DataFrame, fk: str) -> DataFrame:

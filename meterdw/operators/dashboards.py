@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterdw.functions.measures import ago, as_column, column_avg, exact_avg
+from meterdw.functions.measures import as_column, column_avg, exact_avg
 from meterdw.operators.serving import top_n
 from meterdw.schemas import MEASURE_TYPES
 
@@ -23,16 +23,17 @@ def latest_devices(monitor: DataFrame, n: int = 8) -> DataFrame:
     return top_n(columns, [F.desc("last_update_time"), F.col("device_id")], n)
 
 
-def recent_substations(windows: DataFrame, as_of, age: str = "5 MINUTES", n: int = 6) -> DataFrame:
-    rows = windows.where(F.col("window_start") >= ago(as_of, age)).select(
+def recent_substations(windows: DataFrame, since, n: int = 6) -> DataFrame:
+    """Newest substation windows starting at or after `since`."""
+    rows = windows.where(F.col("window_start") >= as_column(since)).select(
         "substation_name", "total_devices", "active_devices", "warning_devices", "total_power", "avg_voltage",
         "avg_temperature", "window_start")
     return top_n(rows, [F.desc("window_start"), F.col("substation_name")], n)
 
 
-def window_stats(windows: DataFrame, as_of, age: str = "10 MINUTES") -> DataFrame:
-    """One row of totals over the device windows younger than `age`."""
-    return windows.where(F.col("window_start") >= ago(as_of, age)).agg(
+def window_stats(windows: DataFrame, since) -> DataFrame:
+    """One row of totals over the device windows starting at or after `since`."""
+    return windows.where(F.col("window_start") >= as_column(since)).agg(
         F.count("*").alias("total_windows"),
         column_avg("reading_count", "decimal(12,2)").alias("avg_readings_per_window"),
         column_avg("avg_voltage", MEASURE_TYPES["voltage"]).alias("overall_avg_voltage"),
@@ -78,11 +79,14 @@ def _labelled(counts: DataFrame) -> DataFrame:
 
 
 def monitor_counts(readings: DataFrame, alarms: DataFrame, devices: DataFrame, monitor: DataFrame,
-                   as_of) -> DataFrame:
-    """The monitor report as (metric, value) rows; every table is read once."""
-    today = F.to_date(as_column(as_of))
+                   last_hour, today) -> DataFrame:
+    """The monitor report as (metric, value) rows; every table is read once.
+
+    `last_hour` is the moment an hour ago, `today` any moment of the current day.
+    """
+    last_hour, today = as_column(last_hour), F.to_date(as_column(today))
     of_readings = readings.agg(
-        F.count_if(F.col("reading_time") > ago(as_of, "1 HOUR")).alias("readings_last_hour"),
+        F.count_if(F.col("reading_time") > last_hour).alias("readings_last_hour"),
         F.count_if(F.to_date("reading_time") == today).alias("readings_today"))
     of_alarms = alarms.agg(
         F.count_if(F.col("status") == "ACTIVE").alias("active_alarms"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterdw.functions import grading, identity
-from meterdw.functions.measures import ago, as_column
+from meterdw.functions.measures import as_column
 from meterdw.operators.joins import lookup_join
 
 MEASURES = ["voltage", "current_val", "power", "energy", "power_factor", "frequency", "temperature"]
@@ -124,9 +124,9 @@ def four_level_monitor(detail_rows: DataFrame) -> DataFrame:
     return detail_rows.select(*monitor_columns(grading.four_level_status()))
 
 
-def recent_monitor(readings: DataFrame, dim: DataFrame, as_of, age: str = "1 HOUR") -> DataFrame:
-    """Monitor rows of the readings younger than `age`; the time filter runs before the join."""
-    recent = readings.where(F.col("reading_time") > ago(as_of, age))
+def recent_monitor(readings: DataFrame, dim: DataFrame, since) -> DataFrame:
+    """Monitor rows of the readings after `since`; the time filter runs before the join and the grading."""
+    recent = readings.where(F.col("reading_time") > as_column(since))
     joined = lookup_join(recent, dim, "device_id", spread_by=["id"])
     return (joined.withColumn("health_score", grading.health(grading.G1))
             .select(*monitor_columns(grading.reading_status())))

@@ -31,11 +31,13 @@ def build_batch(wh: Warehouse, root: str) -> dict[str, str]:
         "dwd_detail", "dws_device_hour", "dws_substation_hour", "dws_customer_hour",
         "ads_device_monitor", "ads_substation_overview")}
     readings, dims = wh.meter_reading(), dimensions(wh)
-    files.full_refresh(detail.detail(readings, owned_devices(wh)), paths["dwd_detail"])
+    by_date = ("stat_date",)
+    rows = detail.detail(readings, owned_devices(wh)).withColumn("stat_date", F.to_date("reading_time"))
+    files.full_refresh(rows, paths["dwd_detail"], partition_by=by_date)
     parts = serving.hour_parts(readings)
     with_devices = rollup.with_devices(parts, dims)
     files.full_refresh(rollup.device_hour(with_devices), paths["dws_device_hour"],
-                       unique=("device_id", "stat_date", "stat_hour"))
+                       unique=("device_id", "stat_date", "stat_hour"), partition_by=by_date)
     files.full_refresh(rollup.substation_hour(with_devices), paths["dws_substation_hour"],
                        unique=("substation_id", "stat_date", "stat_hour"))
     files.full_refresh(rollup.customer_hour(rollup.with_owners(parts, dims)), paths["dws_customer_hour"],

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterdw.functions import grading
+from meterdw.functions.measures import newest
 from meterdw.operators import changelog, dashboards, detail, quality, rollup, serving
-from meterdw.plans.pipelines import devices, dimensions, owned_devices
+from meterdw.plans.pipelines import devices, dimensions, latest_monitor, owned_devices
 from meterdw.session import scratch_dir, utc_session
 from meterdw.sinks import files
 from meterdw.sources.tables import Warehouse
@@ -138,13 +139,13 @@ def quick_monitor(wh):
     return detail.quick_monitor(wh.meter_reading())
 
 
-def _now(wh, column: str = "reading_time"):
-    return wh.meter_reading().agg(F.max(column)).scalar()
+def _now(wh, shift: str = ""):
+    return newest(wh.meter_reading(), "reading_time", shift)
 
 
 @query
 def monitor_recent_hour(wh):
-    return detail.recent_monitor(wh.meter_reading(), devices(wh), _now(wh))
+    return detail.recent_monitor(wh.meter_reading(), devices(wh), _now(wh, "- INTERVAL 1 HOUR"))
 
 
 @query
@@ -281,13 +282,12 @@ def substation_hour_with_alarms(wh):
 # --- dashboards -------------------------------------------------------------------------------------
 
 def _generated_monitor(wh):
-    newest = detail.generated_detail(serving.latest_readings(wh.meter_reading()))
-    return detail.four_level_monitor(newest)
+    return detail.four_level_monitor(detail.generated_detail(serving.latest_readings(wh.meter_reading())))
 
 
-def _recent(wh, age: str) -> DataFrame:
-    """Readings that can fall into windows starting after now - age; this filter reaches the file scan."""
-    return wh.meter_reading().where(F.col("reading_time") >= _now(wh) - F.expr(f"INTERVAL {age}"))
+def _recent(wh, since) -> DataFrame:
+    """Readings that can fall into windows starting at or after `since`, filtered before they are graded."""
+    return wh.meter_reading().where(F.col("reading_time") >= since)
 
 
 @query
@@ -302,21 +302,21 @@ def dash_latest_devices(wh):
 
 @query
 def dash_substation_recent(wh):
-    windows = rollup.substation_30s(_generated_parts(_recent(wh, "5 MINUTES")))
-    return dashboards.recent_substations(windows, _now(wh), "5 MINUTES")
+    since = _now(wh, "- INTERVAL 5 MINUTES")
+    return dashboards.recent_substations(rollup.substation_30s(_generated_parts(_recent(wh, since))), since)
 
 
 @query
 def dash_window_stats(wh):
-    windows = rollup.device_30s(_generated_parts(_recent(wh, "10 MINUTES")))
-    return dashboards.window_stats(windows, _now(wh), "10 MINUTES")
+    since = _now(wh, "- INTERVAL 10 MINUTES")
+    return dashboards.window_stats(rollup.device_30s(_generated_parts(_recent(wh, since))), since)
 
 
 @query
 def monitor_counts(wh):
     readings = wh.meter_reading()
     return dashboards.monitor_counts(readings, wh.alarm_info(), wh.device_info(),
-                                     readings.select("device_id").distinct(), _now(wh))
+                                     readings.select("device_id").distinct(), _now(wh, "- INTERVAL 1 HOUR"), _now(wh))
 
 
 @query
@@ -439,13 +439,13 @@ def customers_deletable(wh):
 
 @query
 def retention_readings(wh):
-    return changelog.retain(wh.meter_reading(), "reading_time", "7 DAYS", _now(wh))
+    return changelog.retain(wh.meter_reading(), "reading_time", _now(wh, "- INTERVAL 7 DAYS"))
 
 
 @query
 def retention_alarms(wh):
-    later = _now(wh) + F.expr("INTERVAL 10 DAYS")
-    return changelog.retain(wh.alarm_info(), "resolved_time", "30 DAYS", later, F.col("status") == "RESOLVED")
+    since = _now(wh, "+ INTERVAL 10 DAYS - INTERVAL 30 DAYS")
+    return changelog.retain(wh.alarm_info(), "resolved_time", since, F.col("status") == "RESOLVED")
 
 
 @query
@@ -473,7 +473,7 @@ def reconcile_hour(wh):
 
 @query
 def layer_flow(wh):
-    since = _now(wh) - F.expr("INTERVAL 1 DAY")
+    since = _now(wh, "- INTERVAL 1 DAY")
     return quality.layer_flow({
         "ods": (wh.meter_reading(), "reading_time"),
         "ads": (ads_device_realtime(wh), "last_update_time")}, since)
@@ -544,8 +544,7 @@ def stream_device_hour(wh):
 def stream_latest_device(wh):
     wh, readings, root = _stream(wh)
     jobs.latest_job(readings, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    newest = files.read_latest(wh.spark, f"{root}/out", ["device_id"], [F.desc("reading_time"), F.desc("id")])
-    return serving.device_monitor(newest, devices(wh))
+    return latest_monitor(wh, f"{root}/out")
 
 
 @query

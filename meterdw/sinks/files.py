@@ -49,16 +49,17 @@ class DuplicateKeys(ValueError):
     """A staged table breaks a uniqueness rule and was not published."""
 
 
-def full_refresh(df: DataFrame, path: str, unique: tuple[str, ...] = ()) -> None:
+def full_refresh(df: DataFrame, path: str, unique: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()) -> None:
     """Replaces the table at `path` as a whole, or not at all.
 
     Rows are staged under a new run folder; readers switch when the run is recorded as
     published, which is one small committed write. A failure or a duplicate key before
-    that leaves the previous rows in place.
+    that leaves the previous rows in place. Partition large tables by date: Parquet
+    statistics on zone-less timestamps are not used for skipping, partitions are.
     """
     run = time.time_ns()
     staged = f"{path}/rows/run={run}"
-    df.write.parquet(staged)
+    df.write.partitionBy(*partition_by).parquet(staged)
     spark = df.sparkSession
     if unique and not duplicates(spark.read.parquet(staged), list(unique)).isEmpty():
         raise DuplicateKeys(f"duplicate {unique} in {staged}")
