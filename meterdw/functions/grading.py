@@ -150,10 +150,10 @@ def four_level_status() -> Column:
                         "'NORMAL'"))
 
 
-def window_status(*counters: str) -> Column:
+def window_status_text(*counters: str) -> str:
     """WARNING when any abnormal counter is positive, else FAULT below an average health of 70."""
     positive = " OR ".join(f"{c} > 0" for c in counters)
-    return F.expr(_case([(positive, "'WARNING'"), ("avg_health_score < 70", "'FAULT'")], "'NORMAL'"))
+    return _case([(positive, "'WARNING'"), ("avg_health_score < 70", "'FAULT'")], "'NORMAL'")
 
 
 def window_console_status() -> Column:

@@ -18,34 +18,30 @@ SMART_METER = ("智能电表", "SMART_METER")
 PLAIN_METER = ("设备", "METER")
 
 
-def padded_code(prefix: str, number) -> Column:
-    text = (F.col(number) if isinstance(number, str) else number).cast("string")
-    return F.concat(F.lit(prefix), F.lpad(text, 3, "0"))
+def padded_code(prefix: str, number: str) -> str:
+    return f"concat('{prefix}', lpad(CAST({number} AS STRING), 3, '0'))"
 
 
-def substation_for(limits, device_id: str = "device_id") -> Column:
+def substation_text(limits, device_id: str = "device_id") -> str:
     steps, otherwise = limits
-    (bound, name), *rest = steps
-    chain = F.when(F.col(device_id) <= bound, F.lit(name))
-    for bound, name in rest:
-        chain = chain.when(F.col(device_id) <= bound, F.lit(name))
-    return chain.otherwise(F.lit(otherwise))
+    arms = " ".join(f"WHEN {device_id} <= {bound} THEN '{name}'" for bound, name in steps)
+    return f"CASE {arms} ELSE '{otherwise}' END"
+
+
+def substation_for(limits, device_id: str = "device_id") -> Column:
+    return F.expr(substation_text(limits, device_id))
 
 
 def with_generated_names(df: DataFrame, limits=THREE_SUBSTATIONS, kind=SMART_METER) -> DataFrame:
     """Adds device_code, device_name, device_type and substation_name from device_id alone."""
     name_prefix, device_type = kind
-    return df.withColumns({
-        "device_code": padded_code("DEV", "device_id"),
-        "device_name": F.concat(F.lit(name_prefix), F.col("device_id").cast("string")),
-        "device_type": F.lit(device_type),
-        "substation_name": substation_for(limits),
-    })
+    return df.selectExpr(
+        "*", f"{padded_code('DEV', 'device_id')} AS device_code",
+        f"concat('{name_prefix}', CAST(device_id AS STRING)) AS device_name", f"'{device_type}' AS device_type",
+        f"{substation_text(limits)} AS substation_name")
 
 
 def with_customer_labels(df: DataFrame) -> DataFrame:
     """customer_code and the constant customer_type of the customer summaries."""
-    return df.withColumns({
-        "customer_code": padded_code("CUST", "customer_id"),
-        "customer_type": F.lit("UNKNOWN"),
-    })
+    return df.selectExpr("*", f"{padded_code('CUST', 'customer_id')} AS customer_code",
+                         "'UNKNOWN' AS customer_type")

@@ -8,13 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_avg(total: str, count: str, to_type: str) -> Column:
-    """total / count (SQL expressions), rounded half-up once to the declared scale; NULL when count is 0.
+def avg_text(total: str, count: str, to_type: str) -> str:
+    """SQL text of total / count, rounded half-up once to the declared scale; NULL when count is 0.
 
     AVG on a decimal rounds to six digits first; dividing the exact sum keeps enough
     digits that only the final cast decides.
     """
-    return F.expr(f"CAST(CAST({total} AS DECIMAL(22,3)) / CAST(NULLIF({count}, 0) AS DECIMAL(19,0)) AS {to_type})")
+    return f"CAST(CAST({total} AS DECIMAL(22,3)) / CAST(NULLIF({count}, 0) AS DECIMAL(19,0)) AS {to_type})"
+
+
+def exact_avg(total: str, count: str, to_type: str) -> Column:
+    return F.expr(avg_text(total, count, to_type))
 
 
 def column_avg(column: str, to_type: str) -> Column:

@@ -1,33 +1,26 @@
-"""Energy prices per kWh."""
+"""Energy prices per kWh, as SQL text."""
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # fixed values
-FLAT = Decimal("0.6")
-PEAK, SHOULDER, VALLEY = Decimal("0.8"), Decimal("0.6"), Decimal("0.4")
+FLAT = "0.6"
+PEAK, SHOULDER, VALLEY = "0.8", "0.6", "0.4"
 PEAK_HOURS = ((8, 11), (18, 21))
 SHOULDER_HOURS = ((12, 17), (22, 23))
 
 
-def _within(hour: Column, ranges) -> Column:
-    (a, b), (c, d) = ranges
-    return hour.between(a, b) | hour.between(c, d)
+def _within(hour: str, ranges) -> str:
+    return " OR ".join(f"{hour} BETWEEN {first} AND {last}" for first, last in ranges)
 
 
-def time_of_use_rate(hour: Column) -> Column:
-    return (F.when(_within(hour, PEAK_HOURS), F.lit(PEAK))
-            .when(_within(hour, SHOULDER_HOURS), F.lit(SHOULDER))
-            .otherwise(F.lit(VALLEY)))
+def time_of_use_rate(hour: str) -> str:
+    return (f"CASE WHEN {_within(hour, PEAK_HOURS)} THEN {PEAK} "
+            f"WHEN {_within(hour, SHOULDER_HOURS)} THEN {SHOULDER} ELSE {VALLEY} END")
 
 
-def flat_cost(energy: Column) -> Column:
-    return energy * F.lit(FLAT)
+def flat_cost(energy: str) -> str:
+    return f"{energy} * {FLAT}"
 
 
-def time_of_use_cost(hour: Column, energy: Column) -> Column:
-    return energy * time_of_use_rate(hour)
+def time_of_use_cost(hour: str, energy: str) -> str:
+    return f"{energy} * {time_of_use_rate(hour)}"

@@ -97,7 +97,7 @@ def simple_monitor(readings: DataFrame, layer: str = "ADS-应用数据层") -> D
 def quick_monitor(readings: DataFrame) -> DataFrame:
     """Code, three measures, quick health and the status without a low-voltage test."""
     return readings.select(
-        "device_id", identity.padded_code("DEV", "device_id").alias("device_code"),
+        "device_id", F.expr(identity.padded_code("DEV", "device_id")).alias("device_code"),
         "voltage", "power", "temperature",
         grading.health(grading.G3).alias("health_score"),
         grading.reading_status(low_voltage=False).alias("status"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterdw.functions import grading, identity, tariff
-from meterdw.functions.measures import exact_avg
+from meterdw.functions.measures import avg_text
 from meterdw.operators.detail import device_dim
 from meterdw.operators.joins import BROADCAST_LIMIT, measured_bytes, sized, split_join
 from meterdw.schemas import COST_TYPE, MEASURE_TYPES, SUM_TYPE
@@ -27,22 +27,23 @@ WINDOW = ["window_start", "window_end"]
 
 # --- the partial aggregate --------------------------------------------------------------------
 
-def _measure_partials() -> list[Column]:
+def _measure_partials(measures) -> list[Column]:
     kinds = {"sum": "SUM", "cnt": "COUNT", "max": "MAX", "min": "MIN"}
-    return [F.expr(f"{fn}({m}) AS {m}_{kind}") for m in MEASURE_TYPES for kind, fn in kinds.items()]
+    return [F.expr(f"{fn}({m}) AS {m}_{kind}") for m in measures for kind, fn in kinds.items()]
 
 
-def partials(graded: DataFrame, width: str, keys=("device_id",)) -> DataFrame:
-    """(keys, tumbling window) partial rows; unused measures are pruned by the optimizer.
+def partials(graded: DataFrame, width: str, keys=("device_id",), measures=tuple(MEASURE_TYPES)) -> DataFrame:
+    """(keys, tumbling window) partial rows.
 
     `graded` may be plain graded readings, a stored detail table with more keys, or a
-    stream with a watermark on reading_time.
+    stream with a watermark on reading_time. In a batch the optimizer prunes what a
+    summary does not use; a stream keeps all of it as state, so name the `measures` there.
     """
     flags = {"voltage_off": grading.VOLTAGE_OFF, "overheated": grading.OVERHEATED, "power_off": grading.POWER_OFF,
              "abnormal": grading.ABNORMAL, "abnormal_any": f"{grading.ABNORMAL} OR {grading.POWER_OFF}"}
     counters = [F.expr(f"count_if({condition}) AS {name}") for name, condition in flags.items()]
     rows = graded.groupBy(*keys, F.window("reading_time", width).alias("w")).agg(
-        F.expr("COUNT(*) AS n"), *counters, *_measure_partials())
+        F.expr("COUNT(*) AS n"), *counters, *_measure_partials(measures))
     return rows.selectExpr(*keys, "w.start AS window_start", "w.end AS window_end",
                            *[c for c in rows.columns if c not in (*keys, "w")])
 
@@ -119,51 +120,40 @@ def with_owners(parts: DataFrame, dims: Dimensions) -> DataFrame:
     return weighted(joined, "copies")
 
 
-# --- measures of a summary ----------------------------------------------------------------------
+# --- output columns of a summary, as SQL text over partial columns ----------------------------
 
-def avg(measure: str, alias: str | None = None) -> Column:
-    return exact_avg(f"{measure}_sum", f"{measure}_cnt", MEASURE_TYPES[measure]).alias(alias or f"avg_{measure}")
-
-
-def extreme(kind: str, measure: str, alias: str) -> Column:
-    return F.col(f"{measure}_{kind}").alias(alias)
-
-
-def total(measure: str, alias: str) -> Column:
-    return F.col(f"{measure}_sum").cast(SUM_TYPE).alias(alias)
-
-
-def _calendar() -> list[Column]:
-    return [F.to_date("window_start").alias("stat_date"), F.hour("window_start").alias("stat_hour")]
+DEVICE_KEYS = ["device_id", "device_code", "device_name", "device_type"]
+CALENDAR = ["to_date(window_start) AS stat_date", "hour(window_start) AS stat_hour"]
+ABNORMAL = "abnormal AS abnormal_count"
+ENERGY = f"CAST(energy_sum AS {SUM_TYPE})"
 
 
-def _electric() -> list[Column]:
-    return [avg("voltage"), extreme("max", "voltage", "max_voltage"), extreme("min", "voltage", "min_voltage"),
-            avg("current_val", "avg_current"), extreme("max", "current_val", "max_current"),
-            avg("power"), extreme("max", "power", "max_power"), total("energy", "total_energy")]
+def avg(measure: str, alias: str | None = None) -> str:
+    return f"{avg_text(f'{measure}_sum', f'{measure}_cnt', MEASURE_TYPES[measure])} AS {alias or 'avg_' + measure}"
 
 
-def _full_device_measures() -> list[Column]:
-    return [F.col("n").alias("reading_count"), *_electric(), avg("power_factor"), avg("frequency"),
-            avg("temperature"), extreme("max", "temperature", "max_temperature"),
-            extreme("min", "temperature", "min_temperature"), avg("health_score")]
+def total(measure: str, alias: str) -> str:
+    return f"CAST({measure}_sum AS {SUM_TYPE}) AS {alias}"
 
 
-DEVICE_KEYS = ["device_id", "device_code", "device_name", "device_type"]
+ELECTRIC = [avg("voltage"), "voltage_max AS max_voltage", "voltage_min AS min_voltage",
+            avg("current_val", "avg_current"), "current_val_max AS max_current",
+            avg("power"), "power_max AS max_power", total("energy", "total_energy")]
+DEVICE_MEASURES = ["n AS reading_count", *ELECTRIC, avg("power_factor"), avg("frequency"), avg("temperature"),
+                   "temperature_max AS max_temperature", "temperature_min AS min_temperature", avg("health_score")]
 
 
 # --- summaries; input: partial rows carrying their dimension columns ---------------------------
 
 def device_hour(parts: DataFrame) -> DataFrame:
     """Device x calendar hour; abnormal counts voltage and temperature grades."""
-    return parts.select(*DEVICE_KEYS, "substation_id", "substation_name", *_calendar(), *_full_device_measures(),
-                        F.col("abnormal").alias("abnormal_count"))
+    return parts.selectExpr(*DEVICE_KEYS, "substation_id", "substation_name", *CALENDAR, *DEVICE_MEASURES, ABNORMAL)
 
 
 def device_hour_tumble(parts: DataFrame) -> DataFrame:
     """Device x tumbling hour; abnormal also counts power grades."""
-    return parts.select(*DEVICE_KEYS, "substation_id", "substation_name", *WINDOW, *_calendar(),
-                        *_full_device_measures(), F.col("abnormal_any").alias("abnormal_count"))
+    return parts.selectExpr(*DEVICE_KEYS, "substation_id", "substation_name", *WINDOW, *CALENDAR, *DEVICE_MEASURES,
+                            "abnormal_any AS abnormal_count")
 
 
 def device_hour_copy(hours: DataFrame) -> DataFrame:
@@ -176,96 +166,88 @@ def device_hour_copy(hours: DataFrame) -> DataFrame:
 
 def device_5min(parts: DataFrame) -> DataFrame:
     """Device x 5 minutes with the window status."""
-    rows = parts.withColumn("avg_health_score", avg("health_score"))
-    return rows.select(
-        *DEVICE_KEYS, "substation_name", F.col("window_start").alias("stat_time"), F.col("n").alias("reading_count"),
+    rows = parts.selectExpr("*", avg("health_score"))
+    return rows.selectExpr(
+        *DEVICE_KEYS, "substation_name", "window_start AS stat_time", "n AS reading_count",
         avg("voltage"), avg("current_val", "avg_current"), avg("power"), avg("temperature"),
-        F.col("avg_health_score").alias("health_score"),
-        grading.window_status("voltage_off", "overheated", "power_off").alias("status"))
+        "avg_health_score AS health_score",
+        f"{grading.window_status_text('voltage_off', 'overheated', 'power_off')} AS status")
 
 
 def device_30s(parts: DataFrame) -> DataFrame:
     """Device x short window, generated names."""
     named = identity.with_generated_names(parts)
-    return named.select(*DEVICE_KEYS, "substation_name", *WINDOW, F.col("n").alias("reading_count"), *_electric(),
-                        avg("temperature"), extreme("max", "temperature", "max_temperature"), avg("health_score"),
-                        F.col("abnormal").alias("abnormal_count"))
+    return named.selectExpr(*DEVICE_KEYS, "substation_name", *WINDOW, "n AS reading_count", *ELECTRIC,
+                            avg("temperature"), "temperature_max AS max_temperature", avg("health_score"), ABNORMAL)
 
 
 def device_20s(parts: DataFrame, layer: str = "DWS-汇总数据层") -> DataFrame:
     """Device x 20 seconds of the two-substation variant."""
     named = identity.with_generated_names(parts, identity.TWO_SUBSTATIONS, identity.PLAIN_METER)
-    return named.select(
-        "device_id", "device_code", "substation_name", *WINDOW, F.col("n").alias("record_count"),
-        avg("voltage"), extreme("max", "voltage", "max_voltage"), extreme("min", "voltage", "min_voltage"),
-        avg("temperature"), extreme("max", "temperature", "max_temperature"), avg("health_score"),
-        F.col("abnormal").alias("abnormal_count"), F.lit(layer).alias("layer_info"))
+    return named.selectExpr(
+        "device_id", "device_code", "substation_name", *WINDOW, "n AS record_count",
+        avg("voltage"), "voltage_max AS max_voltage", "voltage_min AS min_voltage",
+        avg("temperature"), "temperature_max AS max_temperature", avg("health_score"),
+        ABNORMAL, f"'{layer}' AS layer_info")
 
 
 def device_30s_simple(parts: DataFrame, layer: str = "DWS-汇总数据层") -> DataFrame:
     named = identity.with_generated_names(parts, identity.TWO_SUBSTATIONS, identity.PLAIN_METER)
-    return named.select(
+    return named.selectExpr(
         "device_id", "device_code", "substation_name", avg("voltage"), avg("temperature"), avg("health_score"),
-        F.col("n").alias("record_count"), F.lit(layer).alias("layer_info"), *WINDOW)
+        "n AS record_count", f"'{layer}' AS layer_info", *WINDOW)
 
 
 def substation_hour(parts: DataFrame) -> DataFrame:
     """Substation x calendar hour; the alarm count is a constant 0 here."""
     rows = merged(parts, ["substation_id", "substation_name", *WINDOW])
-    return rows.select(
-        "substation_id", "substation_name", *_calendar(), "total_devices", "active_devices",
+    return rows.selectExpr(
+        "substation_id", "substation_name", *CALENDAR, "total_devices", "active_devices",
         total("power", "total_power"), avg("voltage"), avg("temperature"),
-        F.lit(0).cast("long").alias("alarm_count"), avg("health_score", "health_score"))
+        "0L AS alarm_count", avg("health_score", "health_score"))
 
 
 def substation_hour_tumble(parts: DataFrame) -> DataFrame:
     """Substation x tumbling hour; a device with both good and bad readings counts as active and as warning."""
     rows = merged(parts, ["substation_id", "substation_name", *WINDOW])
-    return rows.select(
-        "substation_id", "substation_name", *_calendar(), "total_devices", "active_devices", "warning_devices",
-        F.lit(0).alias("fault_devices"), total("power", "total_power"), avg("voltage"),
-        avg("current_val", "avg_current"), avg("temperature"), F.lit(0).cast("long").alias("alarm_count"),
-        avg("health_score", "health_score"))
+    return rows.selectExpr(
+        "substation_id", "substation_name", *CALENDAR, "total_devices", "active_devices", "warning_devices",
+        "0 AS fault_devices", total("power", "total_power"), avg("voltage"), avg("current_val", "avg_current"),
+        avg("temperature"), "0L AS alarm_count", avg("health_score", "health_score"))
 
 
 def substation_30s(parts: DataFrame) -> DataFrame:
     """Substation (by generated name) x short window."""
     named = parts.withColumn("substation_name", identity.substation_for(identity.THREE_SUBSTATIONS))
     rows = merged(named, ["substation_name", *WINDOW])
-    return rows.select("substation_name", *WINDOW, "total_devices", "active_devices", "warning_devices",
-                       total("power", "total_power"), avg("voltage"), avg("temperature"), avg("health_score"))
-
-
-def _customer_hours(parts: DataFrame) -> DataFrame:
-    rows = merged(parts, ["customer_id", "customer_name", *WINDOW])
-    return identity.with_customer_labels(rows).withColumns(
-        {"stat_date": F.to_date("window_start"), "stat_hour": F.hour("window_start")})
+    return rows.selectExpr("substation_name", *WINDOW, "total_devices", "active_devices", "warning_devices",
+                           total("power", "total_power"), avg("voltage"), avg("temperature"), avg("health_score"))
 
 
-def _customer_columns(cost: Column) -> list:
-    return ["customer_id", "customer_code", "customer_name", "customer_type", "stat_date", "stat_hour",
-            F.col("total_devices").alias("device_count"), total("energy", "total_energy"),
-            extreme("max", "power", "peak_power"), avg("power"), cost.cast(COST_TYPE).alias("power_cost")]
+def _customer_hours(parts: DataFrame, cost: str) -> DataFrame:
+    rows = merged(parts, ["customer_id", "customer_name", *WINDOW]).selectExpr("*", *CALENDAR)
+    return identity.with_customer_labels(rows).selectExpr(
+        "customer_id", "customer_code", "customer_name", "customer_type", "stat_date", "stat_hour",
+        "total_devices AS device_count", total("energy", "total_energy"), "power_max AS peak_power", avg("power"),
+        f"CAST({cost} AS {COST_TYPE}) AS power_cost")
 
 
 def customer_hour(parts: DataFrame) -> DataFrame:
     """Customer x calendar hour at the flat price."""
-    return _customer_hours(parts).select(*_customer_columns(tariff.flat_cost(F.col("energy_sum").cast(SUM_TYPE))))
+    return _customer_hours(parts, tariff.flat_cost(ENERGY))
 
 
 def customer_hour_time_of_use(parts: DataFrame) -> DataFrame:
     """Customer x tumbling hour at the time-of-use price."""
-    cost = tariff.time_of_use_cost(F.col("stat_hour"), F.col("energy_sum").cast(SUM_TYPE))
-    return _customer_hours(parts).select(*_customer_columns(cost))
+    return _customer_hours(parts, tariff.time_of_use_cost("stat_hour", ENERGY))
 
 
 def customer_daily(parts: DataFrame) -> DataFrame:
     """Customer x day: averages over readings, cost as the sum of the hourly time-of-use costs."""
-    hourly = parts.withColumns({
-        "stat_date": F.to_date("window_start"),
-        "cost_sum": tariff.time_of_use_cost(F.hour("window_start"), F.col("energy_sum").cast(SUM_TYPE))})
+    cost = tariff.time_of_use_cost("hour(window_start)", ENERGY)
+    hourly = parts.selectExpr("*", "to_date(window_start) AS stat_date", f"{cost} AS cost_sum")
     rows = merged(hourly, ["customer_id", "customer_name", "stat_date"])
-    return identity.with_customer_labels(rows).select(
+    return identity.with_customer_labels(rows).selectExpr(
         "customer_id", "customer_code", "customer_name", "customer_type", "stat_date",
-        total("energy", "total_energy"), extreme("max", "power", "peak_power"), avg("power"),
-        F.col("cost_sum").cast(COST_TYPE).alias("power_cost"))
+        total("energy", "total_energy"), "power_max AS peak_power", avg("power"),
+        f"CAST(cost_sum AS {COST_TYPE}) AS power_cost")

@@ -56,12 +56,6 @@ def device_monitor(readings: DataFrame, dim: DataFrame, profile=grading.MAIN) ->
     return rows.select(*monitor_columns(grading.graded_status()))
 
 
-def generated_monitor(detail_rows: DataFrame) -> DataFrame:
-    """Latest four-level monitor row per device of a detail table without reading ids."""
-    newest = latest(detail_rows, ["device_id"], [F.desc("reading_time"), *[F.desc_nulls_last(m) for m in MEASURES]])
-    return newest.select(*monitor_columns(grading.four_level_status()))
-
-
 def batch_device_states(readings: DataFrame, dim: DataFrame) -> DataFrame:
     """Latest state per device under the batch rules: 0 and NULL count as not measured."""
     rows = latest_readings(readings).join(sized(dim), "device_id")
@@ -103,7 +97,8 @@ def alarm_statistics(alarms: DataFrame, devices: DataFrame) -> DataFrame:
     Alarms are counted per device first; `devices` is a device dimension.
     """
     resolved = F.col("status") == "RESOLVED"
-    seconds = F.when(resolved, F.timestamp_diff("SECOND", F.col("alarm_time"), F.col("resolved_time")))
+    # interval arithmetic on zone-less times, independent of the session time zone
+    seconds = F.when(resolved, F.expr("CAST(CAST(resolved_time - alarm_time AS INTERVAL SECOND) AS BIGINT)"))
     per_device = (alarms
                   .withColumns({"alarm_date": stat_date("alarm_time"), "alarm_hour": stat_hour("alarm_time")})
                   .groupBy("device_id", "alarm_date", "alarm_hour", "alarm_type", "alarm_level")
@@ -153,11 +148,13 @@ def raw_hours(readings: DataFrame, device_id: int | None = None, since=None) ->
     rows = _of_device(readings, device_id)
     if since is not None:
         rows = rows.where(F.col("reading_time") >= since)
-    hour = F.date_trunc("hour", "reading_time").cast("timestamp_ntz").alias("hour_time")
     means = [column_avg(m, MEASURE_TYPES[m]).alias(alias) for m, alias in (
         ("voltage", "avg_voltage"), ("current_val", "avg_current"), ("power", "avg_power"),
         ("temperature", "avg_temperature"))]
-    return rows.groupBy("device_id", hour).agg(F.count("*").alias("reading_count"), *means)
+    # a window, not date_trunc: that one would pass through the session time zone
+    hours = rows.groupBy("device_id", F.window("reading_time", "1 hour").alias("w")).agg(
+        F.count("*").alias("reading_count"), *means)
+    return hours.select("device_id", F.col("w.start").alias("hour_time"), *hours.columns[2:])
 
 
 def device_hour_listing(hours: DataFrame, since=None, device_id: int | None = None) -> DataFrame:
@@ -190,6 +187,6 @@ def customer_devices(customers: DataFrame, relations: DataFrame, devices: DataFr
 
 # --- summaries straight from readings ------------------------------------------------------------------------
 
-def hour_parts(readings: DataFrame, profile=grading.MAIN, width: str = "1 hour") -> DataFrame:
+def window_parts(readings: DataFrame, profile=grading.MAIN, width: str = "1 hour") -> DataFrame:
     """Graded per-device partial rows, the common input of the summaries."""
     return rollup.partials(grading.grade(readings, profile), width)

@@ -240,6 +240,11 @@ RAW_HOURS = f"""SELECT device_id, date_trunc('hour', reading_time) AS hour_time,
   {avg("voltage")}, {avg("current_val", "avg_current")}, {avg("power")}, {avg("temperature")}
 FROM meter_reading GROUP BY ALL"""
 LATE = "(SELECT newest FROM clock)"
+HOUR_END = "CAST(stat_date AS TIMESTAMP) + to_hours(CAST(stat_hour + 1 AS INT))"
+BATCH_STATES = f"""SELECT {DEVICE}, substation_id, substation_name, reading_time, voltage, current_val, power, energy,
+  power_factor, frequency, temperature, {H5} AS health_score, CASE WHEN (voltage <> 0 AND (voltage > 240
+    OR voltage < 200)) OR temperature > 80 THEN 'WARNING' ELSE 'NORMAL' END AS status
+FROM latest JOIN device USING (device_id)"""
 
 
 def closed(sql: str, end: str) -> str:
@@ -339,15 +344,14 @@ SELECT substation_id, substation_name, total_devices, active_devices AS normal_d
   CAST(0 AS DECIMAL(8,2)) AS avg_current, avg_temperature, 0 AS active_alarms
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY substation_id ORDER BY stat_date DESC, stat_hour DESC) AS rn
       FROM ({SUBSTATION_HOUR})) WHERE rn = 1""",
+    "ads_device_states_batch": BATCH_STATES,
     "ads_substation_overview_batch": f"""
 SELECT substation_id, substation_name, CAST(COUNT(*) AS INT) AS total_devices,
   {count_if("status = 'NORMAL'", "normal_devices", "INT")}, {count_if("status <> 'NORMAL'", "warning_devices", "INT")},
   CAST(coalesce(SUM(power), 0) AS {SUM_TYPE.upper()}) AS total_power,
   CAST(coalesce({avg_ratio("SUM(voltage)", "COUNT(NULLIF(voltage, 0))", "decimal(8,2)")}, 0) AS DECIMAL(8,2)) AS avg_voltage,
   CAST(coalesce({avg_ratio("SUM(temperature)", "COUNT(NULLIF(temperature, 0))", "decimal(5,2)")}, 0) AS DECIMAL(5,2)) AS avg_temperature
-FROM (SELECT d.*, l.* EXCLUDE (device_id), CASE WHEN (voltage <> 0 AND (voltage > 240 OR voltage < 200))
-        OR temperature > 80 THEN 'WARNING' ELSE 'NORMAL' END AS status
-      FROM latest l JOIN device d ON l.device_id = d.device_id)
+FROM ({BATCH_STATES})
 GROUP BY substation_id, substation_name""",
     "alarm_statistics": """
 SELECT alarm_date, alarm_hour, substation_id, substation_name, device_type, alarm_type, alarm_level,
@@ -476,8 +480,8 @@ SELECT 'ads', COUNT(*), {count_if(f"last_update_time >= {LATE} - INTERVAL 1 DAY"
     "stream_substation_30s": closed(SUBSTATION_30S, "window_end"),
     "stream_device_5min": closed(DEVICE_5MIN, "stat_time + INTERVAL 5 MINUTE"),
     "stream_device_20s": closed(DEVICE_20S, "window_end"),
-    "stream_customer_hour_tou": closed(_customer_hour(RATE),
-                                       "CAST(stat_date AS TIMESTAMP) + to_hours(CAST(stat_hour + 1 AS INT))"),
+    "stream_customer_hour_tou": closed(_customer_hour(RATE), HOUR_END),
+    "stream_substation_hour": closed(SUBSTATION_TUMBLE, HOUR_END),
     "stream_device_hour": DEVICE_HOUR,
     "stream_latest_device": DEVICE_REALTIME,
     "stream_dwd_enrich": "SELECT * FROM dwd",

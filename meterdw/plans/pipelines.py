@@ -34,7 +34,7 @@ def build_batch(wh: Warehouse, root: str) -> dict[str, str]:
     by_date = ("stat_date",)
     rows = detail.detail(readings, owned_devices(wh)).withColumn("stat_date", F.to_date("reading_time"))
     files.full_refresh(rows, paths["dwd_detail"], partition_by=by_date)
-    parts = serving.hour_parts(readings)
+    parts = serving.window_parts(readings)
     with_devices = rollup.with_devices(parts, dims)
     files.full_refresh(rollup.device_hour(with_devices), paths["dws_device_hour"],
                        unique=("device_id", "stat_date", "stat_hour"), partition_by=by_date)

@@ -176,11 +176,11 @@ def console_dws(wh):
 # --- summaries ----------------------------------------------------------------------------------
 
 def _device_parts(wh, width="1 hour"):
-    return rollup.with_devices(serving.hour_parts(wh.meter_reading(), width=width), dimensions(wh))
+    return rollup.with_devices(serving.window_parts(wh.meter_reading(), width=width), dimensions(wh))
 
 
 def _owner_parts(wh):
-    return rollup.with_owners(serving.hour_parts(wh.meter_reading()), dimensions(wh))
+    return rollup.with_owners(serving.window_parts(wh.meter_reading()), dimensions(wh))
 
 
 @query
@@ -224,7 +224,7 @@ def customer_power_statistics(wh):
 
 
 def _generated_parts(readings):
-    return serving.hour_parts(readings, grading.GENERATED, "30 seconds")
+    return serving.window_parts(readings, grading.GENERATED, "30 seconds")
 
 
 @query
@@ -239,12 +239,12 @@ def dws_substation_30s(wh):
 
 @query
 def dws_device_20s(wh):
-    return rollup.device_20s(serving.hour_parts(wh.meter_reading(), width="20 seconds"))
+    return rollup.device_20s(serving.window_parts(wh.meter_reading(), width="20 seconds"))
 
 
 @query
 def dws_device_30s_simple(wh):
-    return rollup.device_30s_simple(serving.hour_parts(wh.meter_reading(), width="30 seconds"))
+    return rollup.device_30s_simple(serving.window_parts(wh.meter_reading(), width="30 seconds"))
 
 
 @query
@@ -264,9 +264,14 @@ def ads_substation_overview(wh):
     return serving.substation_overview(dws_substation_hour(wh))
 
 
+@query
+def ads_device_states_batch(wh):
+    return serving.batch_device_states(wh.meter_reading(), devices(wh))
+
+
 @query
 def ads_substation_overview_batch(wh):
-    return serving.substation_rollup(serving.batch_device_states(wh.meter_reading(), devices(wh)))
+    return serving.substation_rollup(ads_device_states_batch(wh))
 
 
 @query
@@ -493,42 +498,55 @@ def upsert_latest_by_key(wh):
 
 # --- streams: the whole event table is drained once, the result is the stored output --------------------------
 
+ELECTRIC = ("voltage", "current_val", "power", "energy", "temperature", "health_score")
+
+
 def _stream(wh):
     spark = utc_session(wh.spark)
     return Warehouse(spark, wh.folder), source.reading_stream(spark, wh.folder), scratch_dir(spark, "stream")
 
 
-def _closed_windows(wh, width, summary, profile=grading.MAIN):
+def _closed_windows(wh, width, summary, profile=grading.MAIN, measures=ELECTRIC):
+    """`summary` takes the source tables and the partial rows of a micro-batch."""
     wh, readings, root = _stream(wh)
     out = f"{root}/out"
-    jobs.window_job(readings, width, {out: summary}, f"{root}/checkpoint", profile).awaitTermination()
+    jobs.window_job(readings, width, {out: lambda parts: summary(wh, parts)}, f"{root}/checkpoint", profile,
+                    measures).awaitTermination()
     return files.read_batches(wh.spark, out).drop("batch_id")
 
 
 @query
 def stream_tumble_device(wh):
-    return _closed_windows(wh, "30 seconds", rollup.device_30s, grading.GENERATED)
+    return _closed_windows(wh, "30 seconds", lambda _, p: rollup.device_30s(p), grading.GENERATED)
 
 
 @query
 def stream_substation_30s(wh):
-    return _closed_windows(wh, "30 seconds", rollup.substation_30s, grading.GENERATED)
+    return _closed_windows(wh, "30 seconds", lambda _, p: rollup.substation_30s(p), grading.GENERATED)
+
+
+@query
+def stream_device_20s(wh):
+    return _closed_windows(wh, "20 seconds", lambda _, p: rollup.device_20s(p),
+                           measures=("voltage", "temperature", "health_score"))
 
 
 @query
 def stream_device_5min(wh):
-    return _closed_windows(wh, "5 minutes", lambda p: rollup.device_5min(rollup.with_devices(p, dimensions(wh))))
+    return _closed_windows(wh, "5 minutes", lambda w, p: rollup.device_5min(rollup.with_devices(p, dimensions(w))))
 
 
 @query
-def stream_device_20s(wh):
-    return _closed_windows(wh, "20 seconds", rollup.device_20s)
+def stream_substation_hour(wh):
+    return _closed_windows(
+        wh, "1 hour", lambda w, p: rollup.substation_hour_tumble(rollup.with_devices(p, dimensions(w))))
 
 
 @query
 def stream_customer_hour_tou(wh):
     return _closed_windows(
-        wh, "1 hour", lambda p: rollup.customer_hour_time_of_use(rollup.with_owners(p, dimensions(wh))))
+        wh, "1 hour", lambda w, p: rollup.customer_hour_time_of_use(rollup.with_owners(p, dimensions(w))),
+        measures=("power", "energy"))
 
 
 @query

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # no call-site capture per column expression: building a wide plan takes a fraction of the time
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
@@ -40,9 +42,13 @@ def utc_session(spark: SparkSession) -> SparkSession:
     session must not be changed for it.
     """
     sibling = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
-        sibling.conf.set(key, SETTINGS[key])
-    sibling.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = {key: value for key, value in spark.conf.getAll.items() if key.startswith("spark.sql.")}
+    wanted |= {key: SETTINGS[key] for key in ("spark.sql.session.timeZone",
+                                              "spark.sql.streaming.stateStore.providerClass")}
+    known = sibling.conf.getAll
+    for key, value in wanted.items():
+        if known.get(key) != value and sibling.conf.isModifiable(key):
+            sibling.conf.set(key, value)
     return sibling
 
 

@@ -15,8 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterdw.functions import grading
 from meterdw.operators import detail, rollup, serving
+from meterdw.schemas import MEASURE_TYPES
 from meterdw.sinks.files import upsert_batch
-from meterdw.streaming.source import with_event_time, zoneless
+from meterdw.streaming.source import WATERMARK, with_event_time, zoneless
 
 Handler = Callable[[DataFrame, int], None]
 Summary = Callable[[DataFrame], DataFrame]
@@ -70,24 +71,31 @@ def detail_job(readings: DataFrame, dim: Callable[[], DataFrame], path: str, che
     return start(readings, fan_out({path: lambda rows: detail.detail(rows, dim(), profile)}), checkpoint, every=every)
 
 
-def window_partials(readings: DataFrame, width: str, profile=grading.MAIN, delay: str | None = None) -> DataFrame:
-    timed = with_event_time(readings) if delay is None else with_event_time(readings, delay)
-    return rollup.partials(grading.grade(timed, profile), width)
+def window_partials(readings: DataFrame, width: str, profile=grading.MAIN, delay: str = WATERMARK,
+                    measures=tuple(MEASURE_TYPES)) -> DataFrame:
+    return rollup.partials(grading.grade(with_event_time(readings, delay), profile), width, measures=measures)
 
 
 def window_job(readings: DataFrame, width: str, outputs: dict[str, Summary], checkpoint: str,
-               profile=grading.MAIN, every: str | None = None) -> StreamingQuery:
-    """Closed windows only, each written once; `outputs` maps a table path to a summary of partial rows."""
-    return start(window_partials(readings, width, profile), fan_out(outputs), checkpoint, "append", every)
+               profile=grading.MAIN, measures=tuple(MEASURE_TYPES), every: str | None = None) -> StreamingQuery:
+    """Closed windows only, each written once.
+
+    `outputs` maps a table path to a summary of partial rows, `measures` names those the
+    summaries use: only these are kept as state.
+    """
+    return start(window_partials(readings, width, profile, WATERMARK, measures), fan_out(outputs), checkpoint,
+                 "append", every)
 
 
 def running_job(readings: DataFrame, width: str, outputs: dict[str, Summary], checkpoint: str,
-                profile=grading.MAIN, delay: str = "1 hour", every: str | None = None) -> StreamingQuery:
+                profile=grading.MAIN, measures=tuple(MEASURE_TYPES), delay: str = "1 hour",
+                every: str | None = None) -> StreamingQuery:
     """Continuously revised windows: changed ones are written again, the newest batch wins on reading.
 
     `delay` plays the role of a state lifetime: a window leaves the state that long after its end.
     """
-    return start(window_partials(readings, width, profile, delay), fan_out(outputs), checkpoint, "update", every)
+    return start(window_partials(readings, width, profile, delay, measures), fan_out(outputs), checkpoint,
+                 "update", every)
 
 
 def latest_job(readings: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

@@ -29,3 +29,11 @@ def test_query(spark, con, folder, name):
     df = REGISTRY[name](spark, folder)
     assert differences(df, con, statements()[name]) == []
     assert name in EMPTY or not df.isEmpty()
+
+
+@pytest.mark.parametrize("name", ["dws_device_hour", "raw_hourly_device", "alarm_statistics", "dash_window_stats",
+                                  "monitor_counts", "stream_tumble_device", "stream_customer_hour_tou"])
+def test_session_zone_does_not_matter(spark, con, folder, name):
+    elsewhere = spark.newSession()
+    elsewhere.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    assert differences(REGISTRY[name](elsewhere, folder), con, statements()[name]) == []

@@ -49,7 +49,7 @@ def windows_of(utc, out):
 
 
 def batch_windows(utc, folder, until):
-    rows = rollup.device_30s(serving.hour_parts(utc.read.parquet(folder), grading.GENERATED, "30 seconds"))
+    rows = rollup.device_30s(serving.window_parts(utc.read.parquet(folder), grading.GENERATED, "30 seconds"))
     return sorted(rows.where(F.col("window_end") <= F.lit(until).cast("timestamp_ntz")).collect())
 
 
@@ -67,7 +67,7 @@ def test_windows_equal_batch_on_closed_windows(utc, feed, tmp_path):
     closed = BASE + 299 * STEP - dt.timedelta(seconds=5)
     got = windows_of(utc, f"{tmp_path}/out/device")
     assert got == batch_windows(utc, feed, closed) and len(got) > 150
-    stations = rollup.substation_30s(serving.hour_parts(utc.read.parquet(feed), grading.GENERATED, "30 seconds"))
+    stations = rollup.substation_30s(serving.window_parts(utc.read.parquet(feed), grading.GENERATED, "30 seconds"))
     expected = stations.where(F.col("window_end") <= F.lit(closed).cast("timestamp_ntz")).collect()
     assert windows_of(utc, f"{tmp_path}/out/station") == sorted(expected)
 
@@ -99,7 +99,7 @@ def test_running_hours_are_revised(utc, feed, tmp_path):
     log = files.read_batches(utc, f"{root}/hours")
     assert log.count() > 3
     got = files.read_latest(utc, f"{root}/hours", ["device_id", "window_start"]).collect()
-    expected = rollup.device_20s(serving.hour_parts(utc.read.parquet(feed))).collect()
+    expected = rollup.device_20s(serving.window_parts(utc.read.parquet(feed))).collect()
     assert sorted(got) == sorted(expected)
 
 

@@ -24,7 +24,7 @@ def closed_form(spark):
 
 
 def parts_with_devices(spark, rows, width="1 hour"):
-    return rollup.with_devices(serving.hour_parts(rows, width=width), rollup.Dimensions.of(*seed_dimensions(spark)))
+    return rollup.with_devices(serving.window_parts(rows, width=width), rollup.Dimensions.of(*seed_dimensions(spark)))
 
 
 def test_closed_form_hours(spark):
@@ -98,10 +98,10 @@ def test_latest_state_ties_and_batch_rollup(spark):
 
 def test_recent_windows_are_found(spark):
     rows = readings(spark, [{"reading_time": BASE + dt.timedelta(minutes=m)} for m in range(30)])
-    windows = rollup.device_30s(serving.hour_parts(rows, grading.GENERATED, "30 seconds"))
+    windows = rollup.device_30s(serving.window_parts(rows, grading.GENERATED, "30 seconds"))
     now = BASE + dt.timedelta(minutes=29)
     assert dashboards.window_stats(windows, before(now, "10 MINUTES")).first()["total_windows"] == 11
-    stations = rollup.substation_30s(serving.hour_parts(rows, grading.GENERATED, "30 seconds"))
+    stations = rollup.substation_30s(serving.window_parts(rows, grading.GENERATED, "30 seconds"))
     assert dashboards.recent_substations(stations, before(now, "5 MINUTES")).count() == 6
 
 
