@@ -34,6 +34,16 @@ def start(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "app
             .option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start())
 
 
+def flow(query: StreamingQuery) -> dict:
+    """What a query has processed so far: batches, rows, rows per second, rows dropped as late."""
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    rows = sum(p["numInputRows"] for p in progress)
+    busy = sum(p["durationMs"].get("triggerExecution", 0) for p in query.recentProgress) / 1000
+    late = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+    return {"batches": len(progress), "rows": rows, "rows_per_second": rows / busy if busy else 0.0,
+            "late_rows": late, "watermark": query.lastProgress["eventTime"].get("watermark") if progress else None}
+
+
 def fan_out(outputs: dict[str, Summary]) -> Handler:
     """Writes several outputs of one micro-batch as idempotent batches; the batch is computed once."""
     def handle(batch: DataFrame, batch_id: int) -> None:
