@@ -502,15 +502,19 @@ ELECTRIC = ("voltage", "current_val", "power", "energy", "temperature", "health_
 
 
 def _stream(wh):
-    spark = utc_session(wh.spark)
-    return Warehouse(spark, wh.folder), source.reading_stream(spark, wh.folder), scratch_dir(spark, "stream")
+    """The tables and the reading stream in a UTC session, and a folder for output and checkpoint.
+
+    Stored output has zone-less times, so it is read back in the caller's own session.
+    """
+    live = Warehouse(utc_session(wh.spark), wh.folder)
+    return live, source.reading_stream(live.spark, wh.folder), scratch_dir(wh.spark, "stream")
 
 
 def _closed_windows(wh, width, summary, profile=grading.MAIN, measures=ELECTRIC):
     """`summary` takes the source tables and the partial rows of a micro-batch."""
-    wh, readings, root = _stream(wh)
+    live, readings, root = _stream(wh)
     out = f"{root}/out"
-    jobs.window_job(readings, width, {out: lambda parts: summary(wh, parts)}, f"{root}/checkpoint", profile,
+    jobs.window_job(readings, width, {out: lambda parts: summary(live, parts)}, f"{root}/checkpoint", profile,
                     measures).awaitTermination()
     return files.read_batches(wh.spark, out).drop("batch_id")
 
@@ -551,30 +555,30 @@ def stream_customer_hour_tou(wh):
 
 @query
 def stream_device_hour(wh):
-    wh, readings, root = _stream(wh)
+    live, readings, root = _stream(wh)
     out = f"{root}/out"
-    hours = {out: lambda p: rollup.device_hour(rollup.with_devices(p, dimensions(wh)))}
+    hours = {out: lambda p: rollup.device_hour(rollup.with_devices(p, dimensions(live)))}
     jobs.running_job(readings, "1 hour", hours, f"{root}/checkpoint").awaitTermination()
     return files.read_latest(wh.spark, out, ["device_id", "stat_date", "stat_hour"])
 
 
 @query
 def stream_latest_device(wh):
-    wh, readings, root = _stream(wh)
+    live, readings, root = _stream(wh)
     jobs.latest_job(readings, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return latest_monitor(wh, f"{root}/out")
 
 
 @query
 def stream_dwd_enrich(wh):
-    wh, readings, root = _stream(wh)
-    jobs.detail_job(readings, lambda: owned_devices(wh), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    live, readings, root = _stream(wh)
+    jobs.detail_job(readings, lambda: owned_devices(live), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return files.read_batches(wh.spark, f"{root}/out").drop("batch_id")
 
 
 @query
 def stream_dedup(wh):
-    wh, readings, root = _stream(wh)
-    resent = readings.unionByName(source.reading_stream(wh.spark, wh.folder))
+    live, readings, root = _stream(wh)
+    resent = readings.unionByName(source.reading_stream(live.spark, wh.folder))
     jobs.copy_job(jobs.dedup(resent), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return wh.spark.read.parquet(f"{root}/out")
