@@ -36,11 +36,18 @@ def owner_dim(customer_devices: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def owned_device_dim(devices, substations, customer_devices, customers) -> DataFrame:
-    """device_dim with one row per owner; a device without owner keeps one row, customer 0 / Unknown."""
-    return (device_dim(devices, substations)
-            .join(owner_dim(customer_devices, customers), "device_id", "left")
-            .withColumns({"customer_id": F.coalesce("customer_id", F.lit(0)),
-                          "customer_name": F.coalesce("customer_name", F.lit("Unknown"))}))
+    """device_dim with one row per owner; a device without owner keeps one row, customer 0 / Unknown.
+
+    Owned and ownerless devices are built apart: an inner join may be split at run time
+    if one device has very many owners, the right side of an outer join may not.
+    """
+    dim = device_dim(devices, substations)
+    owned = dim.join(owner_dim(customer_devices, customers), "device_id")
+    alone = dim.join(customer_devices.select("device_id").distinct(), "device_id", "left_anti")
+    columns = [*dim.columns, "coalesce(customer_id, 0) AS customer_id",
+               "coalesce(customer_name, 'Unknown') AS customer_name"]
+    return owned.selectExpr(*columns).unionByName(
+        alone.selectExpr(*dim.columns, "0 AS customer_id", "'Unknown' AS customer_name"))
 
 
 # --- enriched detail ------------------------------------------------------------------------
@@ -53,7 +60,7 @@ def detail(readings: DataFrame, dim: DataFrame, profile=grading.MAIN) -> DataFra
     times; the validity dates of a relation are ignored.
     """
     owners = [c for c in ("customer_id", "customer_name") if c in dim.columns]
-    joined = lookup_join(readings, dim, "device_id", spread_by=["id"])
+    joined = lookup_join(readings, dim, "device_id", spread_by=["id"], dim_spread_by=owners or None)
     return grading.grade(joined, profile).select(
         *DEVICE, "substation_id", "substation_name", *owners, "reading_time", *MEASURES, *GRADES)
 

@@ -34,26 +34,38 @@ def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> list[tuple
 
 
 def split_join(facts: DataFrame, dim: DataFrame, key: str, how: str, spread_by: list[str],
-               share: float = HOT_SHARE) -> DataFrame:
+               share: float = HOT_SHARE, dim_spread_by: list[str] | None = None) -> DataFrame:
     """Shuffle join that cuts hot keys into pieces.
 
     A fact row of a hot key goes to a piece by the hash of `spread_by` (so a retried task
     sends it to the same place); the dimension rows of that key are repeated once per
-    piece. All other keys stay whole. Every fact row meets every matching dimension row
-    exactly once.
+    piece. A dimension that may itself hold very many rows of one key is cut the same way
+    by `dim_spread_by` (inner joins only), with the fact rows repeated. All other keys
+    stay whole. Every fact row meets every matching dimension row exactly once.
     """
-    hot = hot_keys(facts, key, share)
-    if not hot:
+    if dim_spread_by and how != "inner":
+        raise ValueError("only an inner join can cut the dimension")
+    cuts = dict(hot_keys(facts, key, share))
+    dim_cuts = dict(hot_keys(dim, key, share)) if dim_spread_by else {}
+    if not cuts and not dim_cuts:
         return facts.join(dim, key, how)
-    # at most 1 / share rows, so this lookup table may always be broadcast
-    schema = T.StructType([T.StructField(key, facts.schema[key].dataType), T.StructField("_pieces", T.IntegerType())])
-    pieces = F.broadcast(facts.sparkSession.createDataFrame(hot, schema))
-    count = F.coalesce("_pieces", F.lit(1))
-    left = (facts.join(pieces, key, "left")
-            .withColumn("_piece", F.pmod(F.xxhash64(*spread_by), count).cast("int")).drop("_pieces"))
-    right = (dim.join(pieces, key, "left")
-             .withColumn("_piece", F.explode(F.sequence(F.lit(0), count - 1))).drop("_pieces"))
-    return left.join(right, [key, "_piece"], how).drop("_piece")
+    # at most 2 / share rows, so this lookup table may always be broadcast
+    schema = T.StructType([T.StructField(key, facts.schema[key].dataType),
+                           T.StructField("_cuts", T.IntegerType()), T.StructField("_dim_cuts", T.IntegerType())])
+    rows = [(k, cuts.get(k, 1), dim_cuts.get(k, 1)) for k in {*cuts, *dim_cuts}]
+    table = F.broadcast(facts.sparkSession.createDataFrame(rows, schema))
+
+    def place(df: DataFrame, own: str, other: str, columns: list[str]) -> DataFrame:
+        """One piece of the row's own side by hash, all pieces of the other side."""
+        return (df.join(table, key, "left")
+                .withColumn(f"_piece{own}", F.expr(f"CAST(pmod(xxhash64({', '.join(columns)}), "
+                                                   f"coalesce({own}, 1)) AS INT)"))
+                .withColumn(f"_piece{other}", F.expr(f"explode(sequence(0, coalesce({other}, 1) - 1))"))
+                .drop("_cuts", "_dim_cuts"))
+
+    left = place(facts, "_cuts", "_dim_cuts", spread_by)
+    right = place(dim, "_dim_cuts", "_cuts", dim_spread_by or [key])
+    return left.join(right, [key, "_piece_cuts", "_piece_dim_cuts"], how).drop("_piece_cuts", "_piece_dim_cuts")
 
 
 def sized(dim: DataFrame, limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
@@ -62,8 +74,8 @@ def sized(dim: DataFrame, limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", spread_by: list[str] | None = None,
-                limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
+                dim_spread_by: list[str] | None = None, limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
     """Join facts to a dimension on `key`: broadcast if the dimension measures small, else a split shuffle join."""
     if measured_bytes(dim) <= limit_bytes:
         return facts.join(F.broadcast(dim), key, how)
-    return split_join(facts, dim, key, how, spread_by or facts.columns)
+    return split_join(facts, dim, key, how, spread_by or facts.columns, dim_spread_by=dim_spread_by)

@@ -35,10 +35,36 @@ def test_split_join_equals_plain_join(skewed, how, share):
     assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
 
 
-def test_split_join_spreads_the_hot_key(skewed):
+@pytest.mark.parametrize("fact_share", [1, 1 / 3])
+def test_hot_dimension_keys_are_cut_too(spark, skewed, fact_share):
+    """Key 7 is hot on both sides, key 8 in the dimension only."""
+    facts, _ = skewed
+    facts = facts if fact_share == 1 else facts.where("k IS NULL OR k <> 7")
+    dim = spark.range(900).selectExpr("CAST(CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN 8 ELSE id % 90 END AS INT) "
+                                      "AS k", "id AS payload")
+    plain = facts.join(dim, "k")
+    split = joins.split_join(facts, dim, "k", "inner", ["id"], 1 / 20, ["payload"]).select(*plain.columns)
+    assert "_piece_dim_cuts" in split._jdf.queryExecution().optimizedPlan().toString()
+    counts = {tuple(r) for r in split.groupBy("k").count().collect()}
+    assert counts == {tuple(r) for r in plain.groupBy("k").count().collect()}
+    assert split.distinct().count() == split.count() == plain.count()
+
+
+def test_hot_key_reaches_several_tasks(spark, skewed):
+    facts, dim = skewed
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        split = joins.split_join(facts, dim.hint("merge"), "k", "inner", ["id"], 1 / 100)
+        spread = split.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert spread == 4
+
+
+def test_only_inner_joins_cut_the_dimension(skewed):
     facts, dim = skewed
-    plan = joins.split_join(facts, dim.hint("merge"), "k", "inner", ["id"], 1 / 100)
-    assert "_piece" in plan._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(ValueError):
+        joins.split_join(facts, dim, "k", "left", ["id"], dim_spread_by=["payload"])
 
 
 def test_detail_is_the_same_without_broadcast(spark, folder, monkeypatch):
@@ -46,7 +72,7 @@ def test_detail_is_the_same_without_broadcast(spark, folder, monkeypatch):
     hours = REGISTRY["dws_customer_hour"](spark, folder).collect()
     for module in (joins, rollup):
         monkeypatch.setattr(module, "BROADCAST_LIMIT", -1)
-    monkeypatch.setattr(joins.lookup_join, "__defaults__", ("inner", None, -1))
+    monkeypatch.setattr(joins.lookup_join, "__defaults__", ("inner", None, None, -1))
     monkeypatch.setattr(joins.sized, "__defaults__", (-1,))
     shuffled = REGISTRY["dwd_device_meter_detail"](spark, folder)
     assert "_piece" in shuffled._jdf.queryExecution().optimizedPlan().toString()
