@@ -29,6 +29,11 @@ def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def ordered_rows(df: DataFrame) -> DataFrame:
+    """Whole table in id order: a range-partitioned sort, never a single task."""
+    return df.orderBy("id")
+
+
 def newest_rows(df: DataFrame, n: int = 1000) -> DataFrame:
     """The n rows with the highest ids."""
     return top_n(df, [F.desc("id")], n)

@@ -267,6 +267,7 @@ BODIES = {
     "ods_customer": "SELECT * FROM grid_customer",
     "ods_customer_device": "SELECT * FROM customer_device",
     "ods_alarm_info": "SELECT * FROM alarm_info",
+    "ods_device_info_ordered": "SELECT * FROM device_info ORDER BY id",
     "ods_latest_1000": "SELECT * FROM meter_reading ORDER BY id DESC LIMIT 1000",
     "limit_10": "SELECT device_id, voltage, current_val, power FROM meter_reading ORDER BY id LIMIT 10",
     # grades

@@ -62,6 +62,11 @@ def ods_alarm_info(wh):
     return wh.alarm_info()
 
 
+@query
+def ods_device_info_ordered(wh):
+    return serving.ordered_rows(wh.device_info())
+
+
 @query
 def ods_latest_1000(wh):
     return serving.newest_rows(wh.meter_reading(), 1000)

@@ -32,7 +32,10 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str], newest: list[Column] | None = None) -> DataFrame:
-    """One row per key: the newest by the given ordering, then the row of the latest batch."""
+    """One row per key: the newest by the given ordering, then the row of the latest batch.
+
+    Without an ordering the last arrival wins, whatever its event time.
+    """
     order = [*(newest or []), F.desc("batch_id")]
     return latest(read_batches(spark, path), keys, order).drop("batch_id")
 

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from helpers import BASE, readings
 
+from meterdw.operators import detail
 from meterdw.plans import pipelines
 from meterdw.sinks import files
 from meterdw.sinks import jdbc as jdbc_sink
@@ -41,6 +42,18 @@ def test_upsert_replay_and_compaction(spark, tmp_path):
     assert current(target) == [2, 9]
 
 
+def test_last_arrival_or_newest_event_wins(spark, tmp_path):
+    """The keyed monitor takes the last arrival; with an ordering, the newest event time."""
+    path = str(tmp_path / "monitor")
+    newer = readings(spark, [{"id": 1, "reading_time": BASE + dt.timedelta(minutes=5)}])
+    files.upsert_batch(detail.four_level_monitor(detail.generated_detail(newer)), 0, path)
+    older = readings(spark, [{"id": 2, "voltage": "300"}])
+    files.upsert_batch(detail.four_level_monitor(detail.generated_detail(older)), 1, path)
+    assert files.read_latest(spark, path, ["device_id"]).first()["status"] == "CRITICAL"
+    newest = files.read_latest(spark, path, ["device_id"], [F.desc("last_update_time")]).first()
+    assert newest["last_update_time"] == BASE + dt.timedelta(minutes=5)
+
+
 def test_full_refresh_is_all_or_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     codes = spark.createDataFrame([("a",), ("b",)], "code string")
