@@ -17,7 +17,9 @@ def con(folder):
 
 
 def test_every_query_has_a_statement():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(REGISTRY) == set(statements())
+    assert set(REGISTRY) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
