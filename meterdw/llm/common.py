@@ -54,7 +54,7 @@ def fold(key: str) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that the texts of a slice stay within `limit` bytes; a longer text is a slice of its own."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -90,7 +90,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 WIDTH = 5
 FACTORS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
                     0x589965CC75374CC3, 0x1D8E4E27C47D124F], np.uint64)
-SEGMENT = 4 << 20
+SEGMENT = 1 << 20
 
 _powers = np.ones(1, np.uint64)
 
