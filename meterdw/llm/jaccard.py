@@ -332,7 +332,8 @@ def _links(groups: DataFrame, sets: DataFrame) -> DataFrame:
         if found:
             yield emit(found)
 
-    dealt = (groups.join(sets, "set").select("grp", "part", "set", "label", "tokens")
+    # the rows of groups are slim: broadcast while they are few, so that only the sets that are needed are sent
+    dealt = (sets.join(small(staged(groups, "parts"), 40), "set").select("grp", "part", "set", "label", "tokens")
              .repartition("grp", "part").sortWithinPartitions("grp", "part"))
     return staged(mapped(dealt, run, "a bigint, b bigint"), "links")
 
@@ -349,7 +350,7 @@ def _solve(groups: DataFrame, sets: DataFrame, pairs: DataFrame | None = None) -
     `pairs` are the candidates of the groups where they are known one by one; without them any two sets of a group are.
     """
     groups = staged(groups, "groups")
-    counted = staged(groups.join(groups.groupBy("grp").agg(F.count(F.lit(1)).alias("size")), "grp"), "groups")
+    counted = groups.join(groups.groupBy("grp").agg(F.count(F.lit(1)).alias("size")), "grp")
     links = _links(counted.select("grp", _part("size", 0).alias("part"), "set", F.col("set").alias("label")), sets)
     large = staged(counted.where(F.col("size") > PART + PART // 2), "large")
     if large.isEmpty():
@@ -363,7 +364,7 @@ def _solve(groups: DataFrame, sets: DataFrame, pairs: DataFrame | None = None) -
 
     rows = labelled(inside)
     clusters = rows.select("grp", "label").distinct().count()
-    for salt in range(1, 9):
+    for salt in range(1, 9 if pairs is None else 1):
         # the leaders of clusters against each other
         leaders = rows.groupBy("grp", "label").agg(F.min("set").alias("set"))
         several = leaders.groupBy("grp").agg(F.count(F.lit(1)).alias("of")).where("of > 1")
