@@ -162,8 +162,8 @@ def shingle_sets(array: pa.Array) -> list[np.ndarray]:
         if end - begin >= WIDTH:
             out.append(np.unique(rolled[begin:end - WIDTH + 1]))
         elif end > begin:
-            total = (hashes[begin:end] * FACTORS[:end - begin]).sum(dtype=np.uint64)
-            out.append(mix(np.array([total + FACTORS[WIDTH] * np.uint64(end - begin)], np.uint64)))
+            total = (hashes[begin:end] * FACTORS[:end - begin]).sum(keepdims=True)
+            out.append(mix(total + FACTORS[WIDTH:] * np.uint64(end - begin)))
         else:
             out.append(np.empty(0, np.uint64))
     return out
@@ -171,8 +171,8 @@ def shingle_sets(array: pa.Array) -> list[np.ndarray]:
 
 def set_id(tokens: np.ndarray) -> int:
     """One signed 64-bit value per set, whatever the order of its elements."""
-    total = mix(tokens + FACTORS[0]).sum(dtype=np.uint64) + FACTORS[1] * np.uint64(len(tokens))
-    return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
+    total = mix(tokens + FACTORS[0]).sum(keepdims=True) + FACTORS[1:2] * np.uint64(len(tokens))
+    return int(mix(total).view(np.int64)[0])
 
 
 # --- calibration ---

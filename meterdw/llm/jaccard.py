@@ -5,10 +5,12 @@
    the shingle's position. Rarity is read off a fixed share of the texts: it orders shingles, and any order is exact.
 3. Index lists are skipped by position: sorted by size and position, an entry (or a whole block of entries alike in
    both, in lists of frequent shingles) is skipped when no overlap can still reach what the sizes ask for.
-4. Candidates that hang together form groups, whose sets are sent to one place once. There a set's answers are derived
+4. Every candidate has a sketch: the parity of the number of its shingles in each of some buckets. Buckets in which two
+   sketches differ are a lower bound of the shingles in which the sets differ, which discards most pairs unseen.
+5. Candidates that hang together form groups, whose sets are sent to one place once. There a set's answers are derived
    from those of a similar set: overlaps with a leader bound the overlap of any two others from below and above, and
    only pairs that the bounds leave open, and that no found link connects already, are compared.
-5. A large group is cut into parts of bounded size. Parts are solved alone, then their clusters' leaders against each
+6. A large group is cut into parts of bounded size. Parts are solved alone, then their clusters' leaders against each
    other, until little changes; then all sets outside the largest cluster meet every part. Near copies of one text fall
    into one cluster in the first rounds, so the work stays in proportion to the group, not to its square.
 """
@@ -241,8 +243,37 @@ def _blocks(entries: DataFrame) -> DataFrame:
     return staged(mapped(dealt.select("token", "blocks"), run, "token bigint, at bigint, node bigint"), "blocks")
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """The parity of the tokens in each bucket; there are twice as many buckets as tokens, or somewhat more."""
+    bits = max(64, 1 << int(2 * len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def apart_at_least(one: bytes, other: bytes) -> int:
+    """A lower bound of the number of tokens that are in one of two sets only. The longer sketch is folded."""
+    a, b = sorted((np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)), key=len)
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum())
+
+
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches leave it open that they link."""
+
+    def run(batches):
+        for batch in batches:
+            size, one, other = (batch.column(c).to_pylist() for c in ("n", "one", "other"))
+            least = needed(np.array(size, np.int64))
+            yield batch.filter(pa.array([(n - apart_at_least(x, y)) // 2 >= k for n, x, y, k in zip(
+                size, one, other, least.tolist())], pa.bool_())).select(["a", "b"])
+
+    of = sets.select("set", "n", "sketch")
+    both = (pairs.join(of.toDF("a", "size_a", "one"), "a").join(of.toDF("b", "size_b", "other"), "b")
+            .select("a", "b", (F.col("size_a") + F.col("size_b")).alias("n"), "one", "other"))
+    return staged(mapped(both, run, "a bigint, b bigint"), "near")
+
+
 def _sets(docs: DataFrame, members: DataFrame, names: DataFrame) -> DataFrame:
-    """set, n, tokens of the named sets, from the text of one member each."""
+    """set, n, sketch, tokens of the named sets, from the text of one member each."""
     one = (members.join(small(names.select("set"), 16), "set", "left_semi")
            .groupBy("set").agg(F.min(F.struct("key", "mark")).alias("m")))
     wanted = small(staged(one.select("set", F.col("m.key").alias("one_key"), F.col("m.mark").alias("one_mark")),
@@ -256,10 +287,11 @@ def _sets(docs: DataFrame, members: DataFrame, names: DataFrame) -> DataFrame:
                 if name not in seen and len(tokens) and set_id(tokens) == name:
                     seen.add(name)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name]), pa.array([len(tokens)]), pa.array([tokens.tobytes()], pa.binary())],
-                        ["set", "n", "tokens"])
+                        [pa.array([name]), pa.array([len(tokens)]), pa.array([sketch(tokens)], pa.binary()),
+                         pa.array([tokens.tobytes()], pa.binary())], ["set", "n", "sketch", "tokens"])
 
-    return staged(mapped(rows.select("set", "text"), run, "set bigint, n bigint, tokens binary"), "sets")
+    return staged(mapped(rows.select("set", "text"), run, "set bigint, n bigint, sketch binary, tokens binary"),
+                  "sets")
 
 
 def group_links(names: list[int], sets: list[np.ndarray], labels: list[int]) -> list[tuple[int, int]]:
@@ -418,13 +450,16 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     blocks = _blocks(entries)
     hung = entries.join(blocks, ["token", "at"]).select("a", F.col("node").alias("b")).distinct()
 
-    cold = components(pairs).select(F.col("label").alias("grp"), F.col("node").alias("set"))
     hung = staged(hung, "hung")
     names = hung.select(F.col("a").alias("set")).distinct()
+    both = pairs.select(F.explode(F.array("a", "b")).alias("set"))
+    sets = _sets(rows, members, staged(both.union(names).distinct(), "names"))
+
+    near = _near(pairs, sets)
+    cold = components(near).select(F.col("label").alias("grp"), F.col("node").alias("set"))
     hot = (components(hung).select(F.col("label").alias("grp"), F.col("node").alias("set"))
            .join(names, "set", "left_semi").select("grp", "set"))
-    sets = _sets(rows, members, staged(cold.select("set").union(names).distinct(), "names"))
-    links = _solve(hot, sets).unionByName(_solve(cold, sets, pairs))
+    links = _solve(hot, sets).unionByName(_solve(cold, sets, near))
 
     joined = components(links).withColumnRenamed("node", "set")
     ids = members.where("set is not null").groupBy("set").agg(F.min("key").alias("least"),
