@@ -25,7 +25,7 @@ LEXICON_FOLDS, TREE_FOLDS, CALIBRATION_FOLD = (1, 2), (3,), 4
 # labelled texts that the lexicon is learned from, at most; trees and calibration use all of their folds
 LEXICON_ROWS = 40_000
 CANDIDATES, ENTRIES = 20_000, 2_000
-LEAST_TEXTS, LEAST_ODDS = 5, 8.0
+LEAST_TEXTS, LEAST_ODDS = 5, 12.0
 BEGINNINGS = (5, 6, 7)
 TREES, DEPTH, STEP = 30, 3, 0.2
 STEPS = 1000
@@ -45,9 +45,11 @@ SECOND_PERSON = frozenset("""
 # fixed values: what stands for a letter in obfuscated words
 STANDS_FOR = str.maketrans("013457@$!", "oieastasi")
 
+CAPITALS = bytes(range(0x41, 0x5B))
+SHOUTED = re.compile(rb"\b[A-Z]{3,}\b")
 WORD = re.compile(r"[^\W_]+")
-MASKED = re.compile(r"[^\W\d_]+(?:[\d@$!*#]+[^\W\d_]+)+")
-SPELLED = re.compile(r"\b(?:[^\W\d_][ .\-_*]){3,}[^\W\d_]\b")
+MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[\d@$!*#]++[^\W\d_]++)++")
+SPELLED = re.compile(r"(?<!\w)(?:[^\W\d_][ .\-_*]){3,}[^\W\d_]\b")
 NAMES = ["words", "fixed_rate", "fixed_count", "learned_rate", "learned_count", "learned_sum", "learned_most",
          "learned_distinct", "near_second_person", "second_person", "capitals", "capital_words", "exclaims",
          "questions", "marks", "digits", "masked", "masked_insults", "spelled", "word_length", "distinct"]
@@ -57,23 +59,35 @@ def units(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
 
 
-def features(text: str, learned: dict[str, float], memory: dict[str, float]) -> list[float]:
+class Lexicon:
+    """The learned units, with a quick way to the few words of a text that may be among them."""
+
+    def __init__(self, odds: dict[str, float]):
+        self.odds = odds
+        self.words = frozenset(u for u in odds if not u.endswith("*"))
+        self.heads = frozenset(u[:BEGINNINGS[0]] for u in odds if u.endswith("*"))
+
+    def of(self, words: set[str]) -> dict[str, float]:
+        """The words that are known, or begin like known ones, with the largest odds of their units."""
+        head = BEGINNINGS[0]
+        maybe = (words & self.words) | ({w for w in words if w[:head] in self.heads} if self.heads else set())
+        found = {w: max((self.odds[u] for u in units(w) if u in self.odds), default=0.0) for w in maybe}
+        return {w: odds for w, odds in found.items() if odds}
+
+
+def features(text: str, lexicon: Lexicon) -> list[float]:
     """The features of one whole text, in the order of NAMES; an empty text has zeros."""
     low = text.lower()
     words = WORD.findall(low)
     count = len(words)
     if not count:
         return [0.0] * 12 + [text.count("!") / max(1, len(text)), text.count("?") / max(1, len(text))] + [0.0] * 7
-    if len(memory) > 500_000:
-        memory.clear()
     different = set(words)
-    for word in different - memory.keys():
-        memory[word] = max((learned[u] for u in units(word) if u in learned), default=0.0) if learned else 0.0
-    known = {word for word in different if memory[word]}
+    known = lexicon.of(different)
     fixed = different & INSULTS
-    bad = known | fixed
+    bad = known.keys() | fixed
     at_bad = [i for i, word in enumerate(words) if word in bad] if bad else []
-    sums = [memory[words[i]] for i in at_bad]
+    sums = [known.get(words[i], 0.0) for i in at_bad]
     fixed_count = sum(words[i] in fixed for i in at_bad)
     at_you = [i for i, word in enumerate(words) if word in SECOND_PERSON] if different & SECOND_PERSON else []
     near = 0.0
@@ -87,11 +101,12 @@ def features(text: str, learned: dict[str, float], memory: dict[str, float]) ->
     plain = [m.lower().translate(STANDS_FOR) for m in masked]
     shapes = [re.compile(re.escape(m.lower()).replace(r"\*", "[^\\W_]").replace(r"\#", "[^\\W_]")) for m in masked[:200]
               if "*" in m or "#" in m]
-    hidden = sum(p in INSULTS or p in learned for p in plain) + sum(
+    hidden = sum(p in INSULTS or p in lexicon.words for p in plain) + sum(
         any(shape.fullmatch(word) for word in INSULTS) for shape in shapes)
     letters = sum(map(len, words))
-    upper = sum(1 for c in text if c.isupper()) if not text.islower() else 0
-    shouted = sum(1 for w in text.split() if len(w) > 2 and w.isupper())
+    coded = text.encode("utf-8", "replace")
+    upper = len(coded) - len(coded.translate(None, CAPITALS))
+    shouted = len(SHOUTED.findall(coded))
     size = len(text)
     return [math.log1p(count), fixed_count / count, float(fixed_count), len(at_bad) / count, float(len(at_bad)),
             sum(sums), max(sums, default=0.0), float(len(bad)), near / count, len(at_you) / count,
@@ -165,9 +180,9 @@ def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     learned = docs.sparkSession.sparkContext.broadcast(lexicon(rows, staged(sample.select("key", "y"), "sample")))
 
     def run(batches):
-        memory: dict[str, float] = {}
+        words = Lexicon(learned.value)
         for batch in text_slices(batches, "text"):
-            out = [features(value, learned.value, memory) for value in texts(batch, "text")]
+            out = [features(value, words) for value in texts(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.list_(pa.float64()))], ["key", "x"])
 
     measured = staged(mapped(rows, run, f"key {kind}, x array<double>"), "toxicity")
