@@ -195,10 +195,11 @@ def normalised(archives: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield _index_rows(rows)
 
-    return staged(mapped(archives.repartition("archive"), run, INDEX), "index")
+    # a task per archive: a path is a short row, and rows would be put together by their size
+    return staged(mapped(archives.repartition(max(1, archives.count()), "archive"), run, INDEX), "index")
 
 
-def read_records(index: DataFrame, part_bytes: int = 32 << 20) -> DataFrame:
+def read_records(index: DataFrame, part_bytes: int = 4 << 20) -> DataFrame:
     """record (page), uri, kind, payload, payload_bytes, payload_digest, refers_to of every indexed record.
 
     Records are read by place, neighbours in an archive by one task. The payload of a response is checked against its
@@ -238,7 +239,9 @@ def read_records(index: DataFrame, part_bytes: int = 32 << 20) -> DataFrame:
                                           ["record", "uri", "kind", "payload", "payload_bytes", "payload_digest",
                                            "refers_to"])
 
-    dealt = (index.withColumn("part", F.expr(f"offset div {part_bytes}")).repartition("archive", "part")
+    place = index.withColumn("part", F.expr(f"offset div {part_bytes}"))
+    parts = max(1, place.select("archive", "part").distinct().count())
+    dealt = (place.repartition(parts, "archive", "part")
              .sortWithinPartitions("archive", "offset").select("archive", "offset", "length"))
     return mapped(dealt, run, "record string, uri string, kind string, payload binary, payload_bytes bigint, "
                               "payload_digest string, refers_to string")
