@@ -180,7 +180,7 @@ def set_id(tokens: np.ndarray) -> int:
 def isotonic(x: np.ndarray, positives: np.ndarray, rows: np.ndarray) -> tuple[list[float], list[float]]:
     """Pools neighbours until the rates rise with x. Returns the lower end and the rate of every pool.
 
-    Each pool's rate is drawn towards the rate of all rows by one row, so that none is exactly 0 or 1.
+    Where two pools meet, the middle between their nearest values parts them. Each pool's rate is drawn towards the rate of all rows by one row, so that none is exactly 0 or 1.
     """
     if not len(x) or not rows.sum():
         return [0.0], [0.5]
@@ -188,13 +188,13 @@ def isotonic(x: np.ndarray, positives: np.ndarray, rows: np.ndarray) -> tuple[li
     order = np.argsort(x)
     pools: list[list[float]] = []
     for at, good, count in zip(x[order], positives[order], rows[order]):
-        pools.append([float(at), float(good), float(count)])
-        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
-            _, more, rest = pools.pop()
-            pools[-1][1] += more
-            pools[-1][2] += rest
-    rates = [(good + prior) / (count + 1) for _, good, count in pools]
-    return [at for at, _, _ in pools], list(np.maximum.accumulate(rates))
+        pools.append([float(at), float(at), float(good), float(count)])
+        while len(pools) > 1 and pools[-2][2] * pools[-1][3] >= pools[-1][2] * pools[-2][3]:
+            _, last, more, rest = pools.pop()
+            pools[-1][1:] = [last, pools[-1][2] + more, pools[-1][3] + rest]
+    rates = [(good + prior) / (count + 1) for _, _, good, count in pools]
+    starts = [pools[0][0], *((one[1] + other[0]) / 2 for one, other in zip(pools, pools[1:]))]
+    return starts, list(np.maximum.accumulate(rates))
 
 
 def calibrated(raw: np.ndarray, starts: list[float], rates: list[float]) -> np.ndarray:
