@@ -36,10 +36,19 @@ def update_where(df: DataFrame, condition: Column, assignments: dict[str, Column
         for name, value in assignments.items()})
 
 
-def update_keyed(df: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Overwrites the columns of `updates` in the rows it names; a key may occur once in `updates`."""
-    changed = [c for c in updates.columns if c != key]
-    renamed = updates.select(key, F.struct(*changed).alias("_new"))
+def update_keyed(df: DataFrame, updates: DataFrame, key: str, seq: str | None = None) -> DataFrame:
+    """Overwrites the columns of `updates` in the rows it names.
+
+    With a sequence column the newest update of a key counts; without one, a key that occurs twice is an error.
+    """
+    changed = [c for c in updates.columns if c not in (key, seq)]
+    if seq is not None:
+        updates = latest(updates, [key], [F.desc_nulls_last(seq)])
+        renamed = updates.select(key, F.struct(*changed).alias("_new"))
+    else:
+        twice = F.raise_error(F.concat(F.lit(f"several updates of {key} "), F.col(key).cast("string")))
+        renamed = updates.groupBy(key).agg(F.first(F.struct(*changed)).alias("_new"), F.count("*").alias("_n")).select(
+            key, F.when(F.col("_n") == 1, F.col("_new")).otherwise(twice).alias("_new"))
     joined = df.join(renamed, key, "left")
     return joined.withColumns({
         c: F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)) for c in changed

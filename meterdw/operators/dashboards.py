@@ -11,10 +11,10 @@ from meterdw.schemas import MEASURE_TYPES
 
 
 def status_summary(monitor: DataFrame) -> DataFrame:
-    """Devices per status and their share in percent; the window runs over the handful of status rows."""
+    """Devices per status and their share in percent, most frequent first; both run over the handful of statuses."""
     counts = monitor.groupBy("status").agg(F.count("*").alias("device_count"))
     share = exact_avg("device_count * 100", "SUM(device_count) OVER (PARTITION BY 1)", "decimal(5,1)")
-    return counts.withColumn("percentage", share)
+    return counts.withColumn("percentage", share).orderBy(F.desc("device_count"), "status")
 
 
 def latest_devices(monitor: DataFrame, n: int = 8) -> DataFrame:

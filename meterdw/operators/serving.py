@@ -167,7 +167,7 @@ def device_hour_listing(hours: DataFrame, since=None, device_id: int | None = No
     if since is not None:
         rows = rows.where(F.col("stat_date") >= since)
     return rows.select("device_id", "stat_date", "stat_hour", "reading_count", "avg_voltage", "avg_current",
-                       "avg_power", "avg_temperature", "avg_health_score")
+                       "avg_power", "avg_temperature", "avg_health_score").orderBy("device_id", "stat_date", "stat_hour")
 
 
 def readings_per_device(readings: DataFrame) -> DataFrame:

@@ -29,14 +29,14 @@ FROM events""",
 SELECT CAST(s_suppkey + 1 AS INT) AS id, 'DEV' || LPAD(CAST(s_suppkey + 1 AS VARCHAR), 3, '0') AS device_code,
   s_name AS device_name,
   CASE s_suppkey % 3 WHEN 0 THEN 'TRANSFORMER' WHEN 1 THEN 'BREAKER' ELSE 'METER' END AS device_type,
-  CAST(s_nationkey + 1 AS INT) AS substation_id,
+  CAST(CASE WHEN s_suppkey % 9 = 4 THEN 99 ELSE s_nationkey + 1 END AS INT) AS substation_id,
   CASE WHEN s_suppkey % 11 = 0 THEN 'MAINTENANCE' WHEN s_suppkey % 13 = 0 THEN 'DELETED' ELSE 'NORMAL' END AS status
 FROM supplier""",
     "substation": """
 SELECT CAST(n_nationkey + 1 AS INT) AS id, n_name AS name, r_name AS location,
   CASE n_regionkey % 3 WHEN 0 THEN 110 WHEN 1 THEN 220 ELSE 500 END AS voltage_level,
   CAST(100 * (n_nationkey + 1) AS DECIMAL(10,2)) AS capacity, 'ACTIVE' AS status
-FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 24""",
+FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "grid_customer": """
 SELECT CAST(c_custkey + 1 AS INT) AS id, 'CUST' || LPAD(CAST(c_custkey + 1 AS VARCHAR), 3, '0') AS customer_code,
   c_name AS customer_name, c_mktsegment AS customer_type FROM customer""",
@@ -46,7 +46,7 @@ SELECT CAST(c_custkey * 2 + 1 AS INT) AS id, CAST(c_custkey + 1 AS INT) AS custo
 FROM customer WHERE c_custkey % 20 = 0
 UNION ALL
 SELECT CAST(c_custkey * 2 + 2 AS INT), CAST(c_custkey + 1 AS INT),
-  CAST((c_custkey - c_custkey % 30) / 30 + 1 AS INT), 'OWNER'
+  CAST(CASE WHEN c_custkey % 90 = 31 THEN 2000000000 ELSE (c_custkey - c_custkey % 30) / 30 + 1 END AS INT), 'OWNER'
 FROM customer WHERE c_custkey % 30 = 1""",
     "alarm_info": """
 SELECT event_id AS id, CAST(user_id + 1 AS INT) AS device_id,
@@ -378,7 +378,8 @@ SELECT status, device_count,
   CAST(CAST((2 * CAST(device_count * 1000 AS HUGEINT) + everything) // (2 * everything) AS DECIMAL(18,0))
     * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(5,1)) AS percentage
 FROM (SELECT status, COUNT(*) AS device_count, CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS everything
-      FROM ({GENERATED_MONITOR}) GROUP BY status)""",
+      FROM ({GENERATED_MONITOR}) GROUP BY status)
+ORDER BY device_count DESC, status""",
     "dash_latest_devices": "SELECT device_id, device_code, substation_name, latest_voltage, latest_power, temperature, "
                            f"health_score, status, last_update_time FROM ({GENERATED_MONITOR}) "
                            "ORDER BY last_update_time DESC, device_id LIMIT 8",
@@ -405,13 +406,16 @@ UNION ALL SELECT 'monitor_records', COUNT(DISTINCT device_id) FROM meter_reading
                              "ORDER BY window_start DESC, device_id LIMIT 10",
     "device_5min_recent": "SELECT device_id, stat_time, reading_count, avg_voltage, avg_current, avg_power, "
                           f"avg_temperature, health_score, status FROM ({DEVICE_5MIN}) "
+                          f"WHERE stat_time >= {LATE} - INTERVAL 3 HOUR "
                           "ORDER BY stat_time DESC, device_id LIMIT 10",
     "substation_hour_recent": "SELECT substation_id, substation_name, stat_date, stat_hour, total_devices, "
                               "active_devices, warning_devices, total_power, avg_voltage, avg_temperature, "
                               f"health_score FROM ({SUBSTATION_TUMBLE}) "
+                              f"WHERE stat_date >= CAST({LATE} - INTERVAL 1 DAY AS DATE) "
                               "ORDER BY stat_date DESC, stat_hour DESC, substation_id LIMIT 5",
     "customer_hour_recent": "SELECT customer_id, customer_name, stat_date, stat_hour, device_count, total_energy, "
                             f"peak_power, avg_power, power_cost FROM ({_customer_hour(RATE)}) "
+                            f"WHERE stat_date >= CAST({LATE} - INTERVAL 1 DAY AS DATE) "
                             "ORDER BY stat_date DESC, stat_hour DESC, customer_id LIMIT 5",
     "device_sample": "SELECT device_id, device_code, latest_voltage, temperature, health_score, status "
                      f"FROM ({DEVICE_REALTIME}) ORDER BY device_id LIMIT 5",
@@ -424,7 +428,9 @@ UNION ALL SELECT 'monitor_records', COUNT(DISTINCT device_id) FROM meter_reading
     # reads
     "raw_hourly_device": RAW_HOURS,
     "device_hour_listing": "SELECT device_id, stat_date, stat_hour, reading_count, avg_voltage, avg_current, "
-                           f"avg_power, avg_temperature, avg_health_score FROM ({DEVICE_HOUR})",
+                           f"avg_power, avg_temperature, avg_health_score FROM ({DEVICE_HOUR}) "
+                           f"WHERE stat_date >= CAST({LATE} - INTERVAL 1 DAY AS DATE) "
+                           "ORDER BY device_id, stat_date, stat_hour",
     "device_stats": f"SELECT device_id, COUNT(*) AS total_readings, {avg('voltage')}, "
                     "MAX(temperature) AS max_temp FROM meter_reading GROUP BY device_id",
     "device_latest_reading": "SELECT device_id, voltage, current_val, power, temperature, reading_time FROM latest",
@@ -460,6 +466,14 @@ UNION ALL SELECT 'monitor_records', COUNT(DISTINCT device_id) FROM meter_reading
                       "HAVING COUNT(*) > 1",
     "orphan_readings": "SELECT id, device_id, reading_time FROM meter_reading m WHERE NOT EXISTS "
                        "(SELECT 1 FROM device_info d WHERE d.id = m.device_id)",
+    "orphan_devices": "SELECT id, substation_id FROM device_info d WHERE NOT EXISTS "
+                      "(SELECT 1 FROM substation s WHERE s.id = d.substation_id)",
+    "orphan_relations": "SELECT id, 'customer' AS missing FROM customer_device r WHERE NOT EXISTS "
+                        "(SELECT 1 FROM grid_customer c WHERE c.id = r.customer_id) UNION ALL "
+                        "SELECT id, 'device' FROM customer_device r WHERE NOT EXISTS "
+                        "(SELECT 1 FROM device_info d WHERE d.id = r.device_id)",
+    "orphan_alarms": "SELECT id, device_id, alarm_time FROM alarm_info a WHERE NOT EXISTS "
+                     "(SELECT 1 FROM device_info d WHERE d.id = a.device_id)",
     "reconcile_hour": f"""
 SELECT coalesce(r.device_id, w.device_id) AS device_id, coalesce(r.stat_date, w.stat_date) AS stat_date,
   coalesce(r.stat_hour, w.stat_hour) AS stat_hour,
@@ -484,6 +498,8 @@ SELECT 'ads', COUNT(*), {count_if(f"last_update_time >= {LATE} - INTERVAL 1 DAY"
     "stream_customer_hour_tou": closed(_customer_hour(RATE), HOUR_END),
     "stream_substation_hour": closed(SUBSTATION_TUMBLE, HOUR_END),
     "stream_device_hour": DEVICE_HOUR,
+    "stream_substation_hour_running": SUBSTATION_HOUR,
+    "stream_customer_hour_running": _customer_hour("CAST(0.6 AS DECIMAL(2,1))"),
     "stream_latest_device": DEVICE_REALTIME,
     "stream_dwd_enrich": "SELECT * FROM dwd",
     "stream_dedup": "SELECT * FROM meter_reading",

@@ -17,7 +17,7 @@ from meterdw.operators import changelog, dashboards, detail, quality, rollup, se
 from meterdw.plans.pipelines import devices, dimensions, latest_monitor, owned_devices
 from meterdw.session import scratch_dir, utc_session
 from meterdw.sinks import files
-from meterdw.sources.tables import Warehouse
+from meterdw.sources.tables import Recent, Warehouse
 from meterdw.streaming import jobs, source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +148,11 @@ def _now(wh, shift: str = ""):
     return newest(wh.meter_reading(), "reading_time", shift)
 
 
+def _last_days(wh) -> Recent:
+    """The tables with the readings of the newest day and the day before it."""
+    return Recent(wh, F.to_date(_now(wh, "- INTERVAL 1 DAY")).cast("timestamp_ntz"))
+
+
 @query
 def monitor_recent_hour(wh):
     return detail.recent_monitor(wh.meter_reading(), devices(wh), _now(wh, "- INTERVAL 1 HOUR"))
@@ -336,17 +341,19 @@ def window_summary_recent(wh):
 
 @query
 def device_5min_recent(wh):
-    return dashboards.newest_device_windows(dws_device_5min(wh))
+    since = _now(wh, "- INTERVAL 3 HOURS")
+    return dashboards.newest_device_windows(
+        dws_device_5min(Recent(wh, since)).where(F.col("stat_time") >= since))
 
 
 @query
 def substation_hour_recent(wh):
-    return dashboards.newest_substation_hours(dws_substation_hour_tumble(wh))
+    return dashboards.newest_substation_hours(dws_substation_hour_tumble(_last_days(wh)))
 
 
 @query
 def customer_hour_recent(wh):
-    return dashboards.newest_customer_hours(dws_customer_hour_tou(wh))
+    return dashboards.newest_customer_hours(dws_customer_hour_tou(_last_days(wh)))
 
 
 @query
@@ -373,7 +380,7 @@ def raw_hourly_device(wh):
 
 @query
 def device_hour_listing(wh):
-    return serving.device_hour_listing(dws_device_hour(wh))
+    return serving.device_hour_listing(dws_device_hour(_last_days(wh)))
 
 
 @query
@@ -473,6 +480,24 @@ def orphan_readings(wh):
         "id", "device_id", "reading_time")
 
 
+@query
+def orphan_devices(wh):
+    return quality.orphans(wh.device_info(), "substation_id", wh.substation(), "id").select("id", "substation_id")
+
+
+@query
+def orphan_relations(wh):
+    ends = (("customer", "customer_id", wh.grid_customer()), ("device", "device_id", wh.device_info()))
+    found = [quality.orphans(wh.customer_device(), fk, parent, "id").select("id", F.lit(name).alias("missing"))
+             for name, fk, parent in ends]
+    return found[0].unionByName(found[1])
+
+
+@query
+def orphan_alarms(wh):
+    return quality.orphans(wh.alarm_info(), "device_id", wh.device_info(), "id").select("id", "device_id", "alarm_time")
+
+
 @query
 def reconcile_hour(wh):
     raw = serving.raw_hours(wh.meter_reading()).withColumns(
@@ -558,13 +583,27 @@ def stream_customer_hour_tou(wh):
         measures=("power", "energy"))
 
 
-@query
-def stream_device_hour(wh):
+def _running_hours(wh):
+    """The newest partial row of every device and hour; all summaries are made from these."""
     live, readings, root = _stream(wh)
     out = f"{root}/out"
-    hours = {out: lambda p: rollup.device_hour(rollup.with_devices(p, dimensions(live)))}
-    jobs.running_job(readings, "1 hour", hours, f"{root}/checkpoint").awaitTermination()
-    return files.read_latest(wh.spark, out, ["device_id", "stat_date", "stat_hour"])
+    jobs.running_job(readings, "1 hour", out, f"{root}/checkpoint").awaitTermination()
+    return jobs.running_partials(wh.spark, out)
+
+
+@query
+def stream_device_hour(wh):
+    return rollup.device_hour(rollup.with_devices(_running_hours(wh), dimensions(wh)))
+
+
+@query
+def stream_substation_hour_running(wh):
+    return rollup.substation_hour(rollup.with_devices(_running_hours(wh), dimensions(wh)))
+
+
+@query
+def stream_customer_hour_running(wh):
+    return rollup.customer_hour(rollup.with_owners(_running_hours(wh), dimensions(wh)))
 
 
 @query

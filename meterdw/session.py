@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +55,14 @@ def utc_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
+@cache
+def _own_folder() -> str:
+    """One temporary folder per process, removed at its end."""
+    folder = tempfile.mkdtemp(prefix="meterdw-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared `spark.checkpoint.dir`.
 
@@ -62,5 +73,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="meterdw-")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -62,7 +62,9 @@ def full_refresh(df: DataFrame, path: str, unique: tuple[str, ...] = (), partiti
     """
     run = time.time_ns()
     staged = f"{path}/rows/run={run}"
-    df.write.partitionBy(*partition_by).parquet(staged)
+    # one task per date (or a few, for large ones) instead of a file of every date from every task
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.partitionBy(*partition_by).parquet(staged)
     spark = df.sparkSession
     if unique and not duplicates(spark.read.parquet(staged), list(unique)).isEmpty():
         raise DuplicateKeys(f"duplicate {unique} in {staged}")

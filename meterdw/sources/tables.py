@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterdw import schemas
+from meterdw.functions.measures import as_column
 
 EVENTS = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
 SUPPLIER = "s_suppkey bigint, s_name string, s_nationkey int"
@@ -73,13 +74,13 @@ class Warehouse:
             id="s_suppkey + 1", device_code="'DEV' || lpad(CAST(s_suppkey + 1 AS STRING), 3, '0')",
             device_name="s_name",
             device_type="CASE s_suppkey % 3 WHEN 0 THEN 'TRANSFORMER' WHEN 1 THEN 'BREAKER' ELSE 'METER' END",
-            substation_id="s_nationkey + 1",
+            # some devices point to a substation that no nation stands for
+            substation_id="IF(s_suppkey % 9 = 4, 99, s_nationkey + 1)",
             status="CASE WHEN s_suppkey % 11 = 0 THEN 'MAINTENANCE' WHEN s_suppkey % 13 = 0 THEN 'DELETED' "
                    "ELSE 'NORMAL' END")
 
     def substation(self) -> DataFrame:
-        # one nation stays out on purpose: its devices point to an unknown substation
-        nation = self._file("nation", NATION).where("n_nationkey <> 24")
+        nation = self._file("nation", NATION)
         region = self._file("region", REGION)
         return conform(
             nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")), schemas.SUBSTATION,
@@ -97,11 +98,12 @@ class Warehouse:
             customer_name="c_name", customer_type="c_mktsegment")
 
     def customer_device(self) -> DataFrame:
-        """Owners of devices: 0, 1 or 2 per device. Ids come from the customer key, not from a global numbering."""
+        """Owners of devices: 0, 1 or 2 per device, some of an unknown device. Ids come from the customer key."""
         links = self._customers().selectExpr(
             "c_custkey",
             "stack(2, c_custkey * 2 + 1, IF(c_custkey % 20 = 0, c_custkey div 20 + 1, NULL), "
-            "c_custkey * 2 + 2, IF(c_custkey % 30 = 1, c_custkey div 30 + 1, NULL)) AS (id, device_id)")
+            "c_custkey * 2 + 2, IF(c_custkey % 30 = 1, IF(c_custkey % 90 = 31, 2000000000, c_custkey div 30 + 1), NULL)) "
+            "AS (id, device_id)")
         return conform(links.where("device_id IS NOT NULL"), schemas.CUSTOMER_DEVICE,
                        customer_id="c_custkey + 1", relationship_type="'OWNER'")
 
@@ -125,3 +127,14 @@ class Warehouse:
         return self.events().selectExpr(
             "CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op",
             "event_id AS seq", "user_id AS account_id", "CAST(value AS DECIMAL(12,2)) AS balance", "ts AS changed_at")
+
+
+class Recent(Warehouse):
+    """The same tables, with the readings at or after a time; the filter comes before everything that reads them."""
+
+    def __init__(self, wh: Warehouse, since):
+        super().__init__(wh.spark, wh.folder)
+        self.since = since
+
+    def meter_reading(self) -> DataFrame:
+        return super().meter_reading().where(F.col("reading_time") >= as_column(self.since))

@@ -8,15 +8,16 @@ summaries, distinct counts included. Dimensions are read anew for every micro-ba
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from meterdw.functions import grading
 from meterdw.operators import detail, rollup, serving
 from meterdw.schemas import MEASURE_TYPES
-from meterdw.sinks.files import upsert_batch
+from meterdw.sinks.files import read_latest, upsert_batch
 from meterdw.streaming.source import WATERMARK, with_event_time, zoneless
 
 Handler = Callable[[DataFrame, int], None]
@@ -30,18 +31,69 @@ def _trigger(every: str | None) -> dict:
 def start(stream: DataFrame, handler: Handler, checkpoint: str, mode: str = "append",
           every: str | None = None) -> StreamingQuery:
     """foreachBatch query with a checkpoint; without an interval it drains the source and ends."""
+    watch(stream.sparkSession)
     return (stream.writeStream.foreachBatch(handler).outputMode(mode)
             .option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start())
 
 
+class Flow(StreamingQueryListener):
+    """Adds up what every query of a session reports; a query itself only keeps its last reports."""
+
+    def __init__(self):
+        self.runs: dict[str, dict] = {}
+
+    @staticmethod
+    def nothing() -> dict:
+        return {"batches": 0, "rows": 0, "busy_ms": 0, "late_rows": 0, "upto": ""}
+
+    @staticmethod
+    def add(sums: dict, progress) -> None:
+        sums["batches"] += progress["numInputRows"] > 0
+        sums["rows"] += progress["numInputRows"]
+        sums["busy_ms"] += progress["durationMs"].get("triggerExecution", 0)
+        sums["late_rows"] += sum(s["numRowsDroppedByWatermark"] for s in progress["stateOperators"])
+        sums["upto"] = progress["timestamp"]
+
+    def onQueryStarted(self, event):
+        self.runs[str(event.runId)] = self.nothing()
+
+    def onQueryProgress(self, event):
+        self.add(self.runs.setdefault(str(event.progress.runId), self.nothing()), json.loads(event.progress.json))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+_flows: dict[str, Flow] = {}
+
+
+def watch(spark: SparkSession) -> Flow:
+    """The counters of a session, from its first job on."""
+    name = spark._jsparkSession.sessionUUID()
+    if name not in _flows:
+        _flows[name] = Flow()
+        spark.streams.addListener(_flows[name])
+    return _flows[name]
+
+
 def flow(query: StreamingQuery) -> dict:
-    """What a query has processed so far: batches, rows, rows per second, rows dropped as late."""
-    progress = [p for p in query.recentProgress if p["numInputRows"]]
-    rows = sum(p["numInputRows"] for p in progress)
-    busy = sum(p["durationMs"].get("triggerExecution", 0) for p in query.recentProgress) / 1000
-    late = sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
-    return {"batches": len(progress), "rows": rows, "rows_per_second": rows / busy if busy else 0.0,
-            "late_rows": late, "watermark": query.lastProgress["eventTime"].get("watermark") if progress else None}
+    """What a query has processed since it started: batches, rows, rows per second, rows dropped as late.
+
+    Reports reach the counters a little late; those still under way are read from the query itself.
+    """
+    found = next((f.runs[str(query.runId)] for f in _flows.values() if str(query.runId) in f.runs), Flow.nothing())
+    sums = dict(found)
+    for progress in query.recentProgress:
+        if progress["timestamp"] > sums["upto"]:
+            Flow.add(sums, progress)
+    busy = sums["busy_ms"] / 1000
+    last = query.lastProgress
+    return {"batches": sums["batches"], "rows": sums["rows"], "rows_per_second": sums["rows"] / busy if busy else 0.0,
+            "late_rows": sums["late_rows"],
+            "watermark": last["eventTime"].get("watermark") if last and sums["batches"] else None}
 
 
 def fan_out(outputs: dict[str, Summary]) -> Handler:
@@ -61,11 +113,13 @@ def fan_out(outputs: dict[str, Summary]) -> Handler:
 
 def copy_job(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append-only copy to Parquet, exactly once per row."""
+    watch(stream.sparkSession)
     return (stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
             .outputMode("append").trigger(**_trigger(every)).start())
 
 
 def console_job(stream: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    watch(stream.sparkSession)
     return (stream.writeStream.format("console").option("truncate", "false")
             .option("checkpointLocation", checkpoint).outputMode("append").trigger(**_trigger(every)).start())
 
@@ -97,15 +151,20 @@ def window_job(readings: DataFrame, width: str, outputs: dict[str, Summary], che
                  "append", every)
 
 
-def running_job(readings: DataFrame, width: str, outputs: dict[str, Summary], checkpoint: str,
-                profile=grading.MAIN, measures=tuple(MEASURE_TYPES), delay: str = "1 hour",
-                every: str | None = None) -> StreamingQuery:
-    """Continuously revised windows: changed ones are written again, the newest batch wins on reading.
+def running_job(readings: DataFrame, width: str, path: str, checkpoint: str, profile=grading.MAIN,
+                measures=tuple(MEASURE_TYPES), delay: str = "1 hour", every: str | None = None) -> StreamingQuery:
+    """Continuously revised windows: the partial rows of devices that changed are written again.
 
+    A micro-batch holds changed devices only, so nothing coarser may be made from it: summaries of devices,
+    substations and customers are made from `running_partials`, the newest partial row of every device and window.
     `delay` plays the role of a state lifetime: a window leaves the state that long after its end.
     """
-    return start(window_partials(readings, width, profile, delay, measures), fan_out(outputs), checkpoint,
-                 "update", every)
+    return start(window_partials(readings, width, profile, delay, measures), fan_out({path: lambda rows: rows}),
+                 checkpoint, "update", every)
+
+
+def running_partials(spark: SparkSession, path: str) -> DataFrame:
+    return read_latest(spark, path, ["device_id", "window_start"])
 
 
 def latest_job(readings: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

@@ -39,3 +39,12 @@ def test_session_zone_does_not_matter(spark, con, folder, name):
     elsewhere = spark.newSession()
     elsewhere.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
     assert differences(REGISTRY[name](elsewhere, folder), con, statements()[name]) == []
+
+
+@pytest.mark.parametrize("name, keys", [("dash_status_summary", ["device_count", "status"]),
+                                        ("device_hour_listing", ["device_id", "stat_date", "stat_hour"])])
+def test_order(spark, con, folder, name, keys):
+    mine = [tuple(r) for r in REGISTRY[name](spark, folder).select(*keys).collect()]
+    rel = con.sql(statements()[name])
+    at = [rel.columns.index(k) for k in keys]
+    assert mine == [tuple(row[i] for i in at) for row in rel.fetchall()]

@@ -7,6 +7,7 @@ from helpers import BASE, readings
 
 from meterdw.operators import detail
 from meterdw.plans import pipelines
+from meterdw.plans.queries import REGISTRY
 from meterdw.sinks import files
 from meterdw.sinks import jdbc as jdbc_sink
 from meterdw.sources import jdbc
@@ -69,7 +70,7 @@ def test_batch_build(spark, folder, tmp_path):
     wh = Warehouse(spark, folder)
     paths = pipelines.build_batch(wh, str(tmp_path))
     counts = {name: files.read_published(spark, path).count() for name, path in paths.items()}
-    assert counts["dwd_detail"] == 896 and all(counts.values())
+    assert counts["dwd_detail"] == REGISTRY["dwd_device_meter_detail"](spark, folder).count() and all(counts.values())
     states = pipelines.refresh_states(wh, str(tmp_path), newest=100)
     assert files.read_published(spark, states["substation_states"]).count() > 0
 

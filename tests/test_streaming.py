@@ -5,12 +5,13 @@ import os
 import time
 
 import pytest
-from helpers import BASE, readings
+from helpers import BASE, readings, seed_dimensions
 
 from meterdw import schemas
 from meterdw.functions import grading
 from meterdw.operators import detail, rollup, serving
 from meterdw.plans import pipelines
+from meterdw.plans.queries import REGISTRY
 from meterdw.session import scratch_dir
 from meterdw.sinks import files
 from meterdw.sources.tables import Warehouse
@@ -94,15 +95,46 @@ def test_late_rows_are_dropped_and_counted(utc, feed, tmp_path):
 
 def test_running_hours_are_revised(utc, feed, tmp_path):
     root = str(tmp_path / "out")
-    hours = {f"{root}/hours": rollup.device_20s}
-    jobs.running_job(stream(utc, feed), "1 hour", hours, f"{root}/checkpoint", grading.MAIN).awaitTermination()
+    jobs.running_job(stream(utc, feed), "1 hour", f"{root}/hours", f"{root}/checkpoint",
+                     grading.MAIN).awaitTermination()
     log = files.read_batches(utc, f"{root}/hours")
     assert log.count() > 3
-    got = files.read_latest(utc, f"{root}/hours", ["device_id", "window_start"]).collect()
+    got = rollup.device_20s(jobs.running_partials(utc, f"{root}/hours")).collect()
     expected = rollup.device_20s(serving.window_parts(utc.read.parquet(feed))).collect()
     assert sorted(got) == sorted(expected)
 
 
+def test_running_hours_above_the_device(utc, tmp_path):
+    """A micro-batch changes one device; sums over its substation and its owner still hold the others."""
+    feed, root, old = str(tmp_path / "feed"), str(tmp_path / "out"), time.time() - 100_000
+    for part, device in enumerate((1, 2, 3, 1)):
+        deliver(utc, feed, [{"id": 10 * part + i, "device_id": device, "power": str(1000 * (part + 1)),
+                             "reading_time": BASE + (10 * part + i) * STEP} for i in range(10)], old + part)
+    jobs.running_job(stream(utc, feed), "1 hour", f"{root}/hours", f"{root}/checkpoint").awaitTermination()
+    parts = jobs.running_partials(utc, f"{root}/hours")
+    whole = serving.window_parts(utc.read.parquet(feed), width="1 hour")
+    dims = rollup.Dimensions.of(*seed_dimensions(utc))
+    stations = [rollup.substation_hour(rollup.with_devices(p, dims)).collect() for p in (parts, whole)]
+    assert sorted(stations[0]) == sorted(stations[1]) and {r["total_devices"] for r in stations[0]} >= {2}
+    owners = [rollup.customer_hour(rollup.with_owners(p, dims)).collect() for p in (parts, whole)]
+    assert sorted(owners[0]) == sorted(owners[1]) and owners[0]
+
+
+def test_flow_counts_more_batches_than_a_query_keeps(utc, feed, tmp_path):
+    kept = utc.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    utc.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        deliver(utc, feed, [{"id": 900, "device_id": 1, "reading_time": BASE}], time.time() - 10)
+        deliver(utc, feed, [{"id": 901, "device_id": 2, "reading_time": BASE + 400 * STEP}], time.time() - 5)
+        deliver(utc, feed, [{"id": 902, "device_id": 2, "reading_time": BASE + 500 * STEP}], time.time() - 1)
+        query = run_windows(utc, feed, str(tmp_path / "out"))
+        assert len(query.recentProgress) <= 2
+        seen = jobs.flow(query)
+        assert (seen["batches"], seen["rows"], seen["late_rows"]) == (8, 303, 1)
+    finally:
+        utc.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
 def test_dedup_drops_resent_rows(utc, feed, tmp_path):
     deliver(utc, feed, [{"id": i, "reading_time": BASE + i * STEP} for i in range(298, 300)], time.time() - 10)
     out = f"{tmp_path}/out"
@@ -130,7 +162,7 @@ def test_chained_layers(utc, folder):
     paths = pipelines.run_stream_layers(utc, folder, root)
     wh = Warehouse(utc, folder)
     assert utc.read.parquet(paths["ods"]).count() == wh.meter_reading().count()
-    assert files.read_batches(utc, paths["dwd"]).count() == 896
+    assert files.read_batches(utc, paths["dwd"]).count() == REGISTRY["dwd_device_meter_detail"](utc, folder).count()
     assert files.read_batches(utc, paths["dws_substation"]).count() > 500
     monitor = pipelines.latest_monitor(wh, paths["ads_latest"])
     expected = serving.device_monitor(wh.meter_reading(), pipelines.devices(wh))

@@ -3,6 +3,8 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from helpers import BASE, readings, seed_dimensions
 
 from meterdw.functions import grading
@@ -137,6 +139,11 @@ def test_updates_and_deletes(spark):
     assert changelog.correct_voltage(rows).schema == rows.schema
     new = spark.createDataFrame([(2, "Bo")], "id int, customer_name string")
     assert {r["customer_name"] for r in changelog.update_keyed(customers, new, "id").collect()} == {"Ann", "Bo", "Cy"}
+    twice = spark.createDataFrame([(2, "Bo", 5), (2, "Bob", 7), (9, "Nobody", 1)], "id int, customer_name string, seq int")
+    newest = changelog.update_keyed(customers, twice, "id", "seq")
+    assert sorted(r["customer_name"] for r in newest.collect()) == ["Ann", "Bob", "Cy"]
+    with pytest.raises(Exception, match="several updates of id 2"):
+        changelog.update_keyed(customers, twice.drop("seq"), "id").collect()
     gone = spark.createDataFrame([(2,)], "id int")
     assert changelog.delete_keys(relations, gone, ["id"]).count() == 3
     assert changelog.not_deleted(changelog.soft_delete(devices, F.col("id") == 1)).count() == 4
