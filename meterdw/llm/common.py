@@ -65,6 +65,8 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 1 <
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    # the worker lives on: it gives back what the batches took
+    pa.default_memory_pool().release_unused()
 
 
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
