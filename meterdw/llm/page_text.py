@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from html import unescape
 from html.parser import HTMLParser
 from urllib.parse import urlsplit
 
@@ -45,6 +46,8 @@ APART = frozenset("""ad ads advert adverts advertisement advertising adsense ban
 FOREIGN = frozenset("""ad ads advert advertisement comment comments reply replies related recommended promo sponsored
     """.split())
 HEADER = frozenset({"header", "pageheader", "siteheader"})
+# where a comment ends, counted from the first - of its beginning: <!--> and <!---> are whole comments
+COMMENT_END = re.compile(r"--?->|--.*?--!?>", re.S)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -119,15 +122,26 @@ class Tree(HTMLParser):
     def handle_data(self, data):
         self.open[-1].children.append(data)
 
-    def unknown_decl(self, data):
-        # a CDATA section is text to readers of XHTML and a comment in HTML
-        pass
+    def parse_comment(self, i, report=1):
+        """A comment without an end goes on to the end of the page."""
+        end = COMMENT_END.match(self.rawdata, i + 2)
+        return end.end() if end else len(self.rawdata)
+
+    def parse_marked_section(self, i, report=1):
+        """A marked section is a comment in HTML, whatever its word: CDATA ends at ]]>, all others at the next >."""
+        end = "]]>" if self.rawdata.startswith("<![CDATA[", i) else ">"
+        at = self.rawdata.find(end, i + 3)
+        return at + len(end) if at >= 0 else -1
 
 
 def parse(html: str) -> Node:
+    # no markup ends behind the last >: what follows is text, and need not be searched for ends again and again
+    last = html.rfind(">") + 1
     tree = Tree()
-    tree.feed(html)
+    tree.feed(html[:last])
     tree.close()
+    if last < len(html):
+        tree.handle_data(unescape(html[last:]))
     return tree.root
 
 

@@ -216,6 +216,14 @@ def test_classifiers(spark, scores, label, good, none):
     assert scores(none, labels).collect() == []
 
 
+def test_all_masked_words_of_a_text_count():
+    at, none = toxicity.NAMES.index("masked_insults"), toxicity.Lexicon({})
+    plain = " ".join(f"w#rd{i}x" for i in range(500))
+    assert toxicity.features(plain, none)[at] == 0
+    assert toxicity.features(plain + " id*ot st#pid i#i*t wh*t", none)[at] == 3
+    assert toxicity.features("tr*sh you m0ron", none)[at] == 2
+
+
 def test_accepted_keeps_rows_whole(spark):
     rng = random.Random(2)
     rows = [(i, " ".join(w if i % 3 else w.upper() + "!!" for w in words(rng, 40))) for i in range(400)]
@@ -437,6 +445,11 @@ def test_main_text():
     assert read(page) == "Title one bold two three &amp; a b x y"
     assert read("<div><p>no article</p><div id='sidebar'>s</div></div>") == "no article"
     assert read("<div>" * 5000 + "deep" + "</div>" * 4999) == "deep"
+    assert read("a<![ zz[ <p>b<![if !IE]>c<![endif]><![CDATA[d>e]]>f<!--g--!>h<!-->i<!x>") == "a bcfhi"
+    assert read("<p>text<!-- no end <p>more") == "text" and read("q <b") == "q <b"
+    # broken markup without an end, which must not be searched to the end again and again
+    for broken in ("<a ", "<!-- >", "<![", "<!--", "</a "):
+        read(broken * 20_000)
     assert read("<p>unclosed <i>tag <a href='x'") in ("unclosed tag", "unclosed tag <a href='x'")
 
 
