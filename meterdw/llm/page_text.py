@@ -67,6 +67,7 @@ class Tree(HTMLParser):
         self.root = Node("html", False)
         self.open = [self.root]
         self.names = {"html": 1}
+        self.in_comment = False
 
     def _close(self, depth: int) -> None:
         for node in self.open[depth:]:
@@ -125,6 +126,7 @@ class Tree(HTMLParser):
     def parse_comment(self, i, report=1):
         """A comment without an end goes on to the end of the page."""
         end = COMMENT_END.match(self.rawdata, i + 2)
+        self.in_comment = end is None
         return end.end() if end else len(self.rawdata)
 
     def parse_marked_section(self, i, report=1):
@@ -140,7 +142,7 @@ def parse(html: str) -> Node:
     tree = Tree()
     tree.feed(html[:last])
     tree.close()
-    if last < len(html):
+    if last < len(html) and not tree.in_comment:
         tree.handle_data(unescape(html[last:]))
     return tree.root
 
