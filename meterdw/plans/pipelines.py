@@ -28,13 +28,15 @@ def build_batch(wh: Warehouse, root: str) -> dict[str, str]:
     """Detail, hour summaries and serving tables, each replaced as a whole. Returns table paths."""
     spark = wh.spark
     paths = {name: f"{root}/{name}" for name in (
-        "dwd_detail", "dws_device_hour", "dws_substation_hour", "dws_customer_hour",
+        "dwd_detail", "dws_device_parts", "dws_device_hour", "dws_substation_hour", "dws_customer_hour",
         "ads_device_monitor", "ads_substation_overview")}
     readings, dims = wh.meter_reading(), dimensions(wh)
     by_date = ("stat_date",)
     rows = detail.detail(readings, owned_devices(wh)).withColumn("stat_date", F.to_date("reading_time"))
     files.full_refresh(rows, paths["dwd_detail"], partition_by=by_date)
-    parts = serving.window_parts(readings)
+    # all hour summaries derive from one stored pass over the readings
+    files.full_refresh(serving.window_parts(readings), paths["dws_device_parts"])
+    parts = files.read_published(spark, paths["dws_device_parts"])
     with_devices = rollup.with_devices(parts, dims)
     files.full_refresh(rollup.device_hour(with_devices), paths["dws_device_hour"],
                        unique=("device_id", "stat_date", "stat_hour"), partition_by=by_date)

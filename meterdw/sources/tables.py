@@ -129,12 +129,50 @@ class Warehouse:
             "event_id AS seq", "user_id AS account_id", "CAST(value AS DECIMAL(12,2)) AS balance", "ts AS changed_at")
 
 
-class Recent(Warehouse):
-    """The same tables, with the readings at or after a time; the filter comes before everything that reads them."""
+class StoredTables(Warehouse):
+    """The source tables as they are: Parquet at `<folder>/<table><suffix>` or, without a folder, tables of the
+    session's catalog. Further columns are not read; values take the declared types.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str | None = None, suffix: str = ""):
+        super().__init__(spark, folder or "")
+        self.suffix = suffix
+
+    def _declared(self, name: str) -> DataFrame:
+        rows = (self.spark.read.parquet(f"{self.folder}/{name}{self.suffix}") if self.folder
+                else self.spark.table(name))
+        return conform(rows, schemas.ODS[name])
+
+    def meter_reading(self) -> DataFrame:
+        return self._declared("meter_reading")
+
+    def device_info(self) -> DataFrame:
+        return self._declared("device_info")
+
+    def substation(self) -> DataFrame:
+        return self._declared("substation")
+
+    def grid_customer(self) -> DataFrame:
+        return self._declared("grid_customer")
+
+    def customer_device(self) -> DataFrame:
+        return self._declared("customer_device")
+
+    def alarm_info(self) -> DataFrame:
+        return self._declared("alarm_info")
+
+
+class Recent:
+    """The tables of another reader, with the readings at or after a time; the filter comes before everything that
+    reads them.
+    """
 
     def __init__(self, wh: Warehouse, since):
-        super().__init__(wh.spark, wh.folder)
+        self.wh = wh
         self.since = since
 
+    def __getattr__(self, name: str):
+        return getattr(self.wh, name)
+
     def meter_reading(self) -> DataFrame:
-        return super().meter_reading().where(F.col("reading_time") >= as_column(self.since))
+        return self.wh.meter_reading().where(F.col("reading_time") >= as_column(self.since))

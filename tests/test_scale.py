@@ -120,3 +120,20 @@ def test_dimension_is_one_row_per_relation(spark):
     dim = detail.owned_device_dim(*seed_dimensions(spark))
     assert dim.count() == 6
     assert serving.latest(dim, ["device_id"], [F.col("customer_id")]).count() == 5
+
+
+def test_newest_readings_do_not_sort_the_readings(spark, folder):
+    from meterdw.sources.tables import Warehouse
+
+    rows = serving.latest_readings(Warehouse(spark, folder).meter_reading())
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # below the rank lies the filter by the newest times, which meets the readings themselves
+    assert plan.index("WindowGroupLimit") < plan.index("LeftSemi") and "LeftSemi" in plan
+    physical = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in physical and "HashAggregate" in physical and "SortAggregate" not in physical
+    # ties, devices whose readings have no time, readings without a device
+    data = [(1, 1, "2024-01-01 00:00:00"), (2, 1, "2024-01-01 00:00:00"), (3, 2, None), (4, 2, None),
+            (5, None, "2024-01-01 00:00:00"), (6, 3, None), (7, 3, "2023-01-01 00:00:00")]
+    frame = spark.createDataFrame(data, "id bigint, device_id int, reading_time string").withColumn(
+        "reading_time", F.col("reading_time").cast("timestamp_ntz"))
+    assert sorted(r.id for r in serving.latest_readings(frame).collect()) == [2, 4, 5, 7]

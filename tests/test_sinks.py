@@ -5,13 +5,14 @@ import datetime as dt
 import pytest
 from helpers import BASE, readings
 
+from meterdw import schemas
 from meterdw.operators import detail
-from meterdw.plans import pipelines
+from meterdw.plans import pipelines, queries
 from meterdw.plans.queries import REGISTRY
 from meterdw.sinks import files
 from meterdw.sinks import jdbc as jdbc_sink
 from meterdw.sources import jdbc
-from meterdw.sources.tables import Warehouse
+from meterdw.sources.tables import StoredTables, Warehouse
 from pyspark.sql import functions as F
 
 
@@ -90,3 +91,22 @@ def test_jdbc_options():
 def test_jdbc_bounds_drop_rows(spark):
     df = spark.range(20).withColumnRenamed("id", "k")
     assert jdbc.within_bounds(df, "k", 5, 10).count() == 6
+
+
+def test_stored_source_tables(spark, folder, tmp_path):
+    derived = Warehouse(spark, folder)
+    for name in schemas.ODS:
+        # further columns, another order and wider types, as a real table may have them
+        rows = getattr(derived, name)()
+        rows.select(F.lit("x").alias("extra"), *reversed(rows.columns)).withColumn(
+            "id", F.col("id").cast("decimal(20,0)")).write.parquet(f"{tmp_path}/{name}.parquet")
+        rows.createOrReplaceTempView(name)
+    for stored in (StoredTables(spark, str(tmp_path), ".parquet"), StoredTables(spark)):
+        for name, columns in schemas.ODS.items():
+            rows = getattr(stored, name)()
+            assert dict(rows.dtypes).keys() == columns.keys()
+            assert sorted(map(str, rows.collect())) == sorted(map(str, getattr(derived, name)().collect()))
+        for query in (queries.dws_device_hour, queries.ads_device_realtime, queries.device_5min_recent):
+            assert sorted(map(str, query(stored).collect())) == sorted(map(str, query(derived).collect()))
+    for name in schemas.ODS:
+        spark.catalog.dropTempView(name)
