@@ -3,7 +3,8 @@
 Every page becomes a tree whose subtrees have hashes. Spark counts, per host, on how many different pages each subtree
 stands; one that recurs on many pages of its host is site template and is deleted, with all that lies in it. Parts
 that by their element or class are never main text (menus, adverts, forms, scripts, reader comments ...) go too. Inside
-an article or main element only the latter rule holds: a passage that many articles quote stays.
+an article or main element a subtree counts once for every different article, and what authors quote stays: headings,
+quotations, lines, cells and plain paragraphs are no template there by themselves.
 """
 
 from __future__ import annotations
@@ -36,6 +37,12 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table select div article section main body html".split())
 MAIN = frozenset({"article", "main"})
+HEADINGS = frozenset({"h1", "h2", "h3"})
+# inside main text: what quotes hold, with all that lies in it, and what is template only with what lies around it
+QUOTING = frozenset({"blockquote", "pre"})
+LINES = frozenset("h1 h2 h3 h4 h5 h6 li dt dd td th tr thead tbody tfoot caption figcaption".split()) | INLINE
+# parts the hashes of subtrees inside main text from those outside
+INSIDE = 0x5BD1E9955BD1E995
 # fixed values: words in class, id and role that name what is not main text
 APART = frozenset("""ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment
     comments disqus respond reply replies cookie cookies consent gdpr notice notices popup modal overlay newsletter
@@ -52,11 +59,12 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "apart", "children", "digest", "main")
+    __slots__ = ("tag", "apart", "header", "plain", "children", "digest", "main", "quoted")
 
-    def __init__(self, tag: str, apart: bool):
-        self.tag, self.apart, self.children = tag, apart, []
-        self.digest, self.main = b"", False
+    def __init__(self, tag: str, apart: bool = False, header: bool = False, plain: bool = True):
+        self.tag, self.apart, self.header, self.plain, self.children = tag, apart, header, plain, []
+        # main: the outermost article or main element around the node
+        self.digest, self.main, self.quoted = b"", None, False
 
 
 class Tree(HTMLParser):
@@ -64,7 +72,7 @@ class Tree(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = Node("html", False)
+        self.root = Node("html")
         self.open = [self.root]
         self.names = {"html": 1}
         self.in_comment = False
@@ -91,22 +99,25 @@ class Tree(HTMLParser):
             self._close_one({"p"}, SCOPES | {"td", "th", "li", "button"})
         if tag in SIBLINGS:
             self._close_one(SIBLINGS[tag], SCOPES - {"div", "section", "article"} if tag != "li" else SCOPES)
-        node = Node(tag, tag in NEVER or self._named_apart(tag, attrs))
+        apart, header = self._named_apart(tag, attrs)
+        node = Node(tag, tag in NEVER or apart, header or tag == "header", not attrs)
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
             self.names[tag] = self.names.get(tag, 0) + 1
 
-    def _named_apart(self, tag, attrs) -> bool:
-        apart = FOREIGN if tag in MAIN else APART
+    def _named_apart(self, tag, attrs) -> tuple[bool, bool]:
+        """Whether the attributes name what is not main text, and whether they name a header."""
+        apart, header = FOREIGN if tag in MAIN else APART, False
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
                 words = {w.lower() for w in WORDS.findall(value)}
-                if words & apart or (words & HEADER and tag not in MAIN and not words & {"article", "entry", "post"}):
-                    return True
+                if words & apart:
+                    return True, False
+                header |= bool(words & HEADER and tag not in MAIN and not words & {"article", "entry", "post"})
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
-        return False
+                return True, False
+        return False, header
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -157,16 +168,26 @@ def preorder(root: Node) -> list[Node]:
 
 
 def hashed(root: Node) -> list[Node]:
-    """All nodes from the top, with digests of their subtrees (element, text and children), and whether main text."""
+    """All nodes from the top, with digests of their subtrees (element, text and children), and what main text is.
+
+    A header that holds no heading is set apart: with one, the counts decide.
+    """
     nodes = preorder(root)
+    headed: set[int] = set()
     for node in reversed(nodes):
+        inner = [c for c in node.children if isinstance(c, Node)]
         node.digest = hashlib.blake2b(b"\0".join(
             [node.tag.encode(), *(c.digest if isinstance(c, Node) else " ".join(c.split()).encode("utf-8", "replace")
                                   for c in node.children)]), digest_size=8).digest()
+        if node.tag in HEADINGS or any(id(c) in headed for c in inner):
+            headed.add(id(node))
+        elif node.header:
+            node.apart = True
     for node in nodes:
         for child in node.children:
             if isinstance(child, Node):
-                child.main = node.main or child.tag in MAIN
+                child.main = node.main or (node if node.tag in MAIN else None)
+                child.quoted = node.quoted or node.tag in QUOTING
     return nodes
 
 
@@ -174,24 +195,36 @@ def number(digest: bytes) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
-def candidates(root: Node) -> list[int]:
-    """Hashes of the subtrees that may be template: those outside main text that hold none and have some text."""
+def name_of(node: Node) -> int:
+    """The hash under which the host counts the subtree: inside main text another than outside."""
+    return number(node.digest) ^ INSIDE if node.main else number(node.digest)
+
+
+def countable(node: Node) -> bool:
+    """Whether the subtree may be template by itself. Outside main text any may, inside it not what quotes are made of."""
+    if node.apart or node.tag in VOID or not node.children:
+        return False
+    return not node.main or not (node.quoted or node.tag in QUOTING or node.tag in LINES
+                                 or node.tag == "p" and node.plain)
+
+
+def candidates(root: Node) -> list[tuple[int, int]]:
+    """Hashes of the subtrees that may be template, each with that of the page or the article that it is counted for.
+
+    None holds an article or main element.
+    """
     nodes = hashed(root)
     holds_main: set[int] = set()
     for node in reversed(nodes):
         if node.tag in MAIN or any(isinstance(c, Node) and id(c) in holds_main for c in node.children):
             holds_main.add(id(node))
-    return sorted({number(n.digest) for n in nodes[1:]
-                   if not n.main and not n.apart and id(n) not in holds_main and n.tag not in VOID and n.children})
+    return sorted({(name_of(n), number((n.main or root).digest))
+                   for n in nodes[1:] if id(n) not in holds_main and countable(n)})
 
 
 def blocks(root: Node, template: set[int]) -> list[str]:
-    """The text of the blocks that remain, in page order; white space is one blank, empty blocks are left out.
-
-    A page with an article or main element is read inside it alone.
-    """
-    nodes = hashed(root)
-    inside_only = any(n.tag in MAIN and not n.apart for n in nodes)
+    """The text of the blocks that remain, in page order; white space is one blank, empty blocks are left out."""
+    hashed(root)
     out: list[str] = []
     words: list[str] = []
 
@@ -207,23 +240,16 @@ def blocks(root: Node, template: set[int]) -> list[str]:
             end()
         elif isinstance(item, str):
             words.append(item)
-        elif isinstance(item, tuple):
-            if not inside_only or item[1]:
-                words.append(item[0])
-        else:
-            if item.apart or (item.tag == "header" and not (item.main and any(
-                    n.tag in ("h1", "h2", "h3") for n in preorder(item)))):
-                if item.tag not in INLINE:
-                    end()
-                continue
-            if not item.main and template and number(item.digest) in template:
+        elif item.apart:
+            if item.tag not in INLINE:
                 end()
-                continue
-            block = item.tag not in INLINE
-            if block:
+        elif template and countable(item) and name_of(item) in template:
+            end()
+        else:
+            if item.tag not in INLINE:
                 end()
                 stack.append(None)
-            stack += [c if isinstance(c, Node) else (c, item.main) for c in reversed(item.children)]
+            stack += reversed(item.children)
     end()
     return out
 
@@ -238,7 +264,8 @@ def _host(url: str | None) -> str:
 def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """host and hashes of its template subtrees (an array per host, one host a row).
 
-    A page counts once however often its html recurs on the host. Every task adds up its own pages before the shuffle.
+    A page counts once however often its html recurs on the host, and inside main text an article or main element
+    counts once, on however many pages it stands. Every task adds up its own pages before the shuffle.
     """
 
     def run(batches):
@@ -249,8 +276,8 @@ def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
                 listed = candidates(root)
                 host, name = _host(address), number(root.digest)
                 hosts += [host] * (len(listed) + 1)
-                found += [None, *listed]
-                pages_seen += [name] * (len(listed) + 1)
+                found += [None, *(subtree for subtree, _ in listed)]
+                pages_seen += [name, *(counted for _, counted in listed)]
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(found, pa.int64()),
                                               pa.array(pages_seen, pa.int64())], ["host", "subtree", "page"])
 
