@@ -53,16 +53,26 @@ APART = frozenset("""ad ads advert adverts advertisement advertising adsense ban
 FOREIGN = frozenset("""ad ads advert advertisement comment comments reply replies related recommended promo sponsored
     """.split())
 HEADER = frozenset({"header", "pageheader", "siteheader"})
+# words that a name of such a part may have besides: a name with any other word (has-sidebar, ad-free) is not one of them
+BESIDE = frozenset("""area bar block body bottom box button buttons card center container content global google group
+    holder icons inner item items left link links list main message outer page panel post posts primary right row secondary
+    section site slot text toggle top unit wrap wrapper x""".split())
+# of these, what names main text where a side is named too: content-side, sidebar-page
+PLACES, SIDES = frozenset("body content main page panel post posts primary section text".split()), frozenset({"side", "sidebar"})
+# what a head may hold; anything else ends it
+IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 # where a comment ends, counted from the first - of its beginning: <!--> and <!---> are whole comments
 COMMENT_END = re.compile(r"--?->|--.*?--!?>", re.S)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "apart", "header", "plain", "children", "digest", "main", "quoted")
+    __slots__ = ("tag", "apart", "header", "plain", "named", "children", "digest", "main", "quoted")
 
-    def __init__(self, tag: str, apart: bool = False, header: bool = False, plain: bool = True):
-        self.tag, self.apart, self.header, self.plain, self.children = tag, apart, header, plain, []
+    def __init__(self, tag: str, apart: bool = False, header: bool = False, plain: bool = True,
+                 named: frozenset[str] = frozenset()):
+        # named: the words by which the element is named apart
+        self.tag, self.apart, self.header, self.plain, self.named, self.children = tag, apart, header, plain, named, []
         # main: the outermost article or main element around the node
         self.digest, self.main, self.quoted = b"", None, False
 
@@ -93,31 +103,46 @@ class Tree(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
+        if tag == "body" or (self.open[-1].tag == "head" and tag not in IN_HEAD):
+            self._close_head()
         if tag in ("html", "body"):
             return
         if tag in CLOSES_PARAGRAPH:
             self._close_one({"p"}, SCOPES | {"td", "th", "li", "button"})
         if tag in SIBLINGS:
             self._close_one(SIBLINGS[tag], SCOPES - {"div", "section", "article"} if tag != "li" else SCOPES)
-        apart, header = self._named_apart(tag, attrs)
-        node = Node(tag, tag in NEVER or apart, header or tag == "header", not attrs)
+        hidden, header, named = self._named(tag, attrs)
+        node = Node(tag, tag in NEVER or hidden, header or tag == "header", not attrs, named)
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
             self.names[tag] = self.names.get(tag, 0) + 1
 
-    def _named_apart(self, tag, attrs) -> tuple[bool, bool]:
-        """Whether the attributes name what is not main text, and whether they name a header."""
-        apart, header = FOREIGN if tag in MAIN else APART, False
+    def _close_head(self) -> None:
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag == "head":
+                self._close(depth)
+                return
+
+    def _named(self, tag, attrs) -> tuple[bool, bool, frozenset[str]]:
+        """Whether the element is hidden, whether its attributes name a header, and the words that name it apart.
+
+        Names are compared whole: all words of one must be known.
+        """
+        apart, header, named = FOREIGN if tag in MAIN else APART, False, set()
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
-                words = {w.lower() for w in WORDS.findall(value)}
-                if words & apart:
-                    return True, False
-                header |= bool(words & HEADER and tag not in MAIN and not words & {"article", "entry", "post"})
+                for token in value.split():
+                    words = {w.lower() for w in WORDS.findall(token)}
+                    beside = BESIDE - PLACES if words & SIDES else BESIDE
+                    if words & apart and all(
+                            w in apart or w in beside or w in HEADER or w.isdigit() for w in words):
+                        named |= words & apart
+                    header |= bool(words & HEADER and tag not in MAIN and all(
+                        w in BESIDE - {"post"} or w in HEADER or w in APART or w.isdigit() for w in words))
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True, False
-        return False, header
+                return True, False, frozenset()
+        return False, header, frozenset(named)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -132,6 +157,8 @@ class Tree(HTMLParser):
                     return
 
     def handle_data(self, data):
+        if self.open[-1].tag == "head" and not data.isspace():
+            self._close_head()
         self.open[-1].children.append(data)
 
     def parse_comment(self, i, report=1):
@@ -167,12 +194,34 @@ def preorder(root: Node) -> list[Node]:
     return out
 
 
+def _set_apart(root: Node, nodes: list[Node]) -> set[int]:
+    """Settles which elements with a name for what is not main text are set apart; returns which nodes hold main text."""
+    holding: set[int] = set()
+    for node in reversed(nodes):
+        if not (node.apart or (node.tag in MAIN and node.named)) and (node.tag in MAIN or any(
+                isinstance(c, Node) and id(c) in holding for c in node.children)):
+            holding.add(id(node))
+    elsewhere, stack = False, [root]
+    while stack and not elsewhere:
+        node = stack.pop()
+        if not node.named & FOREIGN and id(node) in holding:
+            elsewhere = node.tag in MAIN
+            stack += [c for c in node.children if isinstance(c, Node)]
+    for node in nodes:
+        if node.named and (node.tag in MAIN or id(node) not in holding or (elsewhere and node.named & FOREIGN)):
+            node.apart = True
+    return holding
+
+
 def hashed(root: Node) -> list[Node]:
     """All nodes from the top, with digests of their subtrees (element, text and children), and what main text is.
 
-    A header that holds no heading is set apart: with one, the counts decide.
+    A header without heading or main text is set apart: with a heading, the counts decide. What a name sets apart stays if it holds
+    an article or main element, such as a page with its sidebar; under a name for foreign text (FOREIGN), only
+    if the page has no such element elsewhere.
     """
     nodes = preorder(root)
+    holding = _set_apart(root, nodes)
     headed: set[int] = set()
     for node in reversed(nodes):
         inner = [c for c in node.children if isinstance(c, Node)]
@@ -181,7 +230,7 @@ def hashed(root: Node) -> list[Node]:
                                   for c in node.children)]), digest_size=8).digest()
         if node.tag in HEADINGS or any(id(c) in headed for c in inner):
             headed.add(id(node))
-        elif node.header:
+        elif node.header and id(node) not in holding:
             node.apart = True
     for node in nodes:
         for child in node.children:

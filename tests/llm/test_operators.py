@@ -453,6 +453,21 @@ def test_main_text():
     assert read("<p>unclosed <i>tag <a href='x'") in ("unclosed tag", "unclosed tag <a href='x'")
 
 
+def test_names_and_open_heads_do_not_lose_the_text():
+    read = lambda page: " ".join(page_text.blocks(page_text.parse(page), set()))
+    for name in ("class='layout has-sidebar'", "id='content-side'", "class='no-comments'", "class='ad-free'",
+                 "class='sidebar'", "class='comments'", "role='banner'", "class='wrap header'"):
+        assert read(f"<div {name}><article><p>own text</p></article></div>") == "own text", name
+    for name in ("has-sidebar", "content-side", "no-comments", "ad-free"):
+        assert read(f"<div class='{name}'><p>own text</p></div>") == "own text", name
+    for name in ("sidebar left", "ad-300x250", "commentList", "site-footer", "related-posts", "nav-menu"):
+        assert read(f"<article>own</article><div class='{name}'><p>else</p></div>") == "own", name
+    assert read("<article>own</article><div class='related'><article class='card'>else</article></div>") == "own"
+    assert read("<html><head><title>T</title><body><p>own</p><footer>else</footer></body></html>") == "own"
+    assert read("<head><title>T</title><meta charset=x><p>own") == "own"
+    assert read("<head><title>T</title>\n own <b>text</b>") == "own text"
+
+
 def test_site_template_goes(spark):
     rng = random.Random(1)
     rows = []
