@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterdw.llm.common import mapped, small, staged, text_slices
+from meterdw.llm.common import BROADCAST_BYTES, mapped, small, staged, text_slices
 
-# a subtree is template when it stands on this many different pages of its host, and on this share of them
+# a subtree is template when it stands on this many different pages of its host, and on the square root of their number:
+# a fifth of 25 pages, a tenth of 100, a hundredth of 10,000
 LEAST_PAGES = 5
-LEAST_SHARE = 0.2
 
 # fixed values: elements of HTML by what they are
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,12 +53,13 @@ APART = frozenset("""ad ads advert adverts advertisement advertising adsense ban
 FOREIGN = frozenset("""ad ads advert advertisement comment comments reply replies related recommended promo sponsored
     """.split())
 HEADER = frozenset({"header", "pageheader", "siteheader"})
-# words that a name of such a part may have besides: a name with any other word (has-sidebar, ad-free) is not one of them
+# words that a name of such a part may have besides; with any other word (has-sidebar, ad-free) it names no such part
 BESIDE = frozenset("""area bar block body bottom box button buttons card center container content global google group
-    holder icons inner item items left link links list main message outer page panel post posts primary right row secondary
-    section site slot text toggle top unit wrap wrapper x""".split())
+    holder icons inner item items left link links list main message outer page panel post posts primary right row
+    secondary section site slot text toggle top unit wrap wrapper x""".split())
 # of these, what names main text where a side is named too: content-side, sidebar-page
-PLACES, SIDES = frozenset("body content main page panel post posts primary section text".split()), frozenset({"side", "sidebar"})
+PLACES = frozenset("body content main page panel post posts primary section text".split())
+SIDES = frozenset({"side", "sidebar"})
 # what a head may hold; anything else ends it
 IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 # where a comment ends, counted from the first - of its beginning: <!--> and <!---> are whole comments
@@ -195,7 +196,7 @@ def preorder(root: Node) -> list[Node]:
 
 
 def _set_apart(root: Node, nodes: list[Node]) -> set[int]:
-    """Settles which elements with a name for what is not main text are set apart; returns which nodes hold main text."""
+    """Settles which elements with a name for what is not main text are set apart. Returns the nodes with main text."""
     holding: set[int] = set()
     for node in reversed(nodes):
         if not (node.apart or (node.tag in MAIN and node.named)) and (node.tag in MAIN or any(
@@ -216,9 +217,9 @@ def _set_apart(root: Node, nodes: list[Node]) -> set[int]:
 def hashed(root: Node) -> list[Node]:
     """All nodes from the top, with digests of their subtrees (element, text and children), and what main text is.
 
-    A header without heading or main text is set apart: with a heading, the counts decide. What a name sets apart stays if it holds
-    an article or main element, such as a page with its sidebar; under a name for foreign text (FOREIGN), only
-    if the page has no such element elsewhere.
+    A header without heading or main text is set apart: with a heading, the counts decide. What a name sets apart stays
+    if it holds an article or main element, such as a page with its sidebar; under a name for foreign text (FOREIGN),
+    only if the page has no such element elsewhere.
     """
     nodes = preorder(root)
     holding = _set_apart(root, nodes)
@@ -250,7 +251,7 @@ def name_of(node: Node) -> int:
 
 
 def countable(node: Node) -> bool:
-    """Whether the subtree may be template by itself. Outside main text any may, inside it not what quotes are made of."""
+    """Whether the subtree may be template by itself: outside main text any, inside it not what quotes are made of."""
     if node.apart or node.tag in VOID or not node.children:
         return False
     return not node.main or not (node.quoted or node.tag in QUOTING or node.tag in LINES
@@ -335,7 +336,7 @@ def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
     counts = staged(rows.distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("pages")), "subtrees")
     whole = counts.where("subtree is null").select("host", F.col("pages").alias("of_host"))
     often = counts.where("subtree is not null").where(F.col("pages") >= LEAST_PAGES)
-    return (often.join(small(whole, 64), "host").where(F.col("pages") >= LEAST_SHARE * F.col("of_host"))
+    return (often.join(small(whole, 64), "host").where(F.col("pages") >= F.sqrt("of_host"))
             .groupBy("host").agg(F.collect_list("subtree").alias("template")))
 
 
@@ -346,8 +347,8 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     are of one host without a name. Rows with equal pages are counted once for the template and all returned. An empty
     table gives no rows. Other columns are not read.
 
-    A host has few templates (each on a fifth of its pages or more, so a page's own subtrees bound their number), which
-    is why they travel as one array; they are broadcast up to 64 MB and joined by host beyond.
+    A host of n pages has at most sqrt(n) times as many templates as a page has subtrees (each stands on sqrt(n) pages
+    or more), which is why they travel as one array; they are broadcast up to 64 MB and joined by host beyond.
     """
     kinds = {name: pages.schema[name].dataType.simpleString() for name in (key, url)}
     found = staged(templates(pages, url, html).where(F.size("template") > 0), "templates")
@@ -372,7 +373,8 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
         rows = rows.withColumn("template", F.lit(None).cast("array<bigint>"))
     else:
         rows = mapped(rows, hosts, f"key {kinds[key]}, url {kinds[url]}, address string, html string, host string")
-        rows = rows.join(small(found, 4096), "host", "left")
+        size = found.agg(F.sum(F.size("template") * 8 + 128)).first()[0]
+        rows = rows.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "host", "left")
     return mapped(rows.select("key", "url", "html", "template"), run,
                   f"key {kinds[key]}, url {kinds[url]}, text string, n_chars bigint").withColumnsRenamed(
         {"key": key, "url": url})
