@@ -46,9 +46,20 @@ BASE = (
     # whole runs of 16 and more: the runs that [0-9a-f]+ finds, without the short ones
     Rule("hex", r"[0-9a-f]{16,}", 16),
 )
+# a key of PEM from its BEGIN to its END; without an END, its headers and base64 lines as far as they run. Line ends may
+# be escaped (keys in JSON) or blanks, lines quoted or indented
+_BREAK = r"""(?:[\x20\t"',>|#*]*(?:[\r\n]|\\[nr])[\s"',>|#*]*(?:\\[nrt][\s"',>|#*]*)*)"""
+_LINE, _MARK = r"[A-Za-z0-9+/]", r"(?:[A-Z]+\x20)*PRIVATE\x20KEY-----"
+PEM = (
+    rf"""-----BEGIN\x20{_MARK}(?:"""
+    rf"""(?:[A-Za-z0-9+/=\s\\"',:<>|#*]|-(?!----))*+-----END\x20{_MARK}"""
+    rf"""|(?:(?:{_BREAK}|\s+)(?:Proc-Type:\x20?\d,[A-Z]+|DEK-Info:\x20?[A-Z0-9-]+(?:,[0-9A-Fa-f]+)?))*"""
+    rf"""(?:(?:{_BREAK}{_LINE}{{16,}}={{0,2}}|\x20+{_LINE}{{40,}}={{0,2}})+"""
+    rf"""(?:{_BREAK}{_LINE}+={{0,2}}(?=\s*(?:[\r\n"']|\\[nr]|\Z))|\x20+(?=[A-Za-z]*[0-9+/=]){_LINE}+={{0,2}})?"""
+    rf"""|{_BREAK}{_LINE}+={{0,2}}\s*\Z)?)""")
 # fixed values: forms of keys that their issuers publish
 MORE = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0),
+    Rule("private_key", PEM, 0),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 20),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30),

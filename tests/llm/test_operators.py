@@ -555,6 +555,27 @@ def test_secrets_equal_full_scans(spark, none):
             assert clean[i].n_chars == len(clean[i].text)
 
 
+def test_private_keys_go_whole(spark):
+    rng = random.Random(11)
+    line = lambda n: "".join(rng.choices("ABCXYZabcxyz0123456789+/", k=n))
+    lines = [line(64) for _ in range(12)] + [line(30) + "=="]
+    first, last = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B2C3D4E5F", ""]
+    keys = [end.join([first, *extra, *lines, *stop]) for end in ("\n", "\r\n", "\\n", " ", "\n    ")
+            for extra in ([], headers) for stop in ([last], [])]
+    keys += ["-----BEGIN PRIVATE KEY-----\n" + "".join(lines) + "\n-----END PRIVATE KEY-----", first + "\n" + line(7)]
+    rows = [(i, f"Before it. {key}") for i, key in enumerate(keys)]
+    rows += [(100 + i, f"Before it. {key}\nAfter it, all stays.") for i, key in enumerate(keys[:-1])]
+    rows += [(200, f"Before it. {first} marks a key. After it, all stays.")]
+    clean = {r.doc_id: r.text for r in secret_scan.redacted(frame(spark, rows)).collect()}
+    for i, text in rows:
+        after = "" if i < 100 else "\nAfter it, all stays." if i < 200 else " marks a key. After it, all stays."
+        assert clean[i] == f"Before it. [REDACTED]{after}", text
+    spans = {r.doc_id: r.spans for r in secret_scan.find(frame(spark, rows)).collect()}
+    assert all((s[0].kind, s[0].secret) == ("private_key", keys[i]) for i, s in spans.items() if i < 100)
+    assert secret_scan.trigrams(secret_scan.trigram_query(secret_scan.MORE[0])) >= {"beg", "pri", "key"}
+
+
 def test_queries_of_rules():
     query = secret_scan.trigram_query(secret_scan.BASE[1])
     assert secret_scan.trigrams(query) == {"aki", "kia"}
