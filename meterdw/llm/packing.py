@@ -9,7 +9,10 @@ pieces fit together without any exchange of tokens.
 from __future__ import annotations
 
 import base64
+import json
+from collections.abc import Callable
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,10 @@ SAFE_CUT = regex.compile(r"(?<=\p{L}) (?=\p{L})")
 
 
 def vocabulary() -> str:
-    """The rank file of the vocabulary that byte_bpe_50k.json holds too; its ids are the same, it is read faster."""
+    """The rank file of the vocabulary that byte_bpe_50k.json holds too; its ids are the same, it is read faster.
+
+    Tokens added to the vocabulary are only in the JSON file beside it.
+    """
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,7 +47,27 @@ def encoder(path: str):
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    beside = Path(path).with_suffix(".json")
+    added = json.loads(beside.read_text("utf-8"))["added_tokens"] if beside.exists() else []
+    for token in added:
+        if SAFE_CUT.search(token["content"]) or any(
+                token.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {token} is not a plain literal")
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                             special_tokens={token["content"]: token["id"] for token in added})
+
+
+def with_added(path: str) -> Callable[[str], list[int]]:
+    """Encodes a text; the literals of added tokens have their own ids, as by `tokenizers`."""
+    whole = encoder(path)
+    added = whole.special_tokens_set
+
+    def encode(text: str) -> list[int]:
+        if any(token in text for token in added):
+            return whole.encode(text, allowed_special="all")
+        return whole.encode_ordinary(text)
+
+    return encode
 
 
 def token_ids(encode, text: str) -> list[int]:
@@ -61,7 +87,7 @@ def tokenised(docs: DataFrame, key: str, text: str, path: str, end_id: int) -> D
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        encode = encoder(path).encode_ordinary
+        encode = with_added(path)
         part, before = TaskContext.get().partitionId(), 0
         for batch in text_slices(batches, "text", 1 << 20):
             rows = [np.array([*token_ids(encode, value), end_id], "<u4") for value in texts(batch, "text")]

@@ -110,6 +110,25 @@ def test_long_texts_are_tokenised_in_parts(monkeypatch):
     assert packing.token_ids(encode, text) == whole
 
 
+def test_added_tokens_have_the_ids_of_tokenizers(spark, monkeypatch):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"hello {end} world", end, f"{end}{end}", f"a  {end}  b\n\n{end}\n", f"x{end}y", "<|endoftext|", f"don{end}'t",
+             f"日本{end}語 12{end}34"]
+    texts.append(f" {end} ".join(words(random.Random(4), 60)) + f"   {end}")
+    want = {i: whole.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert want[0] == [31373, 220, 50256, 995]
+    pieces = packing.pack(frame(spark, enumerate(texts)), window=1 << 16).collect()
+    assert {p.doc_id: np.frombuffer(bytes(p.ids), "<u4").tolist() for p in pieces} == {
+        i: [*ids, packing.END_ID] for i, ids in want.items()}
+    monkeypatch.setattr(packing, "PART_CHARS", 7)
+    encode = packing.with_added(packing.vocabulary())
+    assert [packing.token_ids(encode, t) for t in texts] == list(want.values())
+
+
 def test_packing_nothing(none):
     assert packing.pack(none).collect() == []
 
