@@ -60,4 +60,36 @@ SELECT page_id, payload_bytes,
 FROM firsts
 """
 
-SQL = {"op2_sharding": SHARDING, "op6_jaccard": JACCARD, "op7_warc": WARC}
+CODE_ROUNDS = 4
+_NEAREST = """SELECT n, p, part, min(distance * 256 + e) AS found FROM (
+    SELECT n, parts.p, part, e, list_sum(list_transform(range(1, len(part) + 1),
+      lambda i: (part[i] - entry[i]) * (part[i] - entry[i])))::BIGINT AS distance
+    FROM parts JOIN {books} books ON books.p = parts.p) GROUP BY n, p, part"""
+_MOVED = """SELECT books.p, books.e, coalesce(moved, entry) AS entry FROM {books} books LEFT JOIN (
+    SELECT p, e, list(x ORDER BY i) AS moved FROM (
+      SELECT p, found % 256 AS e, i, ((sum(part[i]) - ((sum(part[i]) % count(*)) + count(*)) % count(*))
+        // count(*))::BIGINT AS x
+      FROM nearest{r}, range(1, (SELECT max(len(part)) FROM parts) + 1) places(i) GROUP BY p, e, i) GROUP BY p, e) sums
+    ON sums.p = books.p AND sums.e = books.e"""
+
+VECTOR_CODES = """
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v,
+    row_number() OVER (ORDER BY vec_id) - 1 AS n
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT n, p, v[(p * (len(v) // 4) + 1):((p + 1) * (len(v) // 4))] AS part FROM kept, range(4) positions(p)),
+books0 AS (SELECT p, n AS e, part AS entry FROM parts WHERE n < 256),
+""" + "".join(f"nearest{r} AS ({_NEAREST.format(books=f'books{r}')}),\n"
+              f"books{r + 1} AS ({_MOVED.format(books=f'books{r}', r=r)}),\n" for r in range(CODE_ROUNDS)) + f"""
+assigned AS ({_NEAREST.format(books=f'books{CODE_ROUNDS}')}),
+digest AS (
+  SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) AS sha FROM books{CODE_ROUNDS}),
+coded AS (
+  SELECT n, string_agg(printf('%02x', found % 256), '' ORDER BY p) AS code, sum(found // 256)::BIGINT AS error
+  FROM assigned GROUP BY n)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256
+FROM kept JOIN coded USING (n), digest
+"""
+
+SQL = {"op2_sharding": SHARDING, "op6_jaccard": JACCARD, "op7_warc": WARC, "op13_vector_codes": VECTOR_CODES}

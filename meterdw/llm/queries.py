@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterdw.llm import (decontaminate, fingerprints, jaccard, packing, page_text, quality, secret_scan, sharding,
-                         toxicity, warc)
+from meterdw.llm import (alignment, decontaminate, fingerprints, jaccard, packing, page_text, quality, secret_scan,
+                         sharding, token_counts, toxicity, vector_codes, warc)
 from meterdw.llm.common import table
 
 SHARDS = 24
@@ -75,6 +75,20 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
                         listed(F.col("spans")).alias("spans"))
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.counts(table(spark, folder, "documents"))
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_corpus(table(spark, folder, "documents")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_sharding, op3_decontamination, op4_quality, op5_fingerprints, op6_jaccard,
-                            op7_warc, op8_toxicity, op9_page_text, op10_secrets)}
+                            op7_warc, op8_toxicity, op9_page_text, op10_secrets, op11_token_counts,
+                            op12_alignment, op13_vector_codes)}

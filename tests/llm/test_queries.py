@@ -11,7 +11,8 @@ from meterdw.llm.queries import QUERIES
 
 FULL = {"op1_packing": "documents", "op2_sharding": "documents", "op4_quality": "documents",
         "op5_fingerprints": "documents", "op6_jaccard": "documents", "op7_warc": "pages", "op8_toxicity": "documents",
-        "op9_page_text": "pages", "op10_secrets": "documents"}
+        "op9_page_text": "pages", "op10_secrets": "documents", "op11_token_counts": "documents",
+        "op12_alignment": "documents", "op13_vector_codes": "embeddings"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -21,7 +22,7 @@ def test_query(spark, folder, name):
 
 @pytest.mark.parametrize("name", sorted(FULL.keys() - SQL.keys()))
 def test_every_row_is_there(spark, folder, name):
-    key = "page_id" if FULL[name] == "pages" else "doc_id"
+    key = {"pages": "page_id", "embeddings": "vec_id"}.get(FULL[name], "doc_id")
     out = QUERIES[name](spark, folder).select(key).distinct()
     assert out.count() == table(spark, folder, FULL[name]).count()
 
