@@ -52,8 +52,8 @@ def owned_device_dim(devices, substations, customer_devices, customers) -> DataF
 
 # --- enriched detail ------------------------------------------------------------------------
 
-def detail(readings: DataFrame, dim: DataFrame, profile=grading.MAIN) -> DataFrame:
-    """Graded readings joined to a device dimension.
+def detail(readings: DataFrame, dim: DataFrame, profile=grading.MAIN, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Graded readings joined to a device dimension; `carry` names further columns of the reading to keep.
 
     Readings without device or substation drop out. With `owned_device_dim` a reading of
     a device with k owners yields k rows, so device sums over it count the reading k
@@ -62,7 +62,7 @@ def detail(readings: DataFrame, dim: DataFrame, profile=grading.MAIN) -> DataFra
     owners = [c for c in ("customer_id", "customer_name") if c in dim.columns]
     joined = lookup_join(readings, dim, "device_id", spread_by=["id"], dim_spread_by=owners or None)
     return grading.grade(joined, profile).select(
-        *DEVICE, "substation_id", "substation_name", *owners, "reading_time", *MEASURES, *GRADES)
+        *carry, *DEVICE, "substation_id", "substation_name", *owners, "reading_time", *MEASURES, *GRADES)
 
 
 def status_detail(readings: DataFrame, dim: DataFrame, health=grading.G1, layer: str = "DWD-明细数据层") -> DataFrame:

@@ -48,13 +48,13 @@ def partials(graded: DataFrame, width: str, keys=("device_id",), measures=tuple(
                            *[c for c in rows.columns if c not in (*keys, "w")])
 
 
-def _is_additive(column: str) -> bool:
+def is_additive(column: str) -> bool:
     return column in ADDITIVE or column.endswith(("_sum", "_cnt"))
 
 
 def weighted(parts: DataFrame, weight: str) -> DataFrame:
     """Counts every reading `weight` times: additive partials grow, extremes stay."""
-    return parts.selectExpr(*[f"{c} * {weight} AS {c}" if _is_additive(c) else c
+    return parts.selectExpr(*[f"{c} * {weight} AS {c}" if is_additive(c) else c
                               for c in parts.columns if c != weight])
 
 
@@ -62,7 +62,7 @@ def merged(parts: DataFrame, keys) -> DataFrame:
     """Partials of a coarser key, plus distinct device counts (one partial row per device, window and key)."""
     aggs = []
     for c in parts.columns:
-        if _is_additive(c):
+        if is_additive(c):
             aggs.append(f"SUM({c}) AS {c}")
         elif c.endswith(("_max", "_min")):
             aggs.append(f"{c[-3:]}({c}) AS {c}")

@@ -485,6 +485,11 @@ ON r.device_id = w.device_id AND r.stat_date = w.stat_date AND r.stat_hour = w.s
 SELECT 'ods' AS layer, COUNT(*) AS row_count, {count_if(f"reading_time >= {LATE} - INTERVAL 1 DAY", "fresh_rows")},
   MAX(reading_time) AS last_time FROM meter_reading
 UNION ALL
+SELECT 'dwd', COUNT(*), {count_if(f"reading_time >= {LATE} - INTERVAL 1 DAY", "fresh_rows")}, MAX(reading_time) FROM dwd
+UNION ALL
+SELECT 'dws', COUNT(*), {count_if(f"hour_time >= {LATE} - INTERVAL 1 DAY", "fresh_rows")}, MAX(hour_time)
+FROM (SELECT CAST(stat_date AS TIMESTAMP) + to_hours(stat_hour) AS hour_time FROM ({DEVICE_HOUR}))
+UNION ALL
 SELECT 'ads', COUNT(*), {count_if(f"last_update_time >= {LATE} - INTERVAL 1 DAY", "fresh_rows")},
   MAX(last_update_time) FROM ({DEVICE_REALTIME})""",
     "upsert_latest_by_key": "SELECT device_id, reading_time, CASE WHEN voltage < 220 "
@@ -503,7 +508,15 @@ SELECT 'ads', COUNT(*), {count_if(f"last_update_time >= {LATE} - INTERVAL 1 DAY"
     "stream_latest_device": DEVICE_REALTIME,
     "stream_dwd_enrich": "SELECT * FROM dwd",
     "stream_dedup": "SELECT * FROM meter_reading",
+    # stored tables and the chain of layers: what a batch build gives
+    "retention_by_file": f"SELECT * FROM meter_reading WHERE reading_time >= {LATE} - INTERVAL 7 DAY",
+    "recent_by_file": f"SELECT * FROM meter_reading WHERE reading_time >= {LATE} - INTERVAL 1 HOUR",
+    "stream_dwd_revised": "SELECT * FROM dwd",
+    "chain_device_hour": DEVICE_HOUR,
+    "chain_customer_hour": _customer_hour("CAST(0.6 AS DECIMAL(2,1))"),
+    "chain_device_monitor": DEVICE_REALTIME,
 }
+BODIES |= {"stream_cdc_apply": BODIES["cdc_apply_latest"], "chain_substation_overview": BODIES["ads_substation_overview"]}
 
 
 def _needs(sql: str) -> list[str]:

@@ -6,6 +6,7 @@ it is the newest reading time, taken by a scalar subquery.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,11 @@ from pyspark.sql import functions as F
 from meterdw.functions import grading
 from meterdw.functions.measures import newest
 from meterdw.operators import changelog, dashboards, detail, quality, rollup, serving
+from meterdw.plans.chain import Chain, chain_job
 from meterdw.plans.pipelines import devices, dimensions, latest_monitor, owned_devices
 from meterdw.session import scratch_dir, utc_session
 from meterdw.sinks import files
+from meterdw.sinks.versions import KeyedLog, VersionedTable, ddl
 from meterdw.sources.tables import Recent, Warehouse
 from meterdw.streaming import jobs, source
 
@@ -509,21 +512,48 @@ def reconcile_hour(wh):
 @query
 def layer_flow(wh):
     since = _now(wh, "- INTERVAL 1 DAY")
+    hours = dws_device_hour(wh).withColumn(
+        "hour_time", F.expr("CAST(stat_date AS TIMESTAMP_NTZ) + make_dt_interval(0, stat_hour)"))
     return quality.layer_flow({
         "ods": (wh.meter_reading(), "reading_time"),
+        "dwd": (dwd_device_meter_detail(wh), "reading_time"),
+        "dws": (hours, "hour_time"),
         "ads": (ads_device_realtime(wh), "last_update_time")}, since)
 
 
 @query
 def upsert_latest_by_key(wh):
-    """Readings upserted in two batches, the second one replayed: the corrected voltages win."""
-    path = scratch_dir(wh.spark, "upsert")
+    """Readings upserted in two batches, with a compaction between and the second one replayed: corrections win."""
     readings = wh.meter_reading().select("device_id", "reading_time", "voltage", "id")
     corrections = changelog.correct_voltage(readings.where(F.col("voltage") < 220))
-    files.upsert_batch(readings, 0, path)
+    log = KeyedLog(wh.spark, scratch_dir(wh.spark, "upsert"), ddl(readings), ["device_id", "reading_time"],
+                   indexed="reading_time")
+    log.upsert(readings, 0)
+    log.compact()
     for _ in range(2):
-        files.upsert_batch(corrections, 1, path)
-    return files.read_latest(wh.spark, path, ["device_id", "reading_time"])
+        log.upsert(corrections, 1)
+    return log.current()
+
+
+@query
+def retention_by_file(wh):
+    """Readings older than seven days leave a stored table, whole files unread."""
+    rows = wh.meter_reading()
+    table = VersionedTable(wh.spark, scratch_dir(wh.spark, "retention"), ddl(rows), "reading_time")
+    table.append(rows)
+    newest_time = dt.datetime.fromisoformat(table.newest())
+    table.expire(str(newest_time - dt.timedelta(days=7)))
+    return table.read()
+
+
+@query
+def recent_by_file(wh):
+    """Readings of the last hour from a stored table: newest time and files come from its records."""
+    rows = wh.meter_reading()
+    table = VersionedTable(wh.spark, scratch_dir(wh.spark, "recent"), ddl(rows), "reading_time")
+    table.append(rows)
+    newest_time = dt.datetime.fromisoformat(table.newest())
+    return table.read(since=str(newest_time - dt.timedelta(hours=1)))
 
 
 # --- streams: the whole event table is drained once, the result is the stored output --------------------------
@@ -626,3 +656,73 @@ def stream_dedup(wh):
     resent = readings.unionByName(source.reading_stream(live.spark, wh.folder))
     jobs.copy_job(jobs.dedup(resent), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return wh.spark.read.parquet(f"{root}/out")
+
+
+@query
+def stream_cdc_apply(wh):
+    """The change log in shuffled files, a third of them sent twice, applied a file a micro-batch."""
+    live = Warehouse(utc_session(wh.spark), wh.folder)
+    root = scratch_dir(wh.spark, "changes")
+    changes = wh.changelog()
+    for part in (3, 0, 2, 1, 0):
+        changes.where(F.pmod(F.xxhash64("seq"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = source.file_stream(live.spark, f"{root}/in", changes.schema, max_files=1)
+    jobs.cdc_job(stream, f"{root}/state", ["account_id"], "changed_at", f"{root}/checkpoint").awaitTermination()
+    return jobs.cdc_state(wh.spark, f"{root}/state", changes.schema, ["account_id"]).drop("op")
+
+
+# --- the chain of layers: readings arrive in two deliveries with rows of the same days ---------------------------
+
+def _chain(wh, before=None, **layers) -> Chain:
+    """The whole reading table streamed from stored files into the chain, a file a micro-batch.
+
+    `before` makes the dimension that holds while the first file is read, of the one that holds afterwards.
+    """
+    live = Warehouse(utc_session(wh.spark), wh.folder)
+    root = scratch_dir(wh.spark, "chain")
+    for part in range(2):
+        wh.meter_reading().where(F.col("id") % 2 == part).coalesce(1).write.mode("append").parquet(
+            f"{root}/in/meter_reading")
+    dim = owned_devices(live)
+    known = iter([dim if before is None else before(dim)])
+    readings = source.stored_stream(live.spark, f"{root}/in", "meter_reading", max_files=1)
+    chain_job(readings, f"{root}/layers", f"{root}/checkpoint", lambda: next(known, dim), **layers).awaitTermination()
+    return Chain(wh.spark, f"{root}/layers")
+
+
+def _other_names(dim):
+    """The dimension before some substations were renamed, devices changed hands and others became known."""
+    station, owner = F.col("substation_id"), F.col("customer_id")
+    return dim.where(F.col("device_id") % 10 != 3).withColumns({
+        "substation_name": F.when(station % 3 == 0, F.concat(F.lit("old "), "substation_name")).otherwise(
+            F.col("substation_name")),
+        "customer_id": F.when(owner % 4 == 1, owner + 1).otherwise(owner)})
+
+
+@query
+def stream_dwd_revised(wh):
+    return _chain(wh, _other_names, hours=(), states=False).dwd.read().drop("id")
+
+
+@query
+def chain_device_hour(wh):
+    return _chain(wh, hours=("dws_device_hour",), states=False).hours["dws_device_hour"].read()
+
+
+@query
+def chain_customer_hour(wh):
+    return _chain(wh, _other_names, hours=("dws_customer_hour",), states=False).hours["dws_customer_hour"].read()
+
+
+@query
+def chain_substation_overview(wh):
+    chain = _chain(wh, hours=("dws_substation_hour",), states=False)
+    chain.advance_overview()
+    return chain.overview.read()
+
+
+@query
+def chain_device_monitor(wh):
+    chain = _chain(wh, _other_names, hours=(), states=False)
+    chain.advance_monitor()
+    return chain.device_monitor()

@@ -12,12 +12,15 @@ import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from meterdw.functions import grading
-from meterdw.operators import detail, rollup, serving
+from meterdw.operators import changelog, detail, rollup, serving
 from meterdw.schemas import MEASURE_TYPES
 from meterdw.sinks.files import read_latest, upsert_batch
+from meterdw.sinks.state import KeyedState
+from meterdw.sinks.versions import ddl
 from meterdw.streaming.source import WATERMARK, with_event_time, zoneless
 
 Handler = Callable[[DataFrame, int], None]
@@ -124,6 +127,42 @@ def console_job(stream: DataFrame, checkpoint: str, every: str | None = None) ->
             .option("checkpointLocation", checkpoint).outputMode("append").trigger(**_trigger(every)).start())
 
 
+CHANGE_STATE_DAYS = 30
+
+
+def cdc_state(spark: SparkSession, path: str, schema, keys: list[str], seq: str = "seq", op: str = "op") -> DataFrame:
+    """Current rows of a change-log state, without the keys whose last change is a delete."""
+    return _change_state(spark, path, schema, keys, seq).current().where(F.col(op) != changelog.DELETE)
+
+
+def _change_state(spark: SparkSession, path: str, schema, keys: list[str], seq: str) -> KeyedState:
+    columns = ddl(spark.createDataFrame([], schema))
+    return KeyedState(spark, path, columns, keys, [F.desc_nulls_last(seq)])
+
+
+def cdc_job(changes: DataFrame, path: str, keys: list[str], changed_at: str, checkpoint: str, seq: str = "seq",
+            op: str = "op", keep_days: int = CHANGE_STATE_DAYS, every: str | None = None) -> StreamingQuery:
+    """Applies a stream of change rows to a keyed state, whatever the order they arrive in.
+
+    The state keeps the last change of every key, deletes too: an image that arrives after a later change, or after the
+    delete, is refused. A delete is forgotten `keep_days` after it happened, counted by the newest change of a batch,
+    when a batch next rewrites its bucket; an older image that arrives later still would come back.
+    """
+    schema = changes.schema
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = zoneless(batch)
+        newest = rows.agg(F.max(changed_at)).first()[0]
+        if newest is None:
+            return
+        horizon = F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {keep_days} DAYS")
+        keep = (F.col(op) != changelog.DELETE) | (F.col(changed_at) >= horizon)
+        state = _change_state(batch.sparkSession, path, schema, keys, seq)
+        state.merge(rows, "changes", batch_id, keep=keep)
+
+    return start(changes, handle, checkpoint, every=every)
+
+
 def dedup(readings: DataFrame, keys=("id",)) -> DataFrame:
     """Drops re-sent rows; state is kept only as long as the watermark allows a repeat to arrive."""
     return zoneless(with_event_time(readings).dropDuplicatesWithinWatermark(list(keys)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterdw import schemas
 from meterdw.sources.tables import EVENTS, readings_from
 
 WATERMARK = "5 seconds"
@@ -27,6 +28,11 @@ def reading_stream(spark: SparkSession, folder: str, max_files: int | None = Non
     return readings_from(file_stream(spark, f"{folder.rstrip('/')}/event[s].parquet", EVENTS, max_files))
 
 
+def stored_stream(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
+    """Stream over the rows that arrive in a stored source table (Parquet at `<folder>/<table>`), declared columns only."""
+    return file_stream(spark, f"{folder.rstrip('/')}/{table}", schemas.ddl(schemas.ODS[table]), max_files)
+
+
 def with_event_time(readings: DataFrame, delay: str = WATERMARK, column: str = "reading_time") -> DataFrame:
     """Zoned event time plus watermark; the session must be in UTC (see session.utc_session)."""
     return readings.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
