@@ -9,6 +9,7 @@ past: the detail rows concerned leave and come again, and every layer behind fol
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from meterdw.streaming import jobs
 from meterdw.streaming.source import zoneless
 
 READING = ["id", "reading_time"]
+LAYERS_AT_ONCE = 4
 
 
 def _marks(keys: DataFrame, like: DataFrame) -> DataFrame:
@@ -199,14 +201,20 @@ class Chain:
         self.overview.replace(old, kept.unionByName(made), consumed={"hours": upto})
 
     def advance(self, hours: Iterable[str] | None = None, states: bool = True) -> None:
-        """Brings all layers up to date, or only some of the hour summaries and no latest states."""
+        """Brings all layers up to date, or only some of the hour summaries and no latest states.
+
+        Layers that do not rest on each other run side by side.
+        """
+        hours = tuple(self.hours) if hours is None else tuple(hours)
         self.advance_detail()
-        if hours != ():
-            self.advance_parts()
-        for name in self.hours if hours is None else hours:
-            self.advance_hours(name)
+        with ThreadPoolExecutor(LAYERS_AT_ONCE) as pool:
+            waits = [pool.submit(self.advance_monitor)] if states else []
+            if hours:
+                self.advance_parts()
+            waits += [pool.submit(self.advance_hours, name) for name in hours]
+        for wait in waits:
+            wait.result()
         if states:
-            self.advance_monitor()
             self.advance_overview()
 
     def compact(self) -> None:
