@@ -28,6 +28,8 @@ SLOT_BITS = 22
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 COST = np.int64(1) << np.int64(40)
 ALIGN_CELLS = 1 << 21
+# pairs of equal q-grams that are laid out at once
+PAIRS = 1 << 20
 
 
 def _folded() -> np.ndarray:
@@ -73,9 +75,9 @@ def gram_hashes(points: np.ndarray, q: int) -> np.ndarray:
 
 @dataclass
 class Index:
-    """The q-grams of a block of passages, sorted, with the passage and place of each."""
+    """The q-grams of a block of passages, sorted, with the passage and place of each. Equal passages are kept once."""
 
-    ids: list
+    ids: list[list]
     points: list[np.ndarray]
     edits: np.ndarray
     bound: np.ndarray
@@ -88,7 +90,10 @@ class Index:
 
     @classmethod
     def of(cls, rows: list[tuple], q: int, rate: float) -> Index:
-        points = [code_points(text) for _, text in rows]
+        same: dict[bytes, list] = {}
+        for item, text in rows:
+            same.setdefault(code_points(text).tobytes(), []).append(item)
+        points = [np.frombuffer(passage, np.uint32) for passage in same]
         size = np.array([len(p) for p in points], np.int64)
         # the largest budget within the rate for which the lemma still asks for one shared q-gram
         edits = np.maximum(0, np.minimum((size * rate + 1e-9).astype(np.int64), (size - q) // q))
@@ -99,7 +104,7 @@ class Index:
         order = np.argsort(flat, kind="stable")
         slots = np.zeros(1 << SLOT_BITS, bool)
         slots[flat >> np.uint64(64 - SLOT_BITS)] = True
-        return cls([row[0] for row in rows], points, edits, size - q + 1 - edits * q, flat[order], item[order],
+        return cls(list(same.values()), points, edits, size - q + 1 - edits * q, flat[order], item[order],
                    place[order].astype(np.int64), slots, [i for i, s in enumerate(size) if 0 < s < q], q)
 
 
@@ -125,12 +130,11 @@ def banded(points: np.ndarray, jobs: list[tuple[int, int, int, int]], passages:
         chars = np.full((len(group), longest), 0xFFFFFFFF, np.uint32)
         for row, j in enumerate(group):
             chars[row, :size[row]] = passages[jobs[j][0]]
+        budget = np.array([jobs[j][3] for j in group], np.int64)
         lane = np.arange(width, dtype=np.int64)
         begin = first[:, None] + lane
         # a path may begin at any diagonal of the band that lies in the text; ties take the latest start
         cell = np.where((begin >= 0) & (begin <= len(points)), len(points) - begin, 64 * COST)
-        last = np.where(size == 0, 0, -1)
-        best = cell.copy()
         padded = np.concatenate([points, np.full(1, 0xFFFFFFFE, np.uint32)])
         for i in range(longest):
             where = begin + i
@@ -142,60 +146,90 @@ def banded(points: np.ndarray, jobs: list[tuple[int, int, int, int]], passages:
             skip[where + 1 > len(points)] = 1 << 60
             cell = np.minimum(step, skip)
             cell = np.minimum.accumulate(cell - lane * COST, axis=1) + lane * COST
-            done = size == i + 1
-            if done.any():
-                best[done] = cell[done]
-                last[done] = i + 1
-        for row, j in enumerate(group):
-            ends = begin[row] + last[row]
-            fit = np.where((ends >= 0) & (ends <= len(points)), best[row], 1 << 60)
-            lane_at = int(fit.argmin())
-            edits, start = divmod(int(fit[lane_at]), int(COST))
-            if edits <= jobs[j][3]:
-                out[j] = (edits, len(points) - start, int(ends[lane_at]))
+            for row in np.flatnonzero(size == i + 1).tolist():
+                ends = begin[row] + i + 1
+                fit = np.where((ends >= 0) & (ends <= len(points)), cell[row], 1 << 60)
+                lane_at = int(fit.argmin())
+                edits, start = divmod(int(fit[lane_at]), int(COST))
+                if edits <= budget[row]:
+                    out[group[row]] = (edits, len(points) - start, int(ends[lane_at]))
+            if i % 16 == 15:
+                # jobs that are done or have spent their edits leave; edits never fall from one character to the next
+                live = np.flatnonzero((size > i + 1) & (cell.min(axis=1) < (budget + 1) * COST))
+                if 2 * len(live) <= len(group):
+                    group = [group[row] for row in live.tolist()]
+                    chars, size, budget, begin, cell = (part[live] for part in (chars, size, budget, begin, cell))
+                if not group:
+                    break
         at = upto
     return out
 
 
-def passages_in(values: list[str], index: Index) -> Iterator[tuple[int, int, int, int, int]]:
-    """(text, passage, start, end, edits) of every passage that lies in a text, best place of overlapping ones."""
+def shared_grams(points: np.ndarray, first: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, passage and strip of diagonals, in order, with the number of q-grams that they share there.
+
+    A gram that stands in many places of the texts and of the passages makes very many pairs: they are counted in pieces
+    of bounded size, and only the counts are kept.
+    """
     q = index.q
-    sizes = np.array([len(value) for value in values], np.int64)
-    first = np.concatenate([[0], np.cumsum(sizes)])
-    points = code_points("".join(values))
     hits = gram_hashes(points, q) if len(points) >= q and len(index.grams) else np.empty(0, np.uint64)
     where = np.flatnonzero(index.slots[hits >> np.uint64(64 - SLOT_BITS)])
     left = np.searchsorted(index.grams, hits[where], "left")
     count = np.searchsorted(index.grams, hits[where], "right") - left
-    where, left, count = where[count > 0], left[count > 0], count[count > 0]
-    entry = np.repeat(left - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    where = np.repeat(where, count)
+    # a gram must not run over the end of its text
     text = np.searchsorted(first, where, "right") - 1
-    whole = where + q <= first[text + 1]
-    where, text, entry = where[whole], text[whole], entry[whole]
-    item = index.item[entry]
-    diagonal = where - index.place[entry] - first[text]
+    real = (count > 0) & (where + q <= first[text + 1])
+    where, left, count, text = where[real], left[real], count[real], text[real]
+    low = int(np.diff(first).max(initial=0)) + max((len(p) for p in index.points), default=0) + 1
+    strips = 2 * low + 1
+    ends = np.cumsum(count)
+    keys, sums, waiting, at = [], [], 0, 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        found, place = np.unique(np.concatenate(keys), return_inverse=True)
+        return found, np.bincount(place, np.concatenate(sums), len(found)).astype(np.int64)
+
+    while at < len(where):
+        base = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, base + PAIRS, "right")))
+        many = count[at:stop]
+        entry = np.repeat(left[at:stop] - (ends[at:stop] - many - base), many) + np.arange(many.sum())
+        item = index.item[entry]
+        # overlapping bands: two neighbouring strips of k + 1 diagonals hold any run of k + 1
+        width = index.edits[item] + 1
+        diagonal = np.repeat(where[at:stop] - first[text[at:stop]], many) - index.place[entry]
+        key = (np.repeat(text[at:stop], many) * len(index.points) + item) * strips + (diagonal + low * width) // width
+        found, shared = np.unique(key, return_counts=True)
+        keys.append(found)
+        sums.append(shared)
+        waiting += len(found)
+        if waiting > 4 * PAIRS:
+            keys, sums = ([one] for one in merged())
+            waiting = len(keys[0]) // 2
+        at = stop
+    if not keys:
+        none = np.empty(0, np.int64)
+        return none, none, none, none
+    key, shared = merged()
+    pair, strip = np.divmod(key, strips)
+    return *np.divmod(pair, len(index.points)), strip - low, shared
+
 
+def passages_in(values: list[str], index: Index) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text, passage, start, end, edits) of every passage that lies in a text, best place of overlapping ones."""
+    first = np.concatenate([[0], np.cumsum(np.array([len(value) for value in values], np.int64))])
+    points = code_points("".join(values))
     found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-    # overlapping bands: two neighbouring strips of k + 1 diagonals hold any run of k + 1
-    strip = index.edits[item] + 1
-    low = int(sizes.max(initial=0)) + max((len(p) for p in index.points), default=0) + 1
-    key = np.stack([text, item, (diagonal + low * strip) // strip])
-    if key.shape[1]:
-        order = np.lexsort(key[::-1])
-        key = key[:, order]
-        new = np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)])
-        starts = np.flatnonzero(new)
-        rows = key[:, starts]
-        shared = np.diff(np.append(starts, key.shape[1]))
-        neighbour = np.zeros(len(starts), bool)
-        neighbour[:-1] = ((rows[:2, 1:] == rows[:2, :-1]).all(axis=0) & (rows[2, 1:] == rows[2, :-1] + 1))
+    text, item, strip, shared = shared_grams(points, first, index)
+    if len(text):
+        neighbour = np.zeros(len(text), bool)
+        neighbour[:-1] = (text[1:] == text[:-1]) & (item[1:] == item[:-1]) & (strip[1:] == strip[:-1] + 1)
         band = shared + np.where(neighbour, np.append(shared[1:], 0), 0)
         jobs: dict[int, list[tuple[int, int, int, int]]] = {}
-        for at in np.flatnonzero(band >= index.bound[rows[1]]).tolist():
-            t, i, s = rows[:, at].tolist()
+        for at in np.flatnonzero(band >= index.bound[item]).tolist():
+            t, i, s = int(text[at]), int(item[at]), int(strip[at])
             k = int(index.edits[i])
-            jobs.setdefault(t, []).append((i, (s - low) * (k + 1) - k, 2 * (k + 1) + 2 * k, k))
+            jobs.setdefault(t, []).append((i, s * (k + 1) - k, 2 * (k + 1) + 2 * k, k))
         for t, todo in jobs.items():
             inside = points[first[t]:first[t + 1]]
             for (i, *_), place in zip(todo, banded(inside, todo, index.points)):
@@ -254,10 +288,10 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
         def run(batches):
             for batch in text_slices(batches, "text"):
                 values = texts(batch, "text")
-                hits = list(passages_in(values, index.value))
+                hits = [(*h, name) for h in passages_in(values, index.value) for name in index.value.ids[h[1]]]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").take(pa.array([h[0] for h in hits], pa.int64())),
-                     pa.array([index.value.ids[h[1]] for h in hits], arrow),
+                     pa.array([h[5] for h in hits], arrow),
                      *[pa.array([h[j] for h in hits], pa.int64()) for j in (2, 3, 4)],
                      pa.array([values[h[0]][h[2]:h[3]] for h in hits], pa.string())],
                     ["key", "item", "start", "end", "edits", "passage"])

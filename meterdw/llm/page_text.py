@@ -47,19 +47,22 @@ INSIDE = 0x5BD1E9955BD1E995
 APART = frozenset("""ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment
     comments disqus respond reply replies cookie cookies consent gdpr notice notices popup modal overlay newsletter
     subscribe subscription signup login promo promotion sponsor sponsored share sharing social related recommended
-    sidebar side widget menu menus nav navbar navigation topbar footer footnav masthead skip pagination pager toolbar
+    adsbygoogle sidebar side widget menu menus nav navbar navigation topbar footer footnav masthead skip pagination pager toolbar
     search searchbox complementary contentinfo alert""".split())
 # of these, what an article element may be too
 FOREIGN = frozenset("""ad ads advert advertisement comment comments reply replies related recommended promo sponsored
     """.split())
+# of these, what main text does not stand in where the page has any other text
+COMMENTS = frozenset("comment comments disqus respond reply replies".split())
 HEADER = frozenset({"header", "pageheader", "siteheader"})
 # words that a name of such a part may have besides; with any other word (has-sidebar, ad-free) it names no such part
 BESIDE = frozenset("""area bar block body bottom box button buttons card center container content global google group
-    holder icons inner item items left link links list main message outer page panel post posts primary right row
-    secondary section site slot text toggle top unit wrap wrapper x""".split())
+    holder icons info inner item items law left link links list main message outer page panel post posts primary reader
+    readers right row secondary section site slot text thread toggle top unit user users wrap wrapper x""".split())
 # of these, what names main text where a side is named too: content-side, sidebar-page
 PLACES = frozenset("body content main page panel post posts primary section text".split())
 SIDES = frozenset({"side", "sidebar"})
+HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 # what a head may hold; anything else ends it
 IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 # where a comment ends, counted from the first - of its beginning: <!--> and <!---> are whole comments
@@ -134,14 +137,17 @@ class Tree(HTMLParser):
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
                 for token in value.split():
-                    words = {w.lower() for w in WORDS.findall(token)}
-                    beside = BESIDE - PLACES if words & SIDES else BESIDE
+                    listed = [w.lower() for w in WORDS.findall(token)]
+                    words = set(listed)
+                    # the last word says what it is: page-sidebar is a side, sidebar-page a page
+                    beside = BESIDE - PLACES if words & SIDES and listed[-1] != "sidebar" else BESIDE
                     if words & apart and all(
                             w in apart or w in beside or w in HEADER or w.isdigit() for w in words):
                         named |= words & apart
                     header |= bool(words & HEADER and tag not in MAIN and all(
                         w in BESIDE - {"post"} or w in HEADER or w in APART or w.isdigit() for w in words))
-            if name == "hidden" or (name == "aria-hidden" and value == "true"):
+            if name == "hidden" or (name == "aria-hidden" and value == "true") or (
+                    name == "style" and value and HIDDEN.search(value)):
                 return True, False, frozenset()
         return False, header, frozenset(named)
 
@@ -195,6 +201,18 @@ def preorder(root: Node) -> list[Node]:
     return out
 
 
+def _has_text(root: Node) -> bool:
+    """Whether text stands outside everything that is set apart or named so."""
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if not (node.apart or node.named or node.header):
+            if any(not isinstance(c, Node) and not c.isspace() for c in node.children):
+                return True
+            stack += [c for c in node.children if isinstance(c, Node)]
+    return False
+
+
 def _set_apart(root: Node, nodes: list[Node]) -> set[int]:
     """Settles which elements with a name for what is not main text are set apart. Returns the nodes with main text."""
     holding: set[int] = set()
@@ -208,8 +226,11 @@ def _set_apart(root: Node, nodes: list[Node]) -> set[int]:
         if not node.named & FOREIGN and id(node) in holding:
             elsewhere = node.tag in MAIN
             stack += [c for c in node.children if isinstance(c, Node)]
+    # where a page has other text, what is named for comments holds the readers' ones, be they articles or not
+    told = any(n.named & COMMENTS and id(n) in holding for n in nodes) and _has_text(root)
     for node in nodes:
-        if node.named and (node.tag in MAIN or id(node) not in holding or (elsewhere and node.named & FOREIGN)):
+        if node.named and (node.tag in MAIN or id(node) not in holding or (told and node.named & COMMENTS)
+                           or (elsewhere and node.named & FOREIGN)):
             node.apart = True
     return holding
 

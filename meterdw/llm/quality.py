@@ -187,7 +187,8 @@ def learned(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
             label: str = "quality") -> tuple[DataFrame, Model]:
     """The staged statistics of all texts, and the model fitted on the labelled ones."""
     rows = staged(measured(docs, key, text), "quality")
-    return rows, fit(staged(labelled(rows, labels.withColumnRenamed(key, "key"), "key", label), "quality-fit"))
+    marks = labels.select(F.col(key).alias("key"), F.col(label).alias("mark"))
+    return rows, fit(staged(labelled(rows, marks, "key", "mark"), "quality-fit"))
 
 
 def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from meterdw.llm.common import mapped, text_slices, texts, utf8
 
@@ -265,9 +266,12 @@ def redacted(docs: DataFrame, text: str = "text", length: str | None = "n_chars"
              rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """`docs` with every secret replaced by `mark` (overlapping ones by one), and the length column brought up to date.
 
-    The word that a secret is assigned to stays. Texts without secrets, nulls included, are left as they are.
+    The word that a secret is assigned to stays. Texts without secrets, nulls included, are left as they are, and so is
+    a length column that does not hold whole numbers.
     """
     names, schema = docs.columns, docs.schema
+    if length in names and not isinstance(schema[length].dataType, IntegralType):
+        length = None
 
     def run(batches):
         scanner = Scanner(rules)

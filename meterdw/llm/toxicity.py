@@ -24,8 +24,9 @@ THRESHOLD = 0.5
 LEXICON_FOLDS, TREE_FOLDS, CALIBRATION_FOLD = (1, 2), (3,), 4
 # labelled texts that the lexicon is learned from, at most; trees and calibration use all of their folds
 LEXICON_ROWS = 40_000
-CANDIDATES, ENTRIES = 20_000, 2_000
 LEAST_TEXTS, LEAST_ODDS = 5, 12.0
+# units that a task counts before it hands them on
+COUNTED = 500_000
 BEGINNINGS = (5, 6, 7)
 TREES, DEPTH, STEP = 30, 3, 0.2
 STEPS = 1000
@@ -125,43 +126,43 @@ def _labels(labels: DataFrame, key: str, label: str) -> DataFrame:
             .agg((F.avg(label) >= 0.5).cast("double").alias("y")).withColumn("fold", fold("key")).where("fold <> 0"))
 
 
+def unit_counts(rows: DataFrame) -> DataFrame:
+    """In how many of the texts each unit occurs; every task adds up its own first."""
+    def run(batches):
+        counted: Counter = Counter()
+
+        def handed_on():
+            return pa.RecordBatch.from_arrays([pa.array(list(counted), pa.string()), pa.array(
+                list(counted.values()), pa.int64())], ["unit", "n"])
+
+        for batch in text_slices(batches, "text"):
+            for value in texts(batch, "text"):
+                counted.update({u for w in set(WORD.findall(value.lower())) for u in units(w)})
+            if len(counted) > COUNTED:
+                yield handed_on()
+                counted.clear()
+        yield handed_on()
+
+    return mapped(rows.select("text"), run, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
+
+
 def lexicon(docs: DataFrame, known: DataFrame) -> dict[str, float]:
-    """Words and word beginnings (marked *) of toxic texts with their log odds; at most ENTRIES.
+    """Words and word beginnings (marked *) of toxic texts with their log odds: all units that pass LEAST_ODDS.
 
-    `known` has key and y of at most LEXICON_ROWS texts, which is why it is broadcast. Equal texts count once a task.
+    `known` has key and y of at most LEXICON_ROWS texts, which is why it is broadcast and what bounds the units. Equal
+    texts with one label count once, in the units and in the classes.
     """
-
-    def count(wanted):
-        def run(batches):
-            counted: Counter = Counter()
-            seen: set[int] = set()
-            for batch in text_slices(batches, "text"):
-                for value in texts(batch, "text"):
-                    if hash(value) in seen:
-                        continue
-                    seen.add(hash(value))
-                    found = {u for w in set(WORD.findall(value.lower())) for u in units(w)}
-                    counted.update(found if wanted is None else found & wanted.value)
-            if counted:
-                yield pa.RecordBatch.from_arrays([pa.array(list(counted)), pa.array(list(counted.values()))],
-                                                 ["unit", "n"])
-        return run
-
-    rows = docs.join(F.broadcast(known), "key")
-    totals = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = staged(docs.join(F.broadcast(known), "key").select(F.coalesce("text", F.lit("")).alias("text"), "y")
+                  .distinct(), "lexicon")
+    totals = {r.y: r.n for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = totals.get(1.0, 0), totals.get(0.0, 0)
     if not toxic or not clean:
         return {}
-    units_of = lambda y, wanted: mapped(
-        rows.where(F.col("y") == y).select("text"), count(wanted), "unit string, n bigint").groupBy("unit").agg(
-        F.sum("n").alias("n"))
-    often = {r.unit: r.n for r in units_of(1.0, None).where(F.col("n") >= LEAST_TEXTS).orderBy(
-        F.desc("n"), "unit").limit(CANDIDATES).collect()}
-    wanted = docs.sparkSession.sparkContext.broadcast(frozenset(often))
-    other = {r.unit: r.n for r in units_of(0.0, wanted).collect()} if often else {}
-    odds = {u: (n + 0.5) / (toxic + 1) / ((other.get(u, 0) + 0.5) / (clean + 1)) for u, n in often.items()}
-    best = sorted((u for u in odds if odds[u] >= LEAST_ODDS), key=lambda u: (-odds[u], u))[:ENTRIES]
-    return {u: math.log(odds[u]) for u in best}
+    often = unit_counts(rows.where("y = 1")).where(F.col("n") >= LEAST_TEXTS)
+    other = unit_counts(rows.where("y = 0")).withColumnRenamed("n", "clean")
+    odds = ((F.col("n") + 0.5) / (toxic + 1)) / ((F.coalesce("clean", F.lit(0)) + 0.5) / (clean + 1))
+    kept = often.join(other, "unit", "left").select("unit", odds.alias("odds")).where(F.col("odds") >= LEAST_ODDS)
+    return {r.unit: math.log(r.odds) for r in kept.collect()}
 
 
 def scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
