@@ -509,6 +509,11 @@ SELECT 'ads', COUNT(*), {count_if(f"last_update_time >= {LATE} - INTERVAL 1 DAY"
     "stream_dwd_enrich": "SELECT * FROM dwd",
     "stream_dedup": "SELECT * FROM meter_reading",
     # stored tables and the chain of layers: what a batch build gives
+    "reconcile_by_digest": f"""
+SELECT device_id, stat_date, stat_hour, reading_count AS raw_reading_count, avg_voltage AS raw_avg_voltage,
+  avg_power AS raw_avg_power, reading_count + 1 AS dws_reading_count, avg_voltage AS dws_avg_voltage,
+  avg_power AS dws_avg_power, 'differs' AS verdict FROM ({DEVICE_HOUR})
+WHERE (device_id * 31 + stat_hour) % 50 = 0""",
     "retention_by_file": f"SELECT * FROM meter_reading WHERE reading_time >= {LATE} - INTERVAL 7 DAY",
     "recent_by_file": f"SELECT * FROM meter_reading WHERE reading_time >= {LATE} - INTERVAL 1 HOUR",
     "stream_dwd_revised": "SELECT * FROM dwd",

@@ -509,6 +509,16 @@ def reconcile_hour(wh):
                              ["reading_count", "avg_voltage", "avg_current", "avg_power", "avg_temperature"])
 
 
+@query
+def reconcile_by_digest(wh):
+    """Hours of the readings against stored hours of which every fiftieth reading count is one too high."""
+    keys, measures = ["device_id", "stat_date", "stat_hour"], ["reading_count", "avg_voltage", "avg_power"]
+    hours = dws_device_hour(wh).select(*keys, *measures)
+    wrong = F.expr("pmod(device_id * 31 + stat_hour, 50) = 0")
+    served = hours.withColumn("reading_count", F.col("reading_count") + F.when(wrong, 1).otherwise(0))
+    return quality.reconcile_ranges(hours, served, keys, measures, "stat_date")
+
+
 @query
 def layer_flow(wh):
     since = _now(wh, "- INTERVAL 1 DAY")
