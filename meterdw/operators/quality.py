@@ -66,9 +66,9 @@ def reconcile_ranges(a: DataFrame, b: DataFrame, keys: list[str], measures: list
     part = F.pmod(F.xxhash64(*keys), F.lit(ranges)).cast("int")
 
     def concerned(df: DataFrame) -> DataFrame:
-        rows = df.select(*keys, *measures, F.col(day).alias("day"), part.alias("part"))
-        listed = found.select(F.col("day").alias("_day"), F.col("part").alias("_part"))
-        return rows.join(listed, F.col("day").eqNullSafe(F.col("_day")) & (F.col("part") == F.col("_part")), "left_semi")
+        rows = df.select(*keys, *measures).withColumn("_part", part)
+        listed = found.select(F.col("day").alias("_day"), F.col("part").alias("_wanted"))
+        return rows.join(listed, F.col(day).eqNullSafe(F.col("_day")) & (F.col("_part") == F.col("_wanted")), "left_semi")
 
     return reconcile(concerned(a), concerned(b), keys, measures, names).where(F.col("verdict") != "match")
 
