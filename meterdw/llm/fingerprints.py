@@ -1,5 +1,9 @@
 """Fingerprints of texts by winnowing: rolling hashes of k units, the least of every window, rightmost on ties.
 
+The hash of a gram is a polynomial of its units modulo a prime. None is computed from its units alone: grams of two and
+four units are put together from neighbouring grams of half their length, and one unit is rolled in for the fifth, so
+every text is passed over once a step. A mixing function then orders the grams, as the polynomial by itself would not.
+
 A unit is a word of up to 32 characters (longer runs are cut), or one character of scripts written without blanks.
 Any run of WINDOW + K - 1 units that two texts share contains a whole window, so they share the hash chosen there; its
 place is kept beside it. All of it is built from SQL functions: a text is an array of units, an array of hashes, and
@@ -18,19 +22,32 @@ K = 5
 DOUBLINGS = 4
 WINDOW = 1 << DOUBLINGS
 LAST = (1 << 31) - 1
+PRIME = (1 << 31) - 1  # products of two residues stay below 2^62
+BASE = 1_000_003
 UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}"
 UNIT = rf"[{UNSPACED}]|[^\s{UNSPACED}]{{1,32}}"
 
 
+def _joined(left: str, right: str, skip: int, width: int) -> str:
+    """Hashes of grams of `left`'s length followed by `width` units of `right`, which begins `skip` places later."""
+    power = pow(BASE, width, PRIME)
+    return (f"zip_with(slice({left}, 1, greatest(0, size({right}) - {skip})), slice({right}, {skip + 1}, "
+            f"size({right})), (a, b) -> (a * {power}L + b) % {PRIME}L)")
+
+
 def winnow(rows: DataFrame, text: str, out: str) -> DataFrame:
     """Adds column `out`: the chosen numbers (hash and place) in the order of their places. No units, none chosen."""
     units, grams = f"_{out}_units", f"_{out}_grams"
     rows = rows.withColumn(units, F.transform(F.regexp_extract_all(F.col(text), F.lit(UNIT), F.lit(0)),
-                                              lambda unit: F.xxhash64(unit)))
-    rolled = F.expr(f"transform(sequence(1, size({units}) - {K - 1}), at -> xxhash64(slice({units}, at, {K})))")
+                                              lambda unit: F.pmod(F.xxhash64(unit), F.lit(PRIME))))
+    pairs, fours, rolled = (f"_{out}_{length}" for length in ("pairs", "fours", "rolled"))
+    rows = rows.withColumn(pairs, F.expr(_joined(units, units, 1, 1)))
+    rows = rows.withColumn(fours, F.expr(_joined(pairs, pairs, 2, 2)))
+    rows = rows.withColumn(rolled, F.expr(_joined(fours, units, K - 1, 1)))
     numbered = F.transform(
         F.when(F.size(units) == 0, F.expr("cast(array() as array<bigint>)"))
-        .when(F.size(units) < K, F.array(F.xxhash64(units))).otherwise(rolled),
+        .when(F.size(units) < K, F.array(F.xxhash64(units))).otherwise(
+            F.transform(rolled, lambda gram: F.xxhash64(gram))),
         lambda gram, at: F.shiftleft(F.shiftrightunsigned(gram, 32), 31).bitwiseOR(F.lit(LAST).cast("bigint") - at))
     rows = rows.withColumn(grams, numbered)
     least = grams
@@ -40,7 +57,7 @@ def winnow(rows: DataFrame, text: str, out: str) -> DataFrame:
             f"zip_with({least}, slice({least}, {(1 << step) + 1}, size({least})), (a, b) -> least(a, b))"))
         least = wider
     chosen = F.expr(f"array_distinct(slice({least}, 1, greatest(1, size({least}) - {WINDOW - 1})))")
-    made = [units, grams, *(f"_{out}_{step}" for step in range(DOUBLINGS))]
+    made = [units, pairs, fours, rolled, grams, *(f"_{out}_{step}" for step in range(DOUBLINGS))]
     return rows.withColumn(out, chosen).drop(*made)
 
 
@@ -107,15 +124,17 @@ def with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     empty; an empty table gives no rows. Other columns are not read.
     """
     keyed = _keyed(docs, key, text)
-    linked = keyed.join(previous(keyed), KEY)
+    # both joins read one shuffle of texts and chosen numbers: a text is winnowed once, before it
+    whole = winnow(keyed, "text", "chosen")
+    linked = whole.join(previous(keyed).hint("merge"), KEY)
     once = linked.withColumn("copy", F.row_number().over(Window.partitionBy(*KEY).orderBy(F.lit(1)))).where("copy = 1")
-    following = winnow(once, "text", "chosen").select(
+    following = once.select(
         *[F.col(f"back_{name}").alias(name) for name in KEY],
         F.expr("substring(text, 1, cast(back_chars div 2 as int))").alias("head"), hashes("chosen").alias("next"))
     edited = F.expr("concat(substring(text, 1, char_length(text) - char_length(text) div 2), head)")
-    rows = (keyed.join(following, KEY)
-            .select(F.when(F.col("known"), F.col("k")).alias("key"), "text", edited.alias("edited"), "next"))
-    rows = winnow(winnow(rows, "text", "chosen"), "edited", "after")
+    rows = (whole.join(following.hint("merge"), KEY)
+            .select(F.when(F.col("known"), F.col("k")).alias("key"), "text", "chosen", edited.alias("edited"), "next"))
+    rows = winnow(rows, "edited", "after")
     return rows.select(
         F.col("key").alias(key), F.char_length("text").cast("bigint").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),

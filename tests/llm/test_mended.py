@@ -4,9 +4,10 @@ import random
 import tracemalloc
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from meterdw.llm import decontaminate, page_text, quality, secret_scan, toxicity
+from meterdw.llm import decontaminate, fingerprints, page_text, quality, secret_scan, toxicity
 
 
 def peak(values, rows):
@@ -110,3 +111,34 @@ def test_names_that_only_sound_like_comments(spark):
                                   "page_id bigint, url string, html string")
     assert page_text.main_text(pages).first().text.count("The body") == 2
     assert pages.where(F.col("page_id") == 1).count() == 1
+
+
+def test_fingerprints_equal_plain_winnowing(spark):
+    """Rolled hashes, window minima and places against a loop over the units of every text."""
+    def hashed(data: bytes) -> int:
+        value = xxhash.xxh64(data, seed=42).intdigest()
+        return value - (1 << 64) if value >= 1 << 63 else value
+
+    def plain(text: str) -> str:
+        units = [hashed(unit.encode()) % fingerprints.PRIME for unit in text.split()]
+        if not units:
+            return ""
+        grams = []
+        for at in range(len(units) - fingerprints.K + 1):
+            value = 0
+            for unit in units[at:at + fingerprints.K]:
+                value = (value * fingerprints.BASE + unit) % fingerprints.PRIME
+            grams.append((hashed(value.to_bytes(8, "little")) % (1 << 64)) >> 32)
+        places = {}
+        for at in range(max(1, len(grams) - fingerprints.WINDOW + 1)):
+            window = grams[at:at + fingerprints.WINDOW]
+            place = max(i for i, gram in enumerate(window) if gram == min(window)) + at
+            places[place] = grams[place]
+        return " ".join(f"{gram:x}@{place}" for place, gram in sorted(places.items()))
+
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(n)) for n in (0, 5, 6, 7, 8, 9, 19, 20, 21, 22, 60, 3000)]
+    texts += ["same " * 400, "x y " * 100]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in fingerprints.fingerprints(docs).collect():
+        assert row.fingerprint == plain(texts[row.doc_id])
