@@ -32,6 +32,12 @@ def _measure_partials(measures) -> list[Column]:
     return [F.expr(f"{fn}({m}) AS {m}_{kind}") for m in measures for kind, fn in kinds.items()]
 
 
+def flags() -> dict[str, str]:
+    """The abnormal counters and what they count."""
+    return {"voltage_off": grading.VOLTAGE_OFF, "overheated": grading.OVERHEATED, "power_off": grading.POWER_OFF,
+            "abnormal": grading.ABNORMAL, "abnormal_any": f"{grading.ABNORMAL} OR {grading.POWER_OFF}"}
+
+
 def partials(graded: DataFrame, width: str, keys=("device_id",), measures=tuple(MEASURE_TYPES)) -> DataFrame:
     """(keys, tumbling window) partial rows.
 
@@ -39,9 +45,7 @@ def partials(graded: DataFrame, width: str, keys=("device_id",), measures=tuple(
     stream with a watermark on reading_time. In a batch the optimizer prunes what a
     summary does not use; a stream keeps all of it as state, so name the `measures` there.
     """
-    flags = {"voltage_off": grading.VOLTAGE_OFF, "overheated": grading.OVERHEATED, "power_off": grading.POWER_OFF,
-             "abnormal": grading.ABNORMAL, "abnormal_any": f"{grading.ABNORMAL} OR {grading.POWER_OFF}"}
-    counters = [F.expr(f"count_if({condition}) AS {name}") for name, condition in flags.items()]
+    counters = [F.expr(f"count_if({condition}) AS {name}") for name, condition in flags().items()]
     rows = graded.groupBy(*keys, F.window("reading_time", width).alias("w")).agg(
         F.expr("COUNT(*) AS n"), *counters, *_measure_partials(measures))
     return rows.selectExpr(*keys, "w.start AS window_start", "w.end AS window_end",

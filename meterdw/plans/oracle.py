@@ -503,6 +503,7 @@ SELECT 'ads', COUNT(*), {count_if(f"last_update_time >= {LATE} - INTERVAL 1 DAY"
     "stream_customer_hour_tou": closed(_customer_hour(RATE), HOUR_END),
     "stream_substation_hour": closed(SUBSTATION_TUMBLE, HOUR_END),
     "stream_device_hour": DEVICE_HOUR,
+    "stream_device_hour_idle": DEVICE_HOUR,
     "stream_substation_hour_running": SUBSTATION_HOUR,
     "stream_customer_hour_running": _customer_hour("CAST(0.6 AS DECIMAL(2,1))"),
     "stream_latest_device": DEVICE_REALTIME,
@@ -521,6 +522,7 @@ WHERE (device_id * 31 + stat_hour) % 50 = 0""",
     "chain_customer_hour": _customer_hour("CAST(0.6 AS DECIMAL(2,1))"),
     "chain_device_monitor": DEVICE_REALTIME,
 }
+BODIES |= {"publish_once": BODIES["upsert_latest_by_key"]}
 BODIES |= {"stream_cdc_apply": BODIES["cdc_apply_latest"], "chain_substation_overview": BODIES["ads_substation_overview"]}
 
 

@@ -12,16 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterdw import schemas
 from meterdw.functions import grading
 from meterdw.functions.measures import newest
 from meterdw.operators import changelog, dashboards, detail, quality, rollup, serving
 from meterdw.plans.chain import Chain, chain_job
 from meterdw.plans.pipelines import devices, dimensions, latest_monitor, owned_devices
 from meterdw.session import scratch_dir, utc_session
-from meterdw.sinks import files
+from meterdw.sinks import files, publish
 from meterdw.sinks.versions import KeyedLog, VersionedTable, ddl
 from meterdw.sources.tables import Recent, Warehouse
-from meterdw.streaming import jobs, source
+from meterdw.streaming import idle, jobs, source
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -545,6 +546,19 @@ def upsert_latest_by_key(wh):
     return log.current()
 
 
+@query
+def publish_once(wh):
+    """The readings published as a keyed table in two batches, the second one a correction that is sent three times."""
+    readings = wh.meter_reading().select("device_id", "reading_time", "voltage", "id")
+    corrections = changelog.correct_voltage(readings.where(F.col("voltage") < 220))
+    columns = {name: kind for name, kind in schemas.METER_READING.items() if name in readings.columns}
+    table = publish.Published(publish.FolderTarget(scratch_dir(wh.spark, "published")), "readings", columns, ("id",))
+    for batch_id, batch in enumerate((readings, corrections)):
+        for _ in range(1 + 2 * batch_id):
+            table.publish(batch, batch_id)
+    return table.visible(wh.spark)
+
+
 @query
 def retention_by_file(wh):
     """Readings older than seven days leave a stored table, whole files unread."""
@@ -646,6 +660,14 @@ def stream_customer_hour_running(wh):
     return rollup.customer_hour(rollup.with_owners(_running_hours(wh), dimensions(wh)))
 
 
+@query
+def stream_device_hour_idle(wh):
+    """Running hours whose state goes an hour after the last reading reached it."""
+    live, readings, root = _stream(wh)
+    idle.idle_job(readings, "1 hour", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return rollup.device_hour(rollup.with_devices(idle.read_partials(wh.spark, f"{root}/out"), dimensions(wh)))
+
+
 @query
 def stream_latest_device(wh):
     live, readings, root = _stream(wh)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import duckdb
 import pytest
 from helpers import BASE, readings
 
@@ -9,10 +10,11 @@ from meterdw import schemas
 from meterdw.operators import detail
 from meterdw.plans import pipelines, queries
 from meterdw.plans.queries import REGISTRY
-from meterdw.sinks import files
+from meterdw.sinks import files, publish
 from meterdw.sinks import jdbc as jdbc_sink
 from meterdw.sources import jdbc
 from meterdw.sources.tables import StoredTables, Warehouse
+from meterdw.streaming import jobs, source
 from pyspark.sql import functions as F
 
 
@@ -110,3 +112,81 @@ def test_stored_source_tables(spark, folder, tmp_path):
             assert sorted(map(str, query(stored).collect())) == sorted(map(str, query(derived).collect()))
     for name in schemas.ODS:
         spark.catalog.dropTempView(name)
+
+
+COLUMNS = {"device_id": "int", "power": "decimal(10,2)", "id": "bigint"}
+
+
+class Failing(publish.FolderTarget):
+    """Breaks off between the rows and the mark."""
+
+    def append(self, rows, table):
+        if table.endswith("_marks"):
+            raise ConnectionError(table)
+        super().append(rows, table)
+
+
+def test_batches_are_published_once(spark, tmp_path):
+    target = publish.FolderTarget(str(tmp_path))
+    table = publish.Published(target, "monitor", COLUMNS, ("device_id",))
+    assert table.visible(spark).count() == 0
+    first = readings(spark, [{"id": 1}, {"id": 2, "device_id": 2}])
+    broken = publish.Published(Failing(str(tmp_path)), "monitor", COLUMNS, ("device_id",))
+    for _ in range(2):
+        with pytest.raises(ConnectionError):
+            broken.handler()(first, 0)
+    assert table.visible(spark).count() == 0
+    assert table.publish(first, 0) and not table.publish(first, 0)
+    later = readings(spark, [{"id": 3, "device_id": 2, "power": "7"}])
+    with pytest.raises(ConnectionError):
+        broken.publish(later, 1)
+    assert sorted(r.id for r in table.visible(spark).collect()) == [1, 2]
+    assert table.publish(later, 1) and table.publish(later.limit(0), 2) and not table.publish(later, 2)
+    assert sorted(r.id for r in table.visible(spark).collect()) == [1, 3]
+    rows = target.read(spark, "monitor_rows", "device_id int, writer string, batch_id long, attempt string")
+    assert rows.count() == 2 * 3 + 2 * 1
+
+    con = duckdb.connect()
+    for part in ("rows", "marks"):
+        con.execute(f"CREATE TABLE monitor_{part} AS SELECT * FROM read_parquet('{tmp_path}/monitor_{part}/*.parquet')")
+    seen = con.sql(table.visible_sql()).fetchall()
+    assert sorted(seen) == sorted(map(tuple, table.visible(spark).collect()))
+    con.execute(table.leftovers_sql())
+    assert con.sql("SELECT COUNT(*) FROM monitor_rows").fetchall() == [(3,)]
+    assert sorted(con.sql(table.visible_sql()).fetchall()) == sorted(seen)
+
+
+def test_two_attempts_with_marks_count_once_and_whole_batches_replace(spark, tmp_path):
+    target = publish.FolderTarget(str(tmp_path))
+    table = publish.Published(target, "overview", COLUMNS)
+
+    class Unaware(publish.Published):
+        """A second driver that did not see the first one's mark."""
+
+        def is_marked(self, spark, batch_id, writer=""):
+            return False
+
+    rows = readings(spark, [{"id": 1}, {"id": 2}])
+    table.publish(rows, 4, "a")
+    Unaware(target, "overview", COLUMNS).publish(rows, 4, "a")
+    assert table.visible(spark).count() == 2
+    table.publish(readings(spark, [{"id": 5}]), 4, "b")
+    table.publish(readings(spark, [{"id": 6}]), 5, "a", whole=True)
+    table.publish(readings(spark, [{"id": 7}]), 6, "a")
+    assert sorted(r.id for r in table.visible(spark).collect()) == [5, 6, 7]
+
+
+def test_stream_published_once(utc_feed, spark, tmp_path):
+    """A stream that loses its checkpoint sends its batches again: nothing is doubled."""
+    table = publish.Published(publish.FolderTarget(str(tmp_path / "out")), "raw", COLUMNS)
+    for run in range(2):
+        jobs.start(utc_feed, table.handler("raw"), f"{tmp_path}/checkpoint{run}").awaitTermination()
+    assert table.visible(spark).count() == 4
+
+
+@pytest.fixture
+def utc_feed(utc, tmp_path):
+    for part in range(2):
+        readings(utc, [{"id": 2 * part}, {"id": 2 * part + 1}]).coalesce(1).write.mode("append").parquet(
+            f"{tmp_path}/feed")
+    return source.file_stream(utc, f"{tmp_path}/feed", schemas.ddl(schemas.METER_READING), max_files=1)

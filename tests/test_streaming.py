@@ -15,7 +15,7 @@ from meterdw.plans.queries import REGISTRY
 from meterdw.session import scratch_dir
 from meterdw.sinks import files
 from meterdw.sources.tables import Warehouse
-from meterdw.streaming import jobs, source
+from meterdw.streaming import idle, jobs, source
 from pyspark.sql import functions as F
 
 STEP = dt.timedelta(seconds=7)
@@ -195,3 +195,28 @@ def test_console_sink(utc, feed, tmp_path):
     query = jobs.console_job(detail.quick_monitor(stream(utc, feed)), f"{tmp_path}/checkpoint")
     query.awaitTermination()
     assert jobs.flow(query)["rows"] == 300
+
+
+def test_idle_windows_go_and_revised_ones_stay(utc, tmp_path):
+    """One window is revised all the time, one is left alone: its state goes, and a reading that comes later still counts."""
+    feed, out, old = str(tmp_path / "feed"), str(tmp_path / "out"), time.time() - 100_000
+    states = []
+
+    def batch(at, rows):
+        deliver(utc, feed, [{"id": 100 * at + i, **row} for i, row in enumerate(rows)], old + at)
+        query = idle.idle_job(stream(utc, feed), "1 hour", out, f"{tmp_path}/checkpoint", idle_ms=24_000)
+        query.awaitTermination()
+        states.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+
+    batch(0, [{"device_id": 1, "voltage": None}, {"device_id": 2, "voltage": "250"}])
+    begun = time.time()
+    for at in (1, 2, 3):
+        time.sleep(max(0.0, begun + at * 10 - time.time()))
+        batch(at, [{"device_id": 1, "voltage": str(220 + at), "temperature": None}])
+    assert states[0] == 2 and states[-1] == 1
+    lives = files.read_batches(utc, out).groupBy("device_id").agg(F.countDistinct("born_ms").alias("lives"))
+    batch(4, [{"device_id": 2, "voltage": "190", "reading_time": BASE + dt.timedelta(minutes=1)}])
+    assert {r.device_id: r.lives for r in lives.collect()}[1] == 1 and states[-1] == 2
+    whole = serving.window_parts(utc.read.parquet(feed))
+    got = idle.read_partials(utc, out).select(whole.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())) and got.count() == 2
