@@ -39,7 +39,11 @@ SELECT CAST(n_nationkey + 1 AS INT) AS id, n_name AS name, r_name AS location,
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "grid_customer": """
 SELECT CAST(c_custkey + 1 AS INT) AS id, 'CUST' || LPAD(CAST(c_custkey + 1 AS VARCHAR), 3, '0') AS customer_code,
-  c_name AS customer_name, c_mktsegment AS customer_type FROM customer""",
+  c_name AS customer_name, c_mktsegment AS customer_type, 'No. ' || CAST(c_custkey % 500 + 1 AS VARCHAR) AS address,
+  '13' || LPAD(CAST(c_custkey AS VARCHAR), 9, '0') AS phone,
+  CASE WHEN c_custkey % 7 <> 0 THEN 'customer' || CAST(c_custkey + 1 AS VARCHAR) || '@example.org' END AS email,
+  TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(c_custkey % 100000 AS INT)) AS created_at,
+  TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(c_custkey % 100000 AS INT)) AS updated_at FROM customer""",
     "customer_device": """
 SELECT CAST(c_custkey * 2 + 1 AS INT) AS id, CAST(c_custkey + 1 AS INT) AS customer_id,
   CAST((c_custkey - c_custkey % 20) / 20 + 1 AS INT) AS device_id, 'OWNER' AS relationship_type
@@ -455,6 +459,15 @@ UNION ALL SELECT 'monitor_records', COUNT(DISTINCT device_id) FROM meter_reading
                                      "FROM device_info d WHERE d.substation_id = s.id AND d.status = 'MAINTENANCE') "
                                      "THEN 'MAINTENANCE' ELSE status END AS status FROM substation s",
     "devices_not_deleted": "SELECT * FROM device_info WHERE status <> 'DELETED'",
+    "contact_update": """
+SELECT c.id, customer_code, customer_name, customer_type, address, created_at,
+  CASE WHEN u.o_custkey IS NULL THEN phone ELSE '18' || LPAD(CAST(o_orderkey AS VARCHAR), 9, '0') END AS phone,
+  CASE WHEN u.o_custkey IS NULL THEN email
+       WHEN o_orderkey % 5 <> 0 THEN 'order' || CAST(o_orderkey AS VARCHAR) || '@example.org' END AS email,
+  CASE WHEN u.o_custkey IS NULL THEN updated_at ELSE o_orderdate END AS updated_at
+FROM grid_customer c LEFT JOIN (
+  SELECT * FROM orders o WHERE o_orderkey = (SELECT MAX(l.o_orderkey) FROM orders l WHERE l.o_custkey = o.o_custkey)) u
+ON c.id = u.o_custkey + 1""",
     "customers_deletable": "SELECT * FROM grid_customer c WHERE NOT EXISTS "
                            "(SELECT 1 FROM customer_device cd WHERE cd.customer_id = c.id)",
     "retention_readings": f"SELECT * FROM meter_reading WHERE NOT (reading_time < {LATE} - INTERVAL 7 DAY)",

@@ -454,8 +454,13 @@ def devices_not_deleted(wh):
 
 @query
 def customers_deletable(wh):
-    return changelog.deletable(wh.grid_customer(), "id", wh.customer_device(), "customer_id").select(
-        "id", "customer_code", "customer_name", "customer_type")
+    return changelog.deletable(wh.grid_customer(), "id", wh.customer_device(), "customer_id")
+
+
+@query
+def contact_update(wh):
+    """Customers with the phone, email and time of their last update."""
+    return changelog.update_keyed(wh.grid_customer(), wh.contact_updates(), "id", "seq")
 
 
 @query

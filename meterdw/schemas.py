@@ -30,7 +30,9 @@ SUBSTATION = {
 DEVICE_INFO = {
     "id": "int", "device_code": "string", "device_name": "string", "device_type": "string", "substation_id": "int",
     "status": "string"}
-CUSTOMER = {"id": "int", "customer_code": "string", "customer_name": "string", "customer_type": "string"}
+CUSTOMER = {
+    "id": "int", "customer_code": "string", "customer_name": "string", "customer_type": "string", "address": "string",
+    "phone": "string", "email": "string", "created_at": "timestamp_ntz", "updated_at": "timestamp_ntz"}
 CUSTOMER_DEVICE = {"id": "int", "customer_id": "int", "device_id": "int", "relationship_type": "string"}
 METER_READING = {
     "id": "bigint", "device_id": "int", "reading_time": "timestamp_ntz",

@@ -18,6 +18,8 @@ SUPPLIER = "s_suppkey bigint, s_name string, s_nationkey int"
 NATION = "n_nationkey int, n_name string, n_regionkey int"
 REGION = "r_regionkey int, r_name string"
 CUSTOMER = "c_custkey bigint, c_name string, c_mktsegment string"
+ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"
+JOINED = "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(c_custkey % 100000 AS INT))"
 
 
 def scan(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -95,7 +97,19 @@ class Warehouse:
         return conform(
             self._customers(), schemas.CUSTOMER,
             id="c_custkey + 1", customer_code="'CUST' || lpad(CAST(c_custkey + 1 AS STRING), 3, '0')",
-            customer_name="c_name", customer_type="c_mktsegment")
+            customer_name="c_name", customer_type="c_mktsegment",
+            address="'No. ' || CAST(c_custkey % 500 + 1 AS STRING)",
+            phone="'13' || lpad(CAST(c_custkey AS STRING), 9, '0')",
+            email="IF(c_custkey % 7 = 0, NULL, 'customer' || CAST(c_custkey + 1 AS STRING) || '@example.org')",
+            created_at=JOINED, updated_at=JOINED)
+
+    def contact_updates(self) -> DataFrame:
+        """New contact data of customers (seq, id, phone, email, updated_at): every order names some."""
+        return self._file("orders", ORDERS).selectExpr(
+            "o_orderkey AS seq", "CAST(o_custkey + 1 AS INT) AS id",
+            "'18' || lpad(CAST(o_orderkey AS STRING), 9, '0') AS phone",
+            "IF(o_orderkey % 5 = 0, NULL, 'order' || CAST(o_orderkey AS STRING) || '@example.org') AS email",
+            "o_orderdate AS updated_at")
 
     def customer_device(self) -> DataFrame:
         """Owners of devices: 0, 1 or 2 per device, some of an unknown device. Ids come from the customer key."""

@@ -36,7 +36,8 @@ def seed_dimensions(spark):
          (5, "D5", "five", "METER", 3, "NORMAL"), (6, "D6", "six", "METER", 2, "DELETED")],
         schemas.ddl(schemas.DEVICE_INFO))
     customers = spark.createDataFrame(
-        [(1, "C1", "Ann", "HOME"), (2, "C2", "Ben", "HOME"), (3, "C3", "Cy", "SHOP")], schemas.ddl(schemas.CUSTOMER))
+        [(i, f"C{i}", name, kind, *[None] * 5) for i, name, kind in
+         ((1, "Ann", "HOME"), (2, "Ben", "HOME"), (3, "Cy", "SHOP"))], schemas.ddl(schemas.CUSTOMER))
     # relation 4 names an unknown customer
     relations = spark.createDataFrame(
         [(1, 1, 3, "OWNER"), (2, 2, 5, "OWNER"), (3, 3, 3, "OWNER"), (4, 77, 6, "OWNER")],
