@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from collections.abc import Collection
 from html import unescape
 from html.parser import HTMLParser
 from urllib.parse import urlsplit
@@ -24,6 +26,8 @@ from meterdw.llm.common import BROADCAST_BYTES, mapped, small, staged, text_slic
 # a subtree is template when it stands on this many different pages of its host, and on the square root of their number:
 # a fifth of 25 pages, a tenth of 100, a hundredth of 10,000
 LEAST_PAGES = 5
+# rows of a host that share one copy of its template where the templates are not broadcast
+ROWS_A_COPY = 10_000
 
 # fixed values: elements of HTML by what they are
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -293,7 +297,7 @@ def candidates(root: Node) -> list[tuple[int, int]]:
                    for n in nodes[1:] if id(n) not in holds_main and countable(n)})
 
 
-def blocks(root: Node, template: set[int]) -> list[str]:
+def blocks(root: Node, template: Collection[int]) -> list[str]:
     """The text of the blocks that remain, in page order; white space is one blank, empty blocks are left out."""
     hashed(root)
     out: list[str] = []
@@ -333,7 +337,7 @@ def _host(url: str | None) -> str:
 
 
 def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """host and hashes of its template subtrees (an array per host, one host a row).
+    """host and sorted hashes of its template subtrees (an array per host, one host a row).
 
     A page counts once however often its html recurs on the host, and inside main text an article or main element
     counts once, on however many pages it stands. Every task adds up its own pages before the shuffle.
@@ -358,21 +362,52 @@ def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
     whole = counts.where("subtree is null").select("host", F.col("pages").alias("of_host"))
     often = counts.where("subtree is not null").where(F.col("pages") >= LEAST_PAGES)
     return (often.join(small(whole, 64), "host").where(F.col("pages") >= F.sqrt("of_host"))
-            .groupBy("host").agg(F.collect_list("subtree").alias("template")))
+            .groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("template")))
 
 
-def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """key, url, text, n_chars of every row.
+class Template:
+    """The sorted hashes of a host's template, as Arrow holds them."""
 
-    Null and empty pages, and pages of nothing but template, have an empty text. Pages with a null or broken address
-    are of one host without a name. Rows with equal pages are counted once for the template and all returned. An empty
-    table gives no rows. Other columns are not read.
+    def __init__(self, hashes: pa.Array):
+        self.hashes = hashes.to_numpy(zero_copy_only=False)
 
-    A host of n pages has at most sqrt(n) times as many templates as a page has subtrees (each stands on sqrt(n) pages
-    or more), which is why they travel as one array; they are broadcast up to 64 MB and joined by host beyond.
+    def __len__(self):
+        return len(self.hashes)
+
+    def __contains__(self, name: int) -> bool:
+        at = bisect_left(self.hashes, name)
+        return at < len(self.hashes) and self.hashes[at] == name
+
+
+def _read(batch: pa.RecordBatch, templates: list) -> pa.RecordBatch:
+    """key, url, text, n_chars of the pages of a batch, each without the template given for it."""
+    out = [" ".join(blocks(parse(page or ""), template))
+           for page, template in zip(batch.column("html").to_pylist(), templates)]
+    return pa.RecordBatch.from_arrays([batch.column("key"), batch.column("url"), pa.array(out, pa.string()),
+                                       pa.array([len(t) for t in out], pa.int64())], ["key", "url", "text", "n_chars"])
+
+
+def _with_sent(rows: DataFrame, found: DataFrame, schema: str) -> DataFrame:
+    """The texts, with all templates sent once to every executor; the caller has measured that they are small."""
+    sent = rows.sparkSession.sparkContext.broadcast(found.toArrow())
+
+    def run(batches):
+        table = sent.value.combine_chunks()
+        of_host = {}
+        for piece in table.to_batches():
+            hashes = piece.column("template")
+            of_host |= {host: Template(hashes[i].values) for i, host in enumerate(piece.column("host").to_pylist())}
+        for batch in text_slices(batches, "html"):
+            yield _read(batch, [of_host.get(_host(u), ()) for u in batch.column("address").to_pylist()])
+
+    return mapped(rows, run, schema)
+
+
+def _with_copies(rows: DataFrame, found: DataFrame, schema: str, kinds: dict[str, str]) -> DataFrame:
+    """The texts, with the template of a host before every 10,000 rows of it, so that no row carries an array.
+
+    The rows of a host are cut into as many parts as that takes, whatever its share of the table.
     """
-    kinds = {name: pages.schema[name].dataType.simpleString() for name in (key, url)}
-    found = staged(templates(pages, url, html).where(F.size("template") > 0), "templates")
 
     def hosts(batches):
         for batch in batches:
@@ -381,21 +416,51 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
                 [*batch.schema.names, "host"])
 
     def run(batches):
+        held, template = None, ()
         for batch in text_slices(batches, "html"):
-            out = [" ".join(blocks(parse(page or ""), set(template or ()))) for page, template in zip(
-                batch.column("html").to_pylist(), batch.column("template").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("url"), pa.array(out, pa.string()),
-                 pa.array([len(t) for t in out], pa.int64())], ["key", "url", "text", "n_chars"])
+            parts = zip(batch.column("host").to_pylist(), batch.column("part").to_pylist())
+            arrays, chosen = batch.column("template"), []
+            for i, part in enumerate(parts):
+                if part != held:
+                    held, template = part, ()
+                if arrays[i].is_valid:
+                    template = Template(arrays[i].values)
+                chosen.append(template)
+            pages = arrays.is_null()
+            yield _read(batch.filter(pages), [t for t, page in zip(chosen, pages.to_pylist()) if page])
+
+    named = mapped(rows, hosts, f"key {kinds['key']}, url {kinds['url']}, address string, html string, host string")
+    counted = mapped(rows.select("address"), hosts, "address string, host string").groupBy("host").agg(
+        F.ceil(F.count(F.lit(1)) / ROWS_A_COPY).cast("long").alias("parts"))
+    copies = staged(found.join(counted, "host"), "template-parts")
+    parts = copies.select("host", "parts")
+    # beyond the broadcast limit there are many hosts; a hot one is no matter to a join whose other side is one row
+    cut = (named.withColumn("turn", F.monotonically_increasing_id()).join(small(parts, 64), "host", "left")
+           .withColumn("part", F.expr("pmod(xxhash64(turn), coalesce(parts, 1))")))
+    first = copies.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    return mapped(cut.select("key", "url", "html", "host", "part")
+                  .unionByName(first.select("host", "part", "template"), allowMissingColumns=True)
+                  .repartition("host", "part")
+                  .sortWithinPartitions("host", "part", F.col("template").isNull()), run, schema)
+
+
+def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
+              limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """key, url, text, n_chars of every row.
 
+    Null and empty pages, and pages of nothing but template, have an empty text. Pages with a null or broken address
+    are of one host without a name. Rows with equal pages are counted once for the template and all returned. An empty
+    table gives no rows. Other columns are not read.
+
+    A host of n pages has at most sqrt(n) times as many templates as a page has subtrees (each stands on sqrt(n) pages
+    or more). Up to `limit_bytes` all templates are sent once to every executor; beyond, the rows are shuffled by host in
+    parts of 10,000 and every part begins with its template.
+    """
+    kinds = {"key": pages.schema[key].dataType.simpleString(), "url": pages.schema[url].dataType.simpleString()}
+    found = staged(templates(pages, url, html), "templates")
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(url).cast("string").alias("address"),
                         F.col(html).alias("html"))
-    if found.isEmpty():
-        rows = rows.withColumn("template", F.lit(None).cast("array<bigint>"))
-    else:
-        rows = mapped(rows, hosts, f"key {kinds[key]}, url {kinds[url]}, address string, html string, host string")
-        size = found.agg(F.sum(F.size("template") * 8 + 128)).first()[0]
-        rows = rows.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "host", "left")
-    return mapped(rows.select("key", "url", "html", "template"), run,
-                  f"key {kinds[key]}, url {kinds[url]}, text string, n_chars bigint").withColumnsRenamed(
-        {"key": key, "url": url})
+    schema = f"key {kinds['key']}, url {kinds['url']}, text string, n_chars bigint"
+    size = found.agg(F.sum(F.size("template") * 8 + F.octet_length("host") + 128)).first()[0] or 0
+    out = _with_sent(rows, found, schema) if size <= limit_bytes else _with_copies(rows, found, schema, kinds)
+    return out.withColumnsRenamed({"key": key, "url": url})

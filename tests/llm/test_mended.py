@@ -142,3 +142,20 @@ def test_fingerprints_equal_plain_winnowing(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for row in fingerprints.fingerprints(docs).collect():
         assert row.fingerprint == plain(texts[row.doc_id])
+
+
+@pytest.mark.parametrize("rows_a_copy", [7, 10_000])
+def test_templates_are_the_same_sent_or_copied(spark, monkeypatch, rows_a_copy):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(8))
+    rows = [(i, f"https://{'hot' if i % 3 else f's{i % 7}'}.example.org/{i}",
+             f"<div><b>Site</b> {i % 4}</div><div><p>{word()} {word()}</p></div>") for i in range(300)]
+    rows += [rows[1]] * 40 + [(400, None, None), (401, "http://[bad", "<p>left</p>"), (None, "https://one.example.org", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn(
+        "host", F.lit("x")).withColumn("part", F.lit(1)).withColumn("template", F.lit("t")).repartition(5)
+    monkeypatch.setattr(page_text, "ROWS_A_COPY", rows_a_copy)
+    listed = lambda **kw: sorted(map(tuple, page_text.main_text(pages, **kw).collect()), key=str)
+    sent = listed()
+    assert sent == listed(limit_bytes=0) and len(sent) == len(rows)
+    assert {r[2] for r in sent if r[0] == 1} == {" ".join(rows[1][2].split("<p>")[1].split("</p>")[0].split())}
+    assert page_text.main_text(pages.where("false"), limit_bytes=-1).collect() == []
