@@ -9,7 +9,7 @@ from meterdw.functions import grading
 from meterdw.functions.measures import column_avg, exact_avg, stat_date, stat_hour
 from meterdw.operators import rollup
 from meterdw.operators.detail import DEVICE, MEASURES, monitor_columns
-from meterdw.operators.joins import sized
+from meterdw.operators.joins import BROADCAST_LIMIT, measured_bytes, sized
 from meterdw.schemas import MEASURE_TYPES, SUM_TYPE
 
 
@@ -48,30 +48,42 @@ def keyed_lookup(df: DataFrame, key: str, wanted: DataFrame, columns: list[str])
     return df.join(wanted.select(key).distinct(), key, "left_semi").select(*columns)
 
 
-def latest_readings(readings: DataFrame) -> DataFrame:
+def latest_readings(readings: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Newest reading per device; of two with the same time the higher id.
 
     The newest times are a hash aggregate of two columns. Only the readings at those times, mostly one per device, are
     read in full and ranked, so the fact itself is never sorted or, while the times measure small, shuffled.
+
+    `known` names devices (device_id) and only serves speed: it bounds the times that are broadcast, so that building
+    this reads `known` and not the readings. Readings of other devices are all ranked, as are all readings where `known`
+    is beyond broadcast size: every task then sorts its own and sends one per device. Without `known` the times are
+    measured themselves, which reads two columns of the fact.
     """
+    order = [F.desc("reading_time"), F.desc("id")]
     times = readings.groupBy(F.col("device_id").alias("_device")).agg(F.max("reading_time").alias("_newest"))
-    newest = (F.col("device_id").eqNullSafe(F.col("_device"))
-              & F.col("reading_time").eqNullSafe(F.col("_newest")))
-    rows = readings.join(sized(times), newest, "left_semi")
-    return latest(rows, ["device_id"], [F.desc("reading_time"), F.desc("id")])
+    same_device = F.col("device_id").eqNullSafe(F.col("_device"))
+    if known is None:
+        newest = same_device & F.col("reading_time").eqNullSafe(F.col("_newest"))
+        return latest(readings.join(sized(times), newest, "left_semi"), ["device_id"], order)
+    devices = known.select(F.col("device_id").alias("_device")).distinct()
+    if measured_bytes(devices.withColumn("_newest", F.lit(0))) > BROADCAST_LIMIT:
+        return latest(readings, ["device_id"], order)
+    bounded = F.broadcast(times.join(F.broadcast(devices), "_device", "left_semi"))
+    rows = readings.join(bounded, same_device, "left").where("_newest IS NULL OR reading_time = _newest")
+    return latest(rows.drop("_device", "_newest"), ["device_id"], order)
 
 
 # --- device monitor ---------------------------------------------------------------------------------
 
 def device_monitor(readings: DataFrame, dim: DataFrame, profile=grading.MAIN) -> DataFrame:
     """Latest graded state per device. Ranks the bare readings first; only the winners are joined and graded."""
-    rows = grading.grade(latest_readings(readings).join(sized(dim), "device_id"), profile)
+    rows = grading.grade(latest_readings(readings, dim).join(sized(dim), "device_id"), profile)
     return rows.select(*monitor_columns(grading.graded_status()))
 
 
 def batch_device_states(readings: DataFrame, dim: DataFrame) -> DataFrame:
     """Latest state per device under the batch rules: 0 and NULL count as not measured."""
-    rows = latest_readings(readings).join(sized(dim), "device_id")
+    rows = latest_readings(readings, dim).join(sized(dim), "device_id")
     return (grading.grade(rows, grading.BATCH)
             .withColumn("status", grading.reading_status(zero_is_missing=True))
             .select(*DEVICE, "substation_id", "substation_name", "reading_time", *MEASURES, "health_score", "status"))

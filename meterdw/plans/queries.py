@@ -300,8 +300,12 @@ def substation_hour_with_alarms(wh):
 
 # --- dashboards -------------------------------------------------------------------------------------
 
+def _latest(wh):
+    return serving.latest_readings(wh.meter_reading(), wh.device_info().select(F.col("id").alias("device_id")))
+
+
 def _generated_monitor(wh):
-    return detail.four_level_monitor(detail.generated_detail(serving.latest_readings(wh.meter_reading())))
+    return detail.four_level_monitor(detail.generated_detail(_latest(wh)))
 
 
 def _recent(wh, since) -> DataFrame:
@@ -394,7 +398,7 @@ def device_stats(wh):
 
 @query
 def device_latest_reading(wh):
-    return serving.latest_readings(wh.meter_reading()).select(
+    return _latest(wh).select(
         "device_id", "voltage", "current_val", "power", "temperature", "reading_time")
 
 

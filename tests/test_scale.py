@@ -137,3 +137,25 @@ def test_newest_readings_do_not_sort_the_readings(spark, folder):
     frame = spark.createDataFrame(data, "id bigint, device_id int, reading_time string").withColumn(
         "reading_time", F.col("reading_time").cast("timestamp_ntz"))
     assert sorted(r.id for r in serving.latest_readings(frame).collect()) == [2, 4, 5, 7]
+
+
+def test_newest_readings_are_planned_without_reading_the_readings(spark, monkeypatch):
+    data = [(1, 1, "2024-01-01 00:00:00"), (2, 1, "2024-01-01 00:00:00"), (3, 2, None), (4, 2, None),
+            (5, None, "2024-01-01 00:00:00"), (6, 3, None), (7, 3, "2023-01-01 00:00:00"),
+            (8, 9, "2024-01-01 00:00:00"), (9, 9, "2024-01-02 00:00:00")]
+    frame = spark.createDataFrame(data, "id bigint, device_id int, reading_time string").withColumn(
+        "reading_time", F.col("reading_time").cast("timestamp_ntz"))
+    # times that cannot be computed: any job that reads them fails
+    trap = frame.withColumn("reading_time", F.expr("IF(id > 0, raise_error('read'), reading_time)"))
+    known = spark.createDataFrame([(1,), (2,), (3,), (3,), (None,), (77,)], "device_id int")
+    rows = serving.latest_readings(trap, known)
+    physical = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in physical and "SortAggregate" not in physical and "SortMergeJoin" not in physical
+    with pytest.raises(Exception, match="read"):
+        rows.collect()
+    want = [2, 4, 5, 7, 9]
+    assert sorted(r.id for r in serving.latest_readings(frame, known).collect()) == want
+    assert serving.latest_readings(frame, known).columns == frame.columns
+    assert sorted(r.id for r in serving.latest_readings(frame, known.where("false")).collect()) == want
+    monkeypatch.setattr(serving, "BROADCAST_LIMIT", -1)
+    assert sorted(r.id for r in serving.latest_readings(frame, known).collect()) == want
