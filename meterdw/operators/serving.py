@@ -182,6 +182,11 @@ def raw_hours(readings: DataFrame, device_id: int | None = None, since=None) ->
     return hours.select("device_id", F.col("w.start").alias("hour_time"), *hours.columns[2:])
 
 
+def raw_hour_listing(readings: DataFrame, device_id: int | None = None, since=None) -> DataFrame:
+    """`raw_hours` in order of device and hour."""
+    return raw_hours(readings, device_id, since).orderBy("device_id", "hour_time")
+
+
 def device_hour_listing(hours: DataFrame, since=None, device_id: int | None = None) -> DataFrame:
     rows = _of_device(hours, device_id)
     if since is not None:
@@ -191,7 +196,8 @@ def device_hour_listing(hours: DataFrame, since=None, device_id: int | None = No
 
 
 def readings_per_device(readings: DataFrame) -> DataFrame:
-    return readings.groupBy("device_id").agg(F.count("*").alias("records"))
+    """How many readings every device has, in order of the device."""
+    return readings.groupBy("device_id").agg(F.count("*").alias("records")).orderBy("device_id")
 
 
 # --- master data listings ------------------------------------------------------------------------------------

@@ -515,6 +515,7 @@ SELECT 'ads', COUNT(*), {count_if(f"last_update_time >= {LATE} - INTERVAL 1 DAY"
     "stream_device_20s": closed(DEVICE_20S, "window_end"),
     "stream_customer_hour_tou": closed(_customer_hour(RATE), HOUR_END),
     "stream_substation_hour": closed(SUBSTATION_TUMBLE, HOUR_END),
+    "stream_limit_10": "SELECT least(10, COUNT(*)) AS row_count, least(10, COUNT(*)) AS known_rows FROM meter_reading",
     "stream_device_hour": DEVICE_HOUR,
     "stream_device_hour_idle": DEVICE_HOUR,
     "stream_substation_hour_running": SUBSTATION_HOUR,

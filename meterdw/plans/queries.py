@@ -383,7 +383,7 @@ def dws_abnormal_stats(wh):
 
 @query
 def raw_hourly_device(wh):
-    return serving.raw_hours(wh.meter_reading())
+    return serving.raw_hour_listing(wh.meter_reading())
 
 
 @query
@@ -684,6 +684,22 @@ def stream_latest_device(wh):
     return latest_monitor(wh, f"{root}/out")
 
 
+@query
+def stream_limit_10(wh):
+    """The first ten readings of the stream: how many there are, and how many of them the table holds.
+
+    Which ones come first is open, so they cannot be compared themselves.
+    """
+    live, readings, root = _stream(wh)
+    jobs.limit_job(readings, 10, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    first = wh.spark.read.schema(schemas.ddl(schemas.METER_READING)).parquet(f"{root}/out").select(
+        "id", F.col("device_id").alias("_device"), F.col("voltage").alias("_voltage"))
+    # every reading with the same id, so ten rows at most are broadcast and the table is not shuffled
+    found = wh.meter_reading().select("id", "device_id", "voltage").join(F.broadcast(first), "id")
+    return found.agg(F.count("*").alias("row_count"),
+                     F.count_if(F.expr("device_id <=> _device AND voltage <=> _voltage")).alias("known_rows"))
+
+
 @query
 def stream_dwd_enrich(wh):
     live, readings, root = _stream(wh)

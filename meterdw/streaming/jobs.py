@@ -121,6 +121,14 @@ def copy_job(stream: DataFrame, path: str, checkpoint: str, every: str | None =
             .outputMode("append").trigger(**_trigger(every)).start())
 
 
+def limit_job(stream: DataFrame, n: int, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """The first n rows that arrive, over all micro-batches and restarts; later ones are read and left out.
+
+    The checkpoint counts the rows that were let through. Every task sends at most n rows on.
+    """
+    return copy_job(stream.limit(n), path, checkpoint, every)
+
+
 def console_job(stream: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
     watch(stream.sparkSession)
     return (stream.writeStream.format("console").option("truncate", "false")

@@ -102,6 +102,13 @@ def test_columns_are_pruned(spark, folder):
     assert "ReadSchema: struct<user_id:bigint>" in plan
 
 
+def test_listings_are_in_order(spark, folder):
+    devices = [r.device_id for r in REGISTRY["readings_per_device"](spark, folder).collect()]
+    assert len(devices) > 10 and devices == sorted(devices)
+    hours = [(r.device_id, r.hour_time) for r in REGISTRY["raw_hourly_device"](spark, folder).collect()]
+    assert len(hours) > 10 and hours == sorted(hours)
+
+
 def test_aggregation_runs_before_any_join(spark):
     """The fact is aggregated bare: no dimension column below the first exchange of the readings."""
     rows = readings(spark, [{"device_id": d} for d in (1, 2, 3)])

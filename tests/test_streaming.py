@@ -45,6 +45,18 @@ def stream(utc, folder):
     return source.file_stream(utc, folder, schemas.ddl(schemas.METER_READING), max_files=1)
 
 
+def test_the_first_rows_of_a_stream(utc, feed, tmp_path):
+    """The limit holds over micro-batches and a restart, and is met across them."""
+    out = lambda: sorted(r.id for r in utc.read.parquet(f"{tmp_path}/out").collect())
+    for _ in range(2):
+        jobs.limit_job(stream(utc, feed), 70, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+        found = out()
+        assert len(set(found)) == len(found) == 70 and set(range(60)) < set(found) < set(range(120))
+    deliver(utc, feed, [{"id": 900, "device_id": 1, "reading_time": BASE}], time.time() - 10)
+    jobs.limit_job(stream(utc, feed), 70, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+    assert out() == found
+
+
 def windows_of(utc, out):
     return sorted(files.read_batches(utc, out).drop("batch_id").collect())
 
