@@ -65,7 +65,7 @@ def latest_readings(readings: DataFrame, known: DataFrame | None = None) -> Data
     if known is None:
         newest = same_device & F.col("reading_time").eqNullSafe(F.col("_newest"))
         return latest(readings.join(sized(times), newest, "left_semi"), ["device_id"], order)
-    devices = known.select(F.col("device_id").alias("_device")).distinct()
+    devices = known.select(F.col("device_id").alias("_device"))
     if measured_bytes(devices.withColumn("_newest", F.lit(0))) > BROADCAST_LIMIT:
         return latest(readings, ["device_id"], order)
     bounded = F.broadcast(times.join(F.broadcast(devices), "_device", "left_semi"))
