@@ -5,8 +5,9 @@ has a timer of its own: each reading that reaches it starts the timer again, and
 leaves the state. Readings are never refused as late. One that comes after its window has left begins a new partial row;
 rows carry the moment at which they began, and the reader adds up those of a window, so no count is lost.
 
-This is the one streaming operator with Python code: timers need a function of the state. A call handles one (device,
-window) of a micro-batch; its readings arrive as whole numbers (hundredths, thousandths), so sums are exact.
+This is the one streaming operator with Python code: timers need a function of the state. A call handles one window of a
+hash bucket of devices, all of them at once in arrays: one call a device would cost more than the sums. The bucket's timer
+is that of its device that is due first. Readings arrive as whole numbers (hundredths, thousandths), so sums are exact.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from meterdw.schemas import MEASURE_TYPES
 from meterdw.sinks.files import read_latest
 from meterdw.streaming import jobs
 
-KEY = ["device_id", "start_us", "end_us"]
+KEY = ["bucket", "start_us", "end_us"]
+BUCKETS = 32
 EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 NONE = -(1 << 62)  # stands for null inside the arrays
 
@@ -35,14 +37,15 @@ def _digits(measure: str) -> tuple[int, int]:
 
 
 def _whole(readings: DataFrame, width: str, profile, measures) -> DataFrame:
-    """Key of every reading, and one array: counters as 0 or 1, then measures as whole numbers."""
+    """Key of every reading, and one array: device, counters as 0 or 1, then measures as whole numbers."""
     rows = grading.grade(readings, profile).withColumn(
         "w", F.window(F.col("reading_time").cast("timestamp"), width))
     counters = [f"CAST(coalesce({condition}, false) AS BIGINT)" for condition in rollup.flags().values()]
     whole = [f"coalesce(CAST({m} * {10 ** _digits(m)[1]} AS BIGINT), {NONE})" for m in measures]
+    device = f"coalesce(CAST(device_id AS BIGINT), {NONE})"
     return rows.where("reading_time IS NOT NULL").selectExpr(
-        "CAST(device_id AS BIGINT) AS device_id", "unix_micros(w.start) AS start_us", "unix_micros(w.end) AS end_us",
-        f"array({', '.join(counters + whole)}) AS measured")
+        f"pmod(xxhash64(device_id), {BUCKETS}) AS bucket", "unix_micros(w.start) AS start_us",
+        "unix_micros(w.end) AS end_us", f"array({', '.join([device, *counters, *whole])}) AS measured")
 
 
 def _declared(rows: DataFrame, measures) -> DataFrame:
@@ -60,8 +63,9 @@ def _declared(rows: DataFrame, measures) -> DataFrame:
         columns += [scaled(at, f"{m}_sum", precision + 10, scale), f"part[{at + many}] AS {m}_cnt",
                     scaled(at + 2 * many, f"{m}_max", precision, scale),
                     scaled(at + 3 * many, f"{m}_min", precision, scale)]
-    return rows.selectExpr("CAST(device_id AS INT) AS device_id", "timestamp_micros(start_us) AS window_start",
-                           "timestamp_micros(end_us) AS window_end", "part[0] AS born_ms", *columns)
+    return rows.selectExpr(f"CAST(nullif(device_id, {NONE}) AS INT) AS device_id",
+                           "timestamp_micros(start_us) AS window_start", "timestamp_micros(end_us) AS window_end",
+                           "part[0] AS born_ms", *columns)
 
 
 def idle_partials(readings: DataFrame, width: str, idle_ms: int, profile=grading.MAIN,
@@ -71,41 +75,61 @@ def idle_partials(readings: DataFrame, width: str, idle_ms: int, profile=grading
     Null measures count nowhere but in `n`; readings without a time fall into no window; null devices are a key.
     """
     flags, many, none = len(rollup.flags()), len(measures), NONE
+    # a device's row: its id; readings, counters, sums, counts of the measures; last touch, greatest; beginning, least
+    added, most = 1, 2 + flags + 2 * many
+    least = most + 1 + many
+    width_of_row = least + 1 + many
+
+    def rows_of(readings, now):
+        """Every reading as the row that it would make alone; what is null adds nothing."""
+        import numpy as np
+        found = np.empty((len(readings), width_of_row), dtype=np.int64)
+        measured = readings[:, 1 + flags:]
+        given = measured != none
+        found[:, 0], found[:, added], found[:, most], found[:, least] = readings[:, 0], 1, now, now
+        found[:, added + 1:added + 1 + flags] = readings[:, 1:1 + flags]
+        found[:, added + 1 + flags:most - many] = np.where(given, measured, 0)
+        found[:, most - many:most] = given
+        found[:, most + 1:least] = measured
+        found[:, least + 1:] = np.where(given, measured, -none)
+        return found
+
+    def merged(rows):
+        """Rows of one device become one."""
+        import numpy as np
+        rows = rows[np.argsort(rows[:, 0], kind="stable")]
+        starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
+        return np.hstack([rows[starts, :1], np.add.reduceat(rows[:, added:most], starts),
+                          np.maximum.reduceat(rows[:, most:least], starts),
+                          np.minimum.reduceat(rows[:, least:], starts)])
 
     def fold(key, pages, state):
         import numpy as np
         import pandas as pd
-        if state.hasTimedOut:
+        now = state.getCurrentProcessingTimeMs()
+        kept = np.frombuffer(state.get[0] if state.exists else b"", dtype="<i8").reshape(-1, width_of_row)
+        if not state.hasTimedOut:
+            for page in pages:
+                kept = merged(np.vstack([kept, rows_of(np.stack(page["measured"].to_numpy()), now)]))
+        touched = kept[:, most]
+        changed, kept = kept[touched == now], kept[touched + idle_ms >= now]
+        if len(kept):
+            state.update((kept.astype("<i8").tobytes(),))
+            state.setTimeoutDuration(max(1, int(kept[:, most].min()) + idle_ms - now))
+        else:
             state.remove()
+        if state.hasTimedOut:
             return
-        if state.exists:
-            kept = np.array(state.get[0], dtype=np.int64)
-        else:  # beginning, readings, counters; then sums, counts, greatest and least of the measures
-            kept = np.zeros(2 + flags + 4 * many, dtype=np.int64)
-            kept[0] = state.getCurrentProcessingTimeMs()
-            kept[2 + flags + 2 * many:] = none
-            kept[2 + flags:2 + flags + many] = none
-        counts = kept[1:2 + flags]
-        sums, known, most, least = kept[2 + flags:].reshape(4, many)
-        for page in pages:
-            values = np.stack(page["measured"].to_numpy())
-            counts += [len(values), *values[:, :flags].sum(axis=0)]
-            measured = values[:, flags:]
-            given = measured != none
-            some = given.any(axis=0)
-            sums[some] = np.where(sums == none, 0, sums)[some] + np.where(given, measured, 0).sum(axis=0)[some]
-            known += given.sum(axis=0)
-            most[:] = np.maximum(most, measured.max(axis=0))
-            lows = np.where(given, measured, np.iinfo(np.int64).max).min(axis=0)
-            least[some] = np.where(least == none, lows, np.minimum(least, lows))[some]
-        part = kept.tolist()
-        state.update((part,))
-        state.setTimeoutDuration(idle_ms)
-        yield pd.DataFrame({"device_id": pd.array([key[0]], dtype="Int64"), "start_us": [key[1]], "end_us": [key[2]],
-                            "part": [part]})
+        empty = np.tile(changed[:, most - many:most] == 0, 3)
+        sums, tops, lows = (slice(at, at + many) for at in (most - 2 * many, most + 1, least + 1))
+        values = np.where(empty, none, np.hstack([changed[:, at] for at in (sums, tops, lows)]))
+        part = np.hstack([changed[:, least:least + 1], changed[:, added:most - 2 * many], values[:, :many],
+                          changed[:, most - many:most], values[:, many:]])
+        yield pd.DataFrame({"device_id": changed[:, 0], "start_us": key[1],
+                            "end_us": key[2], "part": list(part)})
 
     folded = _whole(readings, width, profile, measures).groupBy(*KEY).applyInPandasWithState(
-        fold, f"{', '.join(f'{c} bigint' for c in KEY)}, part array<bigint>", "part array<bigint>", "update",
+        fold, "device_id bigint, start_us bigint, end_us bigint, part array<bigint>", "devices binary", "update",
         GroupStateTimeout.ProcessingTimeTimeout)
     return _declared(folded, measures)
 

@@ -232,3 +232,18 @@ def test_idle_windows_go_and_revised_ones_stay(utc, tmp_path):
     whole = serving.window_parts(utc.read.parquet(feed))
     got = idle.read_partials(utc, out).select(whole.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())) and got.count() == 2
+
+
+def test_idle_windows_of_many_devices_share_their_calls(utc, tmp_path):
+    """Hundreds of devices of one hour, one unknown and one with readings of nulls: a few states, the sums of a batch."""
+    feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
+    for at in range(2):
+        deliver(utc, feed, [{"id": 1000 * at + i, "device_id": i % 300 or None, "voltage": str(200 + i % 50 + at) if
+                             i % 300 != 7 else None, "energy": None} for i in range(400)], time.time() - 100_000 + at)
+    query = idle.idle_job(stream(utc, feed), "1 hour", out, f"{tmp_path}/checkpoint")
+    query.awaitTermination()
+    assert 1 < query.lastProgress["stateOperators"][0]["numRowsTotal"] <= idle.BUCKETS
+    assert files.read_batches(utc, out).count() == 600
+    whole = serving.window_parts(utc.read.parquet(feed))
+    got = idle.read_partials(utc, out).select(whole.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())) and got.count() == 300
