@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from meterdw.operators import rollup
 from meterdw.operators.detail import DEVICE
+from meterdw.schemas import MEASURE_TYPES
 
 OWNER = ["customer_id", "customer_name"]
 STATION = ["substation_id", "substation_name"]
@@ -43,9 +44,18 @@ def with_hour(detail_rows: DataFrame) -> DataFrame:
         {"start": "window_start", "end": "window_end"})
 
 
+def single_parts(detail_rows: DataFrame, like: DataFrame) -> DataFrame:
+    """Every detail row as the partial row that it would make alone, in the columns of `like`: one shuffle merges both."""
+    values = {"n": "1", **{name: f"IF({condition}, 1, 0)" for name, condition in rollup.flags().items()}}
+    for m in MEASURE_TYPES:
+        values |= {f"{m}_sum": m, f"{m}_cnt": f"IF({m} IS NULL, 0, 1)", f"{m}_max": m, f"{m}_min": m}
+    return with_hour(detail_rows).select(
+        *[F.expr(values.get(f.name, f.name)).cast(f.dataType).alias(f.name) for f in like.schema])
+
+
 def parts_after(stored: DataFrame, came: DataFrame) -> DataFrame:
     """Stored partial rows with those of new detail rows."""
-    return merged_parts(stored.unionByName(hour_parts(came)), PART)
+    return merged_parts(stored.unionByName(single_parts(came, stored)), PART)
 
 
 def parts_recomputed(stored: DataFrame, came: DataFrame, went: DataFrame, fact: DataFrame) -> DataFrame:
@@ -57,8 +67,9 @@ def parts_recomputed(stored: DataFrame, came: DataFrame, went: DataFrame, fact:
     def split(rows: DataFrame, how: str) -> DataFrame:
         return rows.join(broken, same, how)
 
-    whole = parts_after(split(stored, "left_anti"), split(with_hour(came), "left_anti").drop(*rollup.WINDOW))
-    return whole.unionByName(hour_parts(split(with_hour(fact), "left_semi").drop(*rollup.WINDOW)))
+    # a group is either broken or not, so one aggregation serves both
+    rows = split(with_hour(came), "left_anti").unionByName(split(with_hour(fact), "left_semi")).drop(*rollup.WINDOW)
+    return parts_after(split(stored, "left_anti"), rows)
 
 
 @dataclass(frozen=True)

@@ -731,19 +731,20 @@ def stream_cdc_apply(wh):
 # --- the chain of layers: readings arrive in two deliveries with rows of the same days ---------------------------
 
 def _chain(wh, before=None, **layers) -> Chain:
-    """The whole reading table streamed from stored files into the chain, a file a micro-batch.
+    """The whole reading table streamed from stored files into the chain, a delivery of any number of files a micro-batch.
 
-    `before` makes the dimension that holds while the first file is read, of the one that holds afterwards.
+    `before` makes the dimension that holds while the first delivery is read, of the one that holds afterwards.
     """
     live = Warehouse(utc_session(wh.spark), wh.folder)
     root = scratch_dir(wh.spark, "chain")
-    for part in range(2):
-        wh.meter_reading().where(F.col("id") % 2 == part).coalesce(1).write.mode("append").parquet(
-            f"{root}/in/meter_reading")
     dim = owned_devices(live)
     known = iter([dim if before is None else before(dim)])
-    readings = source.stored_stream(live.spark, f"{root}/in", "meter_reading", max_files=1)
-    chain_job(readings, f"{root}/layers", f"{root}/checkpoint", lambda: next(known, dim), **layers).awaitTermination()
+    for part in range(2):
+        wh.meter_reading().where(F.col("id") % 2 == part).write.mode("append").parquet(f"{root}/in/meter_reading")
+        # the query goes on from its checkpoint: what came since is one micro-batch
+        readings = source.stored_stream(live.spark, f"{root}/in", "meter_reading")
+        chain_job(readings, f"{root}/layers", f"{root}/checkpoint", lambda: next(known, dim),
+                  **layers).awaitTermination()
     return Chain(wh.spark, f"{root}/layers")
 
 

@@ -6,10 +6,12 @@ import pytest
 from helpers import BASE, readings, seed_dimensions
 from pyspark.sql import functions as F
 
-from meterdw.operators import changelog, detail, rollup, serving
+from meterdw.operators import changelog, detail, incremental, rollup, serving
+from meterdw.plans import queries
 from meterdw.plans.chain import Chain
 from meterdw.sinks.state import KeyedState
 from meterdw.sinks.versions import VersionedTable
+from meterdw.sources.tables import Warehouse
 from meterdw.streaming import jobs, source
 
 
@@ -173,6 +175,38 @@ def test_corrections_and_upkeep(spark, tmp_path, dims):
 CHANGE = "op string, seq bigint, k int, v string, at timestamp_ntz"
 
 
+def test_partial_rows_merge_in_one_shuffle(spark, tmp_path, dims):
+    """New detail rows meet the stored partial rows in one aggregation, null measures and an empty table included."""
+    chain = Chain(spark, str(tmp_path / "chain"))
+    rows = readings(spark, [{"id": i, "device_id": 1 + i % 3, "voltage": None if i % 4 == 0 else str(200 + i),
+                             "reading_time": BASE + dt.timedelta(minutes=i)} for i in range(150)])
+    chain.dwd.append(detail.detail(rows, owned(dims), carry=("id",)))
+    details = chain.dwd.read()
+    empty, want = chain.parts.frame([]), incremental.hour_parts(details)
+    chain.parts.append(incremental.parts_after(empty, details.where("id < 80")))
+    again = incremental.parts_after(chain.parts.read(), details.where("id >= 80"))
+    steps = again._jdf.queryExecution().optimizedPlan().toString()
+    assert steps.count("Aggregate [") == 1
+    assert sorted_rows(again.select(want.columns)) == sorted_rows(want)
+
+
+def test_deliveries_are_stored_by_many_tasks(spark, folder):
+    """Two micro-batches, however many files a delivery has."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    wh = Warehouse(spark, f"{spark.sparkContext.getConf().get('spark.checkpoint.dir')}/several")
+    Warehouse(spark, folder).events().repartition(4).write.mode("overwrite").parquet(f"{wh.folder}/events.parquet")
+    for name in ("supplier", "nation", "region", "customer"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.mode("overwrite").parquet(f"{wh.folder}/{name}.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        chain = queries._chain(wh, hours=(), states=False)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    inputs = spark.read.parquet(f"{chain.ods.path.removesuffix('/layers/ods')}/in/meter_reading").inputFiles()
+    assert len(inputs) > 2 and chain.ods.snapshot().number == 2
+    assert sorted_rows(chain.ods.read().select("id")) == sorted_rows(wh.meter_reading().select("id"))
+
+
 def day(n):
     return BASE + dt.timedelta(days=n)
 
