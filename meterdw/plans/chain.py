@@ -25,6 +25,8 @@ from meterdw.streaming.source import zoneless
 
 READING = ["id", "reading_time"]
 LAYERS_AT_ONCE = 4
+# every run of the chain looks devices up anew; the driver holds several times the size of what it broadcasts
+BROADCAST_LIMIT = 8 * 1024 * 1024
 
 
 def _marks(keys: DataFrame, like: DataFrame) -> DataFrame:
@@ -92,7 +94,7 @@ class Chain:
         return target.snapshot().consumed.get(name, 0), source.snapshot().number
 
     def _details(self, readings: DataFrame, dim_version: int) -> DataFrame:
-        return detail.detail(readings, self.dim.read(dim_version), carry=("id",))
+        return detail.detail(readings, self.dim.read(dim_version), carry=("id",), limit_bytes=BROADCAST_LIMIT)
 
     def _days_of(self, changed: DataFrame, after: int, upto: int, read: int) -> list[str]:
         """Days on which the changed devices have readings. Devices known so far have them in the partials, so only

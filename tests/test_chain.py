@@ -190,6 +190,18 @@ def test_partial_rows_merge_in_one_shuffle(spark, tmp_path, dims):
     assert sorted_rows(again.select(want.columns)) == sorted_rows(want)
 
 
+def test_a_large_dimension_is_not_sent_through_the_driver(spark, tmp_path, dims, monkeypatch):
+    rows = readings(spark, [{"id": i, "device_id": 1 + i % 3, "reading_time": BASE} for i in range(30)])
+    chain = Chain(spark, str(tmp_path / "chain"))
+    version = chain.set_dimension(owned(dims))
+    small = chain._details(rows, version)
+    monkeypatch.setattr("meterdw.plans.chain.BROADCAST_LIMIT", 0)
+    large = chain._details(rows, version).select(small.columns)
+    plans = [d._jdf.queryExecution().analyzed().toString() for d in (small, large)]
+    assert "strategy=broadcast" in plans[0] and "_piece" in plans[1]
+    assert sorted_rows(small) == sorted_rows(large) and small.count() > 0
+
+
 def test_deliveries_are_stored_by_many_tasks(spark, folder):
     """Two micro-batches, however many files a delivery has."""
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
