@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from meterdw.operators import rollup
 from meterdw.operators.detail import DEVICE
+from meterdw.operators.joins import listed
 from meterdw.schemas import MEASURE_TYPES
 
 OWNER = ["customer_id", "customer_name"]
@@ -58,10 +59,12 @@ def parts_after(stored: DataFrame, came: DataFrame) -> DataFrame:
     return merged_parts(stored.unionByName(single_parts(came, stored)), PART)
 
 
-def parts_recomputed(stored: DataFrame, came: DataFrame, went: DataFrame, fact: DataFrame) -> DataFrame:
-    """As `parts_after`, with the groups that lost rows aggregated anew from `fact`, the detail rows as they are now."""
+def parts_recomputed(stored: DataFrame, came: DataFrame, went: DataFrame, fact: DataFrame,
+                     went_rows: int) -> DataFrame:
+    """As `parts_after`, with the groups that lost rows aggregated anew from `fact`, the detail rows as they are now.
+    `went_rows` is the number of rows that went."""
     keys = [*GROUP, "window_start"]
-    broken = with_hour(went).select([F.col(c).alias(f"_{c}") for c in keys]).distinct()
+    broken = listed(with_hour(went).select([F.col(c).alias(f"_{c}") for c in keys]).distinct(), went_rows)
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
 
     def split(rows: DataFrame, how: str) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 BROADCAST_LIMIT = 64 * 1024 * 1024
 # a key with more than this share of the fact's rows is split over several tasks
 HOT_SHARE = 1 / 1000
+# keys made of at most so many rows may be broadcast without a measure
+KEY_ROWS = 20_000
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -34,7 +36,8 @@ def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> list[tuple
 
 
 def split_join(facts: DataFrame, dim: DataFrame, key: str, how: str, spread_by: list[str],
-               share: float = HOT_SHARE, dim_spread_by: list[str] | None = None) -> DataFrame:
+               share: float = HOT_SHARE, dim_spread_by: list[str] | None = None,
+               strategy: str | None = None) -> DataFrame:
     """Shuffle join that cuts hot keys into pieces.
 
     A fact row of a hot key goes to a piece by the hash of `spread_by` (so a retried task
@@ -42,13 +45,16 @@ def split_join(facts: DataFrame, dim: DataFrame, key: str, how: str, spread_by:
     piece. A dimension that may itself hold very many rows of one key is cut the same way
     by `dim_spread_by` (inner joins only), with the fact rows repeated. All other keys
     stay whole. Every fact row meets every matching dimension row exactly once.
+
+    Without a `strategy` (a join hint for the dimension) Spark may still broadcast a side
+    whose files look small.
     """
     if dim_spread_by and how != "inner":
         raise ValueError("only an inner join can cut the dimension")
     cuts = dict(hot_keys(facts, key, share))
     dim_cuts = dict(hot_keys(dim, key, share)) if dim_spread_by else {}
     if not cuts and not dim_cuts:
-        return facts.join(dim, key, how)
+        return facts.join(dim.hint(strategy) if strategy else dim, key, how)
     # at most 2 / share rows, so this lookup table may always be broadcast
     schema = T.StructType([T.StructField(key, facts.schema[key].dataType),
                            T.StructField("_cuts", T.IntegerType()), T.StructField("_dim_cuts", T.IntegerType())])
@@ -65,9 +71,17 @@ def split_join(facts: DataFrame, dim: DataFrame, key: str, how: str, spread_by:
 
     left = place(facts, "_cuts", "_dim_cuts", spread_by)
     right = place(dim, "_dim_cuts", "_cuts", dim_spread_by or [key])
+    right = right.hint(strategy) if strategy else right
     return left.join(right, [key, "_piece_cuts", "_piece_dim_cuts"], how).drop("_piece_cuts", "_piece_dim_cuts")
 
 
+def listed(keys: DataFrame, rows: int) -> DataFrame:
+    """Keys for a semi or anti join, made of `rows` rows. Many are joined by a shuffle: Spark guesses their size from
+    compressed files and the share of their columns, and would collect and broadcast a hundred times as much.
+    """
+    return keys.hint("merge") if rows > KEY_ROWS else keys
+
+
 def sized(dim: DataFrame, limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
     """The dimension marked for broadcast if it measures small, else as it is (shuffle join, adaptive)."""
     return F.broadcast(dim) if measured_bytes(dim) <= limit_bytes else dim
@@ -75,7 +89,8 @@ def sized(dim: DataFrame, limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
 
 def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", spread_by: list[str] | None = None,
                 dim_spread_by: list[str] | None = None, limit_bytes: int = BROADCAST_LIMIT) -> DataFrame:
-    """Join facts to a dimension on `key`: broadcast if the dimension measures small, else a split shuffle join."""
+    """Join facts to a dimension on `key`: broadcast if the dimension measures small, else a split shuffle join, however
+    small its files are."""
     if measured_bytes(dim) <= limit_bytes:
         return facts.join(F.broadcast(dim), key, how)
-    return split_join(facts, dim, key, how, spread_by or facts.columns, dim_spread_by=dim_spread_by)
+    return split_join(facts, dim, key, how, spread_by or facts.columns, dim_spread_by=dim_spread_by, strategy="merge")

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from meterdw import schemas
 from meterdw.functions import grading
 from meterdw.operators import detail, incremental, serving
+from meterdw.operators.joins import listed
 from meterdw.sinks.state import KeyedState
 from meterdw.sinks.versions import VersionedTable, ddl
 from meterdw.streaming import jobs
@@ -102,9 +103,12 @@ class Chain:
         found = [self.parts.read().join(changed, "device_id", "left_semi").select("window_start")]
         if self.parts.snapshot().consumed.get("dwd", 0) < self.dwd.snapshot().number:
             found.append(self.dwd.read().join(changed, "device_id", "left_semi").select("reading_time"))
+        known = self.dim.snapshot(after).files.values()
         fresh = (self.dim.read(upto).select("device_id").distinct()
-                 .join(self.dim.read(after).select("device_id"), "device_id", "left_anti"))
+                 .join(listed(self.dim.frame(known).select("device_id"), sum(one.rows for one in known)),
+                       "device_id", "left_anti"))
         if read and not fresh.isEmpty():
+            fresh = listed(fresh, sum(self.dim.changed_rows(after, upto)))
             found.append(self.ods.read(read).join(fresh, "device_id", "left_semi").select("reading_time"))
         return sorted({str(row.day) for frame in found for row in frame.select(
             F.to_date(frame.columns[0]).alias("day")).distinct().collect()})
@@ -115,7 +119,8 @@ class Chain:
         if after == upto:
             return
         read = self.dwd.snapshot().consumed.get("ods", 0)
-        changed = self.dim.changes(after, upto).select("device_id").distinct()
+        changed = listed(self.dim.changes(after, upto).select("device_id").distinct(),
+                         sum(self.dim.changed_rows(after, upto)))
         days = self._days_of(changed, after, upto, read) if read else []
         old = self.dwd.of_days(days)
         stored = self.dwd.frame(old)
@@ -139,8 +144,9 @@ class Chain:
             return
         old = self.dwd.of_days(lost)
         stored = self.dwd.frame(old)
-        gone = stored.join(went.select(READING), READING, "left_semi").select(stored.columns)
-        kept = stored.join(went.select(READING), READING, "left_anti").select(stored.columns)
+        keys = listed(went.select(READING), self.ods.changed_rows(after, upto)[1])
+        gone = stored.join(keys, READING, "left_semi").select(stored.columns)
+        kept = stored.join(keys, READING, "left_anti").select(stored.columns)
         # a reading that came and went again since the last run leaves no detail row
         fresh = self._details(came.exceptAll(went), dim).select(stored.columns)
         self.dwd.replace(old, kept, fresh, gone, consumed={"ods": upto})
@@ -156,7 +162,8 @@ class Chain:
         old = self.parts.of_days(days)
         stored = self.parts.frame(old)
         if lost:
-            merged = incremental.parts_recomputed(stored, came, went, self.dwd.frame(self.dwd.of_days(days, upto)))
+            merged = incremental.parts_recomputed(stored, came, went, self.dwd.frame(self.dwd.of_days(days, upto)),
+                                                  self.dwd.changed_rows(after, upto)[1])
         else:
             merged = incremental.parts_after(stored, came)
         groups = incremental.with_hour(changes).select(incremental.PART).distinct()
@@ -169,11 +176,12 @@ class Chain:
             return
         days = self.parts.changed_days(after, upto)[0]
         keys = incremental.touched(self.parts.changes(after, upto), summary.key)
+        sought = listed(keys, sum(self.parts.changed_rows(after, upto)))
         old = target.of_days(days)
         stored = target.frame(old)
-        made = incremental.summary_of(self.parts.frame(self.parts.of_days(days, upto)), keys, summary)
+        made = incremental.summary_of(self.parts.frame(self.parts.of_days(days, upto)), sought, summary)
         names = [summary.key, "stat_date", "stat_hour"]
-        kept = stored.join(keys, names, "left_anti").select(stored.columns)
+        kept = stored.join(sought, names, "left_anti").select(stored.columns)
         target.replace(old, kept.unionByName(made), marks=_marks(keys, stored), consumed={"parts": upto})
 
     def advance_monitor(self) -> None:
@@ -184,7 +192,8 @@ class Chain:
         changes = self.dwd.changes(after, upto)
         rows, lost = changes.where("_sign = 1").drop("_sign", *incremental.OWNER), None
         if self.dwd.changed_days(after, upto)[1]:
-            lost = changes.where("_sign = -1").select("device_id").distinct()
+            lost = listed(changes.where("_sign = -1").select("device_id").distinct(),
+                          self.dwd.changed_rows(after, upto)[1])
             again = self.dwd.read(upto).drop(*incremental.OWNER).join(lost, "device_id", "left_semi")
             rows = rows.join(lost, "device_id", "left_anti").unionByName(again)
         self.monitor.merge(rows, consumed={"dwd": upto}, instead=lost)

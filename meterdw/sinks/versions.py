@@ -295,6 +295,11 @@ class VersionedTable:
         return tuple(sorted({day[:10] for r in records for one in files(r) for day in (one.low, one.high) if day})
                      for files in (lambda r: r.plus, lambda r: r.minus))
 
+    def changed_rows(self, after: int, upto: int) -> tuple[int, int]:
+        """How many rows came, marks among them, and how many went, from the records alone."""
+        records = [self.record(n) for n in range(after + 1, upto + 1)]
+        return tuple(sum(one.rows for r in records for one in files(r)) for files in (lambda r: r.plus, lambda r: r.minus))
+
     def of_days(self, days: Iterable[str], version: int | None = None) -> list[DataFile]:
         """Files with rows of the given days."""
         wanted = set(days)

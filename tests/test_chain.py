@@ -202,6 +202,40 @@ def test_a_large_dimension_is_not_sent_through_the_driver(spark, tmp_path, dims,
     assert sorted_rows(small) == sorted_rows(large) and small.count() > 0
 
 
+def test_many_changed_keys_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """24,000 groups change twice. Their files look small to Spark, which would collect and broadcast any number of keys."""
+    rows = readings(spark, []).unionByName(spark.range(24000).selectExpr(
+        "id", "CAST(id % 1000 + 1 AS INT) AS device_id", f"TIMESTAMP_NTZ '{BASE.date()}' + make_interval(0, 0, 0, 0, "
+        "CAST(id div 1000 AS INT)) AS reading_time", "CAST(220 AS DECIMAL(8,2)) AS voltage"), allowMissingColumns=True)
+    dim = spark.range(1, 1001).selectExpr(
+        "CAST(id AS INT) AS device_id", "'d' AS device_code", "'d' AS device_name", "'METER' AS device_type",
+        "1 AS substation_id", "'s' AS substation_name", "CAST(id AS INT) AS customer_id", "'c' AS customer_name")
+    plans, plain = [], VersionedTable.replace
+
+    def replace(self, old, kept, *more, **named):
+        plans.append((self.path.rsplit("/", 1)[-1], kept._jdf.queryExecution().executedPlan().toString()))
+        return plain(self, old, kept, *more, **named)
+
+    monkeypatch.setattr(VersionedTable, "replace", replace)
+    chain = Chain(spark, str(tmp_path / "chain"))
+    chain.set_dimension(dim)
+    chain.deliver(rows, 0)
+    chain.advance(("dws_customer_hour",), states=False)
+    assert chain.parts.changed_rows(0, 1) == (24000, 0)
+    renamed = dim.withColumn("substation_name", F.lit("t"))
+    chain.set_dimension(renamed)
+    chain.advance(("dws_customer_hour",), states=False)
+    assert chain.dwd.changed_rows(0, chain.dwd.snapshot().number) == (48000, 24000)
+    layers = [(name, plan) for name, plan in plans if name in ("dws_parts", "dws_customer_hour")]
+    assert [name for name, _ in layers] == ["dws_parts", "dws_customer_hour"] * 2
+    assert not [name for name, plan in layers if "BroadcastHashJoin" in plan]
+    assert all("SortMergeJoin" in plan for _, plan in layers[1:])
+    details = detail.detail(rows, renamed, carry=("id",))
+    assert sorted_rows(chain.dwd.read()) == sorted_rows(details)
+    want = incremental.SUMMARIES["dws_customer_hour"].make(incremental.hour_parts(details))
+    assert sorted_rows(chain.hours["dws_customer_hour"].read()) == sorted_rows(want) and want.count() == 24000
+
+
 def test_deliveries_are_stored_by_many_tasks(spark, folder):
     """Two micro-batches, however many files a delivery has."""
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")

@@ -50,6 +50,30 @@ def test_hot_dimension_keys_are_cut_too(spark, skewed, fact_share):
     assert split.distinct().count() == split.count() == plain.count()
 
 
+@pytest.mark.parametrize("hot", [True, False])
+def test_a_dimension_beyond_the_limit_is_not_broadcast(spark, skewed, hot):
+    """Whatever size Spark reads off its files; only the table of cuts is sent."""
+    facts, dim = skewed
+    facts = facts if hot else spark.range(3000).selectExpr("id", "CAST(id AS INT) AS k")
+    joined = joins.lookup_join(facts, dim, "k", limit_bytes=0, spread_by=["id"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and ("_cuts" in plan) == hot
+    assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "LeftOuter" not in line]
+    assert joined.count() == facts.join(dim, "k").count()
+
+
+def test_owners_are_joined_without_broadcast(spark, tmp_path):
+    """There may be far more devices, customers and relations than their files suggest."""
+    tables = []
+    for i, one in enumerate(seed_dimensions(spark)):
+        one.write.parquet(f"{tmp_path}/{i}")
+        tables.append(spark.read.parquet(f"{tmp_path}/{i}"))
+    dim = detail.owned_device_dim(*tables)
+    plan = dim._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 5
+    assert sorted(map(str, dim.collect())) == sorted(map(str, detail.owned_device_dim(*seed_dimensions(spark)).collect()))
+
+
 def test_hot_key_reaches_several_tasks(spark, skewed):
     facts, dim = skewed
     spark.conf.set("spark.sql.adaptive.enabled", "false")
